@@ -211,8 +211,14 @@ def _holdings() -> dict[str, str]:
         "holding_lag": full.sql("SELECT * FROM lagged", "lagged"),
         "holding_adjustments": full.sql("SELECT * FROM adjusted", "adjusted"),
         "holding_weights": weights,
-        "holding_weights_presummed": weights,
+        "holding_weights_joined": weights,
+        "account_values": full.sql(
+            """SELECT client_account_id, report_date, sum(quantity * (mark_price * fx_rate_to_base)) AS account_value
+            FROM held GROUP BY ALL""",
+            "held",
+        ),
         "holding_returns": full.sql("SELECT * FROM rated", "rated"),
+        "holding_returns_window_weights": full.sql("SELECT * FROM rated", "rated"),
         "holding_returns_range": full.sql(f"SELECT * FROM rated WHERE {_between('date', RANGE)}", "rated"),
         "holding_returns_literal_range": confined.sql("SELECT * FROM rated", "rated"),
         "holding_returns_incremental": full.sql(f"SELECT * FROM rated WHERE {_between('date', LATE_RANGE)}", "rated"),

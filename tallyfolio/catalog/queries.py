@@ -238,16 +238,27 @@ def holding_weights(v: Views) -> DataFrame:
 
 
 @_register
-def holding_weights_presummed(v: Views) -> DataFrame:
-    rows = holdings.holding_weights_presummed(_adjusted(v))
+def holding_weights_joined(v: Views) -> DataFrame:
+    values = holdings.account_values(v["v_positions_held"], v["v_trades"])
+    rows = holdings.weights_of(_adjusted(v), values)
     return _rounded(rows.select(*holdings.KEY, "weight"), "weight")
 
 
+@_register
+def account_values(v: Views) -> DataFrame:
+    return holdings.account_values(v["v_positions_held"], v["v_trades"])
+
+
 @_register
 def holding_returns(v: Views) -> DataFrame:
     return _holding_returns(v)
 
 
+@_register
+def holding_returns_window_weights(v: Views) -> DataFrame:
+    return _holding_returns(v, window_weights=True)
+
+
 @_register
 def holding_returns_range(v: Views) -> DataFrame:
     return _holding_returns(v, *RANGE)

@@ -1,9 +1,15 @@
 """Daily returns, weights and values per holding.
 
-A holding is (account, symbol). The three sources are merged by one aggregation over their union
-instead of joins: partial sums run before its shuffle, so a key that owns a large part of the
-trades is reduced where it is read, and no side has to fit anywhere. What follows works on one
-row per (day, account, symbol).
+A holding is (account, symbol). How the work is laid out:
+
+* Trades and dividends are reduced to one row per (account, day, symbol) first. Partial sums run
+  where the rows are read, so a key that owns a large part of them is small before any shuffle.
+* Positions, already one row per key, are shuffled once, by holding, together with those sums.
+  The merge (an aggregation over the union, not joins) and the lag both run on that layout. A
+  holding has at most three rows a day there, so no task can get an unbounded group.
+* The account totals behind the weights come from a partial aggregation of the positions and are
+  joined back. Adaptive execution broadcasts them if they turn out small, which saves the second
+  shuffle of the holdings, and splits large account-days if not.
 """
 
 from __future__ import annotations
@@ -14,7 +20,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyfolio.functions.columns import position_side, safe_ratio, zero_if_null
 from tallyfolio.operators.filters import between_dates, in_scope
@@ -48,7 +53,7 @@ def scoped_positions(positions: DataFrame, scope: Scope = Scope()) -> DataFrame:
     return in_scope(positions, scope.positions).select(
         *KEY,
         F.col("fx_rate_to_base").alias("fx_rate_1"),
-        F.col("quantity").cast(SHARES).alias("shares_1"),
+        F.col("quantity").alias("shares_1"),
         F.col("mark_price").alias("price_1"),
     )
 
@@ -74,7 +79,7 @@ def position_sides(positions: DataFrame, scope: Scope = Scope()) -> DataFrame:
     return rows.select(
         *KEY,
         "fx_rate_1",
-        F.col("shares_1").cast("double").alias("shares_1"),
+        "shares_1",
         "price_1",
         position_side(F.col("shares_1")).alias("side"),
     )
@@ -88,48 +93,28 @@ def dividends_by_holding(dividends: DataFrame, scope: Scope = Scope()) -> DataFr
     )
 
 
-def trade_vwap(trades: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    """Net shares and volume-weighted price per holding and day; days that net to 0 drop."""
+def _net_trades(trades: DataFrame, scope: Scope) -> DataFrame:
+    """Exact net shares and volume-weighted price per key; keys that net to 0 drop."""
     net = F.sum("traded").cast(NET_SHARES).alias("net")
     per_key = scoped_trades(trades, scope).groupBy(*KEY).agg(net, F.sum("notional").alias("notional"))
-    return per_key.filter(F.col("net") != 0).select(
-        *KEY,
-        F.col("net").cast("double").alias("shares_traded"),
-        safe_ratio(F.col("notional"), F.col("net").cast("double")).alias("average_trade_price"),
-    )
+    price = safe_ratio(F.col("notional"), F.col("net").cast("double"))
+    return per_key.filter(F.col("net") != 0).select(*KEY, "net", price.alias("average_trade_price"))
 
 
-# --- Merge ------------------------------------------------------------------------------------
+def trade_vwap(trades: DataFrame, scope: Scope = Scope()) -> DataFrame:
+    """Net shares and volume-weighted price per holding and day; days that net to 0 drop."""
+    return _net_trades(trades, scope).select(
+        *KEY, F.col("net").cast("double").alias("shares_traded"), "average_trade_price"
+    )
 
 
-def _merged(
-    positions: DataFrame,
-    dividends: DataFrame | None,
-    trades: DataFrame,
-) -> DataFrame:
-    """Sums per key over the union of the scoped sources, for keys held or traded net."""
-    legs = positions.withColumn("held", F.lit(True)).unionByName(trades, allowMissingColumns=True)
-    if dividends is not None:
-        legs = legs.unionByName(dividends, allowMissingColumns=True)
-    else:
-        legs = legs.withColumns({"net_amount": F.lit(None).cast("double"), "gross_rate": F.lit(None).cast("double")})
-    # A position is one row per key, so max() just carries its values over.
-    per_key = legs.groupBy(*KEY).agg(
-        F.max("held").alias("held"),
-        F.max("fx_rate_1").alias("fx_rate_1"),
-        F.max("shares_1").alias("shares_1"),
-        F.max("price_1").alias("price_1"),
-        F.coalesce(F.sum("traded").cast(NET_SHARES), F.lit(0).cast(NET_SHARES)).alias("net"),
-        F.sum("notional").alias("notional"),
-        zero_if_null(F.sum("net_amount")).alias("dividends"),
-        zero_if_null(F.sum("gross_rate")).alias("dividends_per_share"),
-    )
-    return per_key.filter(F.col("held") | (F.col("net") != 0))
+# --- Merge ------------------------------------------------------------------------------------
 
 
 def holding_keys(positions: DataFrame, trades: DataFrame, scope: Scope = Scope()) -> DataFrame:
     """Keys with a position or with net trades."""
-    return _merged(scoped_positions(positions, scope), None, scoped_trades(trades, scope)).select(*KEY)
+    held = scoped_positions(positions, scope).select(*KEY)
+    return held.union(_net_trades(trades, scope).select(*KEY)).distinct()
 
 
 def holding_base_merge(
@@ -147,21 +132,29 @@ def holding_base_merge(
     day's trades, subtracted exactly: 0 there means the day opened the holding.
     """
     bounded = [between_dates(df, "report_date", start, end) for df in (positions, dividends, trades)]
-    merged = _merged(
-        scoped_positions(bounded[0], scope), scoped_dividends(bounded[1], scope), scoped_trades(bounded[2], scope)
+    legs = (
+        scoped_positions(bounded[0], scope)
+        .withColumn("held", F.lit(True))
+        .unionByName(_net_trades(bounded[2], scope), allowMissingColumns=True)
+        .unionByName(dividends_by_holding(bounded[1], scope), allowMissingColumns=True)
     )
-    net = F.col("net").cast("double")
-    kept = F.coalesce(F.col("shares_1"), F.lit(0).cast(SHARES)) - F.col("net")
-    return merged.select(
+    # Laid out by holding, which also groups by key and later serves the lag without a shuffle.
+    # Each leg has one row per key, so max() just carries its values over.
+    carried = [c for c in legs.columns if c not in KEY]
+    merged = legs.repartition(*HOLDING).groupBy(*KEY).agg(*[F.max(c).alias(c) for c in carried])
+    shares = zero_if_null(F.col("shares_1"))
+    # Only days with trades pay for decimal arithmetic.
+    kept = F.when(F.col("net").isNull(), shares).otherwise((shares.cast(SHARES) - F.col("net")).cast("double"))
+    return merged.filter(F.col("held") | F.col("net").isNotNull()).select(
         *KEY,
         "fx_rate_1",
-        F.col("shares_1").cast(T.DoubleType()).alias("shares_1"),
+        "shares_1",
         "price_1",
-        "dividends",
-        "dividends_per_share",
-        net.alias("shares_traded"),
-        zero_if_null(safe_ratio(F.col("notional"), net)).alias("average_trade_price"),
-        kept.cast("double").alias("shares_kept"),
+        zero_if_null(F.col("dividends")).alias("dividends"),
+        zero_if_null(F.col("dividends_per_share")).alias("dividends_per_share"),
+        zero_if_null(F.col("net").cast("double")).alias("shares_traded"),
+        zero_if_null(F.col("average_trade_price")).alias("average_trade_price"),
+        kept.alias("shares_kept"),
     )
 
 
@@ -218,27 +211,43 @@ def holding_adjustments(lagged: DataFrame) -> DataFrame:
 # --- Weights and returns ------------------------------------------------------------------------
 
 
-def holding_weights(adjusted: DataFrame) -> DataFrame:
-    """Add ``weight``: the holding's share of its account's value that day.
+def account_values(
+    positions: DataFrame,
+    trades: DataFrame,
+    scope: Scope = Scope(),
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """Value of each account's positions per day in base currency, the whole a weight is a part of.
 
-    One row per instrument an account holds on a day makes up a group.
+    Days without a position contribute nothing to it, so positions alone decide; only one without
+    a mark price needs its trade price. Such rows are rare or absent (the null counts of the files
+    then skip the scan), and the trade sums are the ones the merge computes anyway.
     """
-    held = F.col("shares_1") * F.col("price_1")
-    total = F.sum(held).over(Window.partitionBy(*_ACCOUNT_DAY))
-    return adjusted.withColumn("weight", safe_ratio(held, total))
+    held = scoped_positions(between_dates(positions, "report_date", start, end), scope)
+    traded = _net_trades(between_dates(trades, "report_date", start, end), scope)
+    marked = held.filter(F.col("price_1").isNotNull())
+    unmarked = held.filter(F.col("price_1").isNull()).join(traded, KEY)
+    price = {"price_1": F.col("average_trade_price")}
+    rows = marked.unionByName(unmarked.withColumns(price).select(*held.columns))
+    value = F.col("shares_1") * (F.col("price_1") * zero_if_null(F.col("fx_rate_1")))
+    return rows.groupBy(*_ACCOUNT_DAY).agg(F.sum(value).alias("account_value"))
+
 
+def weights_of(adjusted: DataFrame, values: DataFrame) -> DataFrame:
+    """Add ``weight``, the holding's share of ``account_value``; NULL where that is 0 or absent."""
+    weight = safe_ratio(F.col("shares_1") * F.col("price_1"), F.col("account_value"))
+    return adjusted.join(values, _ACCOUNT_DAY, "left").withColumn("weight", weight).drop("account_value")
 
-def holding_weights_presummed(adjusted: DataFrame) -> DataFrame:
-    """``holding_weights`` for accounts with very many instruments.
 
-    The totals are aggregated, partially before their shuffle, and joined back. The join is one
-    adaptive execution can broadcast when the totals turn out small and split when an account-day
-    is large; the price is that ``adjusted`` is computed twice unless it is a stored table.
+def holding_weights(adjusted: DataFrame) -> DataFrame:
+    """Add ``weight``, the holding's share of its account's value that day, from the rows alone.
+
+    A window by account and day: its groups are the instruments an account holds on a day.
     """
     held = F.col("shares_1") * F.col("price_1")
-    totals = adjusted.groupBy(*_ACCOUNT_DAY).agg(F.sum(held).alias("total"))
-    joined = adjusted.join(totals, _ACCOUNT_DAY)
-    return joined.withColumn("weight", safe_ratio(held, F.col("total"))).drop("total")
+    total = F.sum(held).over(Window.partitionBy(*_ACCOUNT_DAY))
+    return adjusted.withColumn("weight", safe_ratio(held, total))
 
 
 def _output(weighted: DataFrame) -> DataFrame:
@@ -300,7 +309,7 @@ def holding_returns(
     scope: Scope = Scope(),
     look_back: bool = True,
     look_back_days: int | None = None,
-    presum_weights: bool = False,
+    window_weights: bool = False,
 ) -> DataFrame:
     """Return, weight and value of each holding on each session of the range.
 
@@ -308,6 +317,7 @@ def holding_returns(
     they compare with themselves, as a computation confined to the range must.
     ``look_back_days`` bounds how far back is read first (the result stays the same).
     The calendar applies after the lag, which may have read a row between sessions.
+    ``window_weights`` sums the account values in a window instead of joining them.
     """
     if not look_back:
         merged = holding_base_merge(positions, dividends, trades, scope, start, end)
@@ -317,4 +327,6 @@ def holding_returns(
         merged = holding_base_merge(positions, dividends, trades, scope, None, end)
     lagged = between_dates(holding_lag(merged), "report_date", start, None)
     adjusted = holding_adjustments(on_sessions(lagged, calendar, "report_date"))
-    return _output(holding_weights_presummed(adjusted) if presum_weights else holding_weights(adjusted))
+    if window_weights:
+        return _output(holding_weights(adjusted))
+    return _output(weights_of(adjusted, account_values(positions, trades, scope, start, end)))
