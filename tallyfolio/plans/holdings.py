@@ -49,8 +49,14 @@ class Scope:
 # --- Sources, narrowed to what the returns need -----------------------------------------------
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """Primary keys hold no NULL. Saying so lets the joins below share what the merge computes:
+    they would otherwise add the test themselves, and the plans would differ."""
+    return df.filter(" AND ".join(f"{column} IS NOT NULL" for column in KEY))
+
+
 def scoped_positions(positions: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    return in_scope(positions, scope.positions).select(
+    return in_scope(_keyed(positions), scope.positions).select(
         *KEY,
         F.col("fx_rate_to_base").alias("fx_rate_1"),
         F.col("quantity").alias("shares_1"),
@@ -59,11 +65,11 @@ def scoped_positions(positions: DataFrame, scope: Scope = Scope()) -> DataFrame:
 
 
 def scoped_dividends(dividends: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    return in_scope(dividends, scope.positions).select(*KEY, "net_amount", "gross_rate")
+    return in_scope(_keyed(dividends), scope.positions).select(*KEY, "net_amount", "gross_rate")
 
 
 def scoped_trades(trades: DataFrame, scope: Scope = Scope()) -> DataFrame:
-    return in_scope(trades, scope.trades).select(
+    return in_scope(_keyed(trades), scope.trades).select(
         *KEY,
         F.col("quantity").cast(SHARES).alias("traded"),
         (F.col("quantity") * F.col("trade_price")).cast("double").alias("notional"),
