@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,19 +86,30 @@ def last_session_before(spark: SparkSession, inputs: Inputs, day: dt.date) -> dt
     return last_market_date(sessions, yesterday)
 
 
-def _load_reports(warehouse: Warehouse, read: Callable[[str], DataFrame]) -> None:
-    for report in REPORTS:
-        warehouse.merge(report, read(report))
+def _together(*tasks: Callable[[], None]) -> None:
+    """Run tasks that touch different tables side by side, so that the end of one job and the
+    start of another share the cluster. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = [pool.submit(task) for task in tasks]
+    for task in running:
+        task.result()
 
 
-def _load_series(
+def _report_loads(warehouse: Warehouse, read: Callable[[str], DataFrame]) -> list[Callable[[], None]]:
+    return [lambda report=report: warehouse.merge(report, read(report)) for report in REPORTS]
+
+
+def _series_loads(
     warehouse: Warehouse, inputs: Inputs, options: Options, start: dt.date, end: dt.date, prices: DataFrame
-) -> None:
+) -> list[Callable[[], None]]:
     sessions = trading_days(warehouse.spark, start, end, inputs.holidays)
-    warehouse.merge("calendar", sessions, mode="ignore")
-    warehouse.merge("benchmark", benchmark_return(prices))
     one_series = inputs.yields.filter(F.col("series_id") == inputs.series)
-    warehouse.merge("risk_free_rate", risk_free_return(one_series, start, end), mode=options.risk_free_mode)
+    rates = risk_free_return(one_series, start, end)
+    return [
+        lambda: warehouse.merge("calendar", sessions, mode="ignore"),
+        lambda: warehouse.merge("benchmark", benchmark_return(prices)),
+        lambda: warehouse.merge("risk_free_rate", rates, mode=options.risk_free_mode),
+    ]
 
 
 def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, options: Options = Options()) -> None:
@@ -105,20 +117,25 @@ def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, opti
     calendar = warehouse.read("calendar")
     nav = warehouse.read("delta_nav")
     days = options.look_back_days
-    warehouse.merge("fund_returns", fund_returns(nav, calendar, start, end, days))
-    warehouse.merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days))
-    holdings = holding_returns(
-        warehouse.read("positions"),
-        warehouse.read("dividends"),
-        warehouse.read("trades"),
-        calendar,
-        start,
-        end,
-        scope=options.scope,
-        look_back=options.look_back,
-        look_back_days=days,
+
+    def holdings() -> DataFrame:
+        return holding_returns(
+            warehouse.read("positions"),
+            warehouse.read("dividends"),
+            warehouse.read("trades"),
+            calendar,
+            start,
+            end,
+            scope=options.scope,
+            look_back=options.look_back,
+            look_back_days=days,
+        )
+
+    _together(
+        lambda: warehouse.merge("holding_returns", holdings()),
+        lambda: warehouse.merge("fund_returns", fund_returns(nav, calendar, start, end, days)),
+        lambda: warehouse.merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days)),
     )
-    warehouse.merge("holding_returns", holdings)
 
 
 def run_daily(warehouse: Warehouse, inputs: Inputs, as_of: dt.date, options: Options = Options()) -> dt.date:
@@ -127,8 +144,11 @@ def run_daily(warehouse: Warehouse, inputs: Inputs, as_of: dt.date, options: Opt
     day = last_session_before(spark, inputs, as_of)
     day_before = last_session_before(spark, inputs, day)
     mixed = options.mixed_layouts
-    _load_reports(warehouse, lambda report: read_daily(spark, inputs.landing, day, report, mixed_layouts=mixed))
-    _load_series(warehouse, inputs, options, day, day, between_dates(inputs.prices, "date", day_before, day))
+    prices = between_dates(inputs.prices, "date", day_before, day)
+    _together(
+        *_report_loads(warehouse, lambda r: read_daily(spark, inputs.landing, day, r, mixed_layouts=mixed)),
+        *_series_loads(warehouse, inputs, options, day, day, prices),
+    )
     materialize_returns(warehouse, day, day, options)
     return day
 
@@ -139,10 +159,11 @@ def run_backfill(
     """Load and compute a range from the backfill zone. Prices end the day before ``end``."""
     spark = warehouse.spark
     mixed = options.mixed_layouts
-    _load_reports(
-        warehouse, lambda report: read_backfill(spark, inputs.landing, start, end, report, mixed_layouts=mixed)
+    prices = between_dates(inputs.prices, "date", start, end - _ONE_DAY)
+    _together(
+        *_report_loads(warehouse, lambda r: read_backfill(spark, inputs.landing, start, end, r, mixed_layouts=mixed)),
+        *_series_loads(warehouse, inputs, options, start, end, prices),
     )
-    _load_series(warehouse, inputs, options, start, end, between_dates(inputs.prices, "date", start, end - _ONE_DAY))
     materialize_returns(warehouse, start, end, options)
 
 
@@ -156,7 +177,10 @@ def run_reload(
     """Load every file of every zone and compute all returns from ``start`` on."""
     spark = warehouse.spark
     mixed = options.mixed_layouts
-    _load_reports(warehouse, lambda report: read_all_zones(spark, inputs.landing, report, mixed_layouts=mixed))
-    _load_series(warehouse, inputs, options, start, as_of, between_dates(inputs.prices, "date", start, as_of - _ONE_DAY))
-    # A reload covers all history; nothing lies before its range.
-    materialize_returns(warehouse, start, as_of, Options(options.scope, None, options.look_back))
+    prices = between_dates(inputs.prices, "date", start, as_of - _ONE_DAY)
+    _together(
+        *_report_loads(warehouse, lambda r: read_all_zones(spark, inputs.landing, r, mixed_layouts=mixed)),
+        *_series_loads(warehouse, inputs, options, start, as_of, prices),
+    )
+    # All history is read anyway; searching the days before the start first would gain nothing.
+    materialize_returns(warehouse, start, as_of, replace(options, look_back_days=None))

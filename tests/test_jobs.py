@@ -170,3 +170,23 @@ def test_backfill_window():
     for bounds in (("2025-12-31", "2026-03-04"), ("2026-02-03", "2026-12-01"), ("2026-02-03", None)):
         with pytest.raises(ValueError):
             jobs.backfill_window(today, *bounds)
+
+
+def test_pick_up_takes_new_files_once(setting, spark, tmp_path):
+    from tallyfolio.streaming.pickup import pick_up
+
+    warehouse, inputs = setting
+    taken = []
+    merge = warehouse.merge
+    warehouse.merge = lambda table, batch, mode="update": (taken.append(batch.count()), merge(table, batch, mode))
+
+    def run() -> None:
+        pick_up(warehouse, inputs.landing, "positions", checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+
+    _land_day(inputs.landing, 2)
+    run()
+    _land_day(inputs.landing, 3)
+    run()
+    run()
+    assert taken == [1, 1]
+    assert sorted(r["report_date"].day for r in warehouse.read("positions").collect()) == [2, 3]
