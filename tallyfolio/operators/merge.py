@@ -1,8 +1,8 @@
 """Merging a batch into keyed rows.
 
 The batch is called stage, the rows it lands on core. A primary key is unique in core, so hashing
-on it spreads evenly; a stage that breaks its key is cut to two rows per key and map task before
-it is shuffled (Spark pushes the row-number limit down), however often the key repeats.
+on it spreads evenly. Where a stage may repeat a key, repeats are reduced before any shuffle: by
+partial counts, or by the row-number limit that Spark applies in each map task first.
 """
 
 from __future__ import annotations
@@ -33,16 +33,14 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -
 
 
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows, failing at run time where a key is NULL or repeated."""
+    """The same rows, failing at run time where a key is NULL or repeated.
+
+    Only the key columns are aggregated for the test; the rows themselves are not moved.
+    """
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    broken = F.when(_any_null(keys), F.raise_error(F.concat(F.lit("null in key: "), shown))).when(
-        F.col(_RANK) > 1, F.raise_error(F.concat(F.lit("duplicate key: "), shown))
-    )
-    ranked = _ranked(df, keys, list(keys)).filter(F.col(_RANK) <= 2)
-    # The test has to stay in the plan, so it feeds the first key column of the result.
-    first = keys[0]
-    tested = F.coalesce(broken.cast(df.schema[first].dataType), F.col(first)).alias(first)
-    return ranked.select([tested if c == first else F.col(c) for c in df.columns])
+    kind = F.when(_any_null(keys), F.lit("null in key: ")).otherwise(F.lit("duplicate key: "))
+    broken = key_violations(df, keys).agg(F.max(F.concat(kind, shown)).alias("broken")).scalar()
+    return df.filter(F.when(broken.isNull(), F.lit(True)).otherwise(F.raise_error(broken).cast("boolean")))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -228,12 +228,13 @@ def account_values(
 
     Days without a position contribute nothing to it, so positions alone decide; only one without
     a mark price needs its trade price. Such rows are rare or absent (the null counts of the files
-    then skip the scan), and the trade sums are the ones the merge computes anyway.
+    then skip the scan), and the trade sums are the ones the merge computes anyway. The merge hint
+    keeps these from being broadcast; adaptive execution drops the join when its left is empty.
     """
     held = scoped_positions(between_dates(positions, "report_date", start, end), scope)
     traded = _net_trades(between_dates(trades, "report_date", start, end), scope)
     marked = held.filter(F.col("price_1").isNotNull())
-    unmarked = held.filter(F.col("price_1").isNull()).join(traded, KEY)
+    unmarked = held.filter(F.col("price_1").isNull()).join(traded.hint("merge"), KEY)
     price = {"price_1": F.col("average_trade_price")}
     rows = marked.unionByName(unmarked.withColumns(price).select(*held.columns))
     value = F.col("shares_1") * (F.col("price_1") * zero_if_null(F.col("fx_rate_1")))
