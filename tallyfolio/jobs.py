@@ -51,6 +51,8 @@ class Options:
     # "ignore" keeps the first risk-free value stored for a day, also an empty one.
     risk_free_mode: str = "ignore"
     mixed_layouts: bool = False
+    # Reloads only: let the newest file decide where files disagree on a key, instead of failing.
+    newest_only: bool = False
 
 
 def earliest_backfill(today: dt.date) -> dt.date:
@@ -179,7 +181,7 @@ def run_reload(
     mixed = options.mixed_layouts
     prices = between_dates(inputs.prices, "date", start, as_of - _ONE_DAY)
     _together(
-        *_report_loads(warehouse, lambda r: read_all_zones(spark, inputs.landing, r, mixed_layouts=mixed)),
+        *_report_loads(warehouse, lambda r: read_all_zones(spark, inputs.landing, r, options.newest_only, mixed)),
         *_series_loads(warehouse, inputs, options, start, as_of, prices),
     )
     # All history is read anyway; searching the days before the start first would gain nothing.

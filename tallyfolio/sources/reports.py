@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 
 from tallyfolio.operators.cleaning import CLEANERS
 from tallyfolio.operators.filters import union_all, union_distinct
+from tallyfolio.operators.merge import latest_per_key
+from tallyfolio.schemas import CORE_TABLES
+
+# Where a row came from: when its file was written, and which one it was.
+ORIGIN = ["file_time", "file_path"]
 
 
 @dataclass(frozen=True)
@@ -48,22 +53,32 @@ class Landing:
         ]
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All columns as text under the header's names; no inference pass.
+def read_csv(spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False) -> DataFrame:
+    """All columns as text under the header's names; no inference pass. ``with_origin`` adds the
+    ``ORIGIN`` columns.
 
     Text keeps leading zeros of identifiers. Columns are named by the first file's header, and a
     file with another header fails the read instead of being read by position.
     """
-    return (
+    rows = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(paths)
     )
+    if not with_origin:
+        return rows
+    return rows.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
 
 
-def read_csv_by_layout(spark: SparkSession, paths: str | Sequence[str], marker: str = "ClientAccountID") -> DataFrame:
+def read_csv_by_layout(
+    spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False, marker: str = "ClientAccountID"
+) -> DataFrame:
     """``read_csv`` for files that differ in columns or their order.
 
     A first pass finds the distinct header lines (those holding ``marker``) and the files under
@@ -73,7 +88,7 @@ def read_csv_by_layout(spark: SparkSession, paths: str | Sequence[str], marker:
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
     headers = lines.filter(F.col("value").contains(marker))
     layouts = headers.groupBy("value").agg(F.collect_set("path").alias("paths")).collect()
-    frames = [read_csv(spark, sorted(layout["paths"])) for layout in layouts]
+    frames = [read_csv(spark, sorted(layout["paths"]), with_origin) for layout in layouts]
     if not frames:
         raise ValueError(f"no header line with {marker} under {paths}")
     merged = frames[0]
@@ -83,11 +98,15 @@ def read_csv_by_layout(spark: SparkSession, paths: str | Sequence[str], marker:
 
 
 def read_report(
-    spark: SparkSession, paths: str | Sequence[str], report: str, mixed_layouts: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    report: str,
+    mixed_layouts: bool = False,
+    with_origin: bool = False,
 ) -> DataFrame:
     """Cleaned rows of one report from any number of files."""
     reader = read_csv_by_layout if mixed_layouts else read_csv
-    return CLEANERS[report](reader(spark, paths))
+    return CLEANERS[report](reader(spark, paths, with_origin), keep=ORIGIN if with_origin else ())
 
 
 def read_daily(spark: SparkSession, landing: Landing, day: dt.date, report: str, **options) -> DataFrame:
@@ -100,14 +119,23 @@ def read_backfill(
     return read_report(spark, landing.backfill_glob(start, end, report), report, **options)
 
 
-def read_all_zones(spark: SparkSession, landing: Landing, report: str, **options) -> DataFrame:
-    """Reload: every zone that has files, each read on its own header, repeats removed."""
-    zones = []
-    for glob in landing.zone_globs(report):
-        if has_files(spark, glob):
-            zones.append(read_report(spark, glob, report, **options))
+def read_all_zones(
+    spark: SparkSession, landing: Landing, report: str, newest_only: bool = False, mixed_layouts: bool = False
+) -> DataFrame:
+    """Reload: every zone that has files, each read on its own header, repeated rows removed.
+
+    A key whose values differ between files stays repeated, and a merge will refuse it. With
+    ``newest_only`` the file written last decides, as it would had the files been loaded in turn.
+    """
+    zones = [
+        read_report(spark, glob, report, mixed_layouts, with_origin=newest_only)
+        for glob in landing.zone_globs(report)
+        if has_files(spark, glob)
+    ]
     if not zones:
         raise ValueError(f"no {report} files under {landing.root}")
+    if newest_only:
+        return latest_per_key(union_all(zones), CORE_TABLES[report].key, ORIGIN).drop(*ORIGIN)
     return union_distinct(zones)
 
 

@@ -13,6 +13,7 @@ read stays readable until then.
 from __future__ import annotations
 
 import datetime as dt
+from string import Formatter
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,11 @@ class Warehouse:
             return self.spark.createDataFrame([], spec.schema)
         return between_dates(stored.select(*spec.columns), spec.date, start, end)
 
+    def sql(self, query: str, args: dict | None = None) -> DataFrame:
+        """A query over the core tables, written ``{name}`` in it; ``:name`` parameters in ``args``."""
+        names = {name for _, name, _, _ in Formatter().parse(query) if name}
+        return self.spark.sql(query, args=args, **{name: self.read(name) for name in names})
+
     def stage(self, table: str, batch: DataFrame) -> DataFrame:
         """Write a batch beside the core tables, in place of the last one, and read it back.
 

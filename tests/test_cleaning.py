@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -128,10 +129,14 @@ def test_zones(spark, tmp_path):
         tmp_path / landing.daily(JAN2, "f", "positions").removeprefix(f"{tmp_path}/"),
         POSITIONS.replace("S1,50", "S1,51"),
     )
+    os.utime(landing.daily(JAN2, "f", "positions"), (2_000_000_000, 2_000_000_000))
     assert reports.read_daily(spark, landing, JAN2, "positions").count() == 2
     assert reports.read_backfill(spark, landing, JAN2, end, "positions").count() == 2
     # Whole rows are compared: S1 is there at both prices.
     assert reports.read_all_zones(spark, landing, "positions").count() == 3
+    newest = reports.read_all_zones(spark, landing, "positions", newest_only=True)
+    assert {(r["symbol"], r["mark_price"]) for r in newest.collect()} == {("S0", 100.0), ("S1", 51.0)}
+    assert "file_time" not in newest.columns
     listed = reports.list_source_files(spark, str(tmp_path)).collect()
     assert len(listed) == 3 and all(r["n_bytes"] > 0 for r in listed)
 

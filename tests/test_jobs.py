@@ -134,6 +134,8 @@ def test_merge_rewrites_only_touched_partitions(setting, spark, tmp_path):
     assert sorted((tmp_path / "core" / "fund_returns").glob(f"date={SESSIONS[0]}/*.parquet")) == untouched
     got = {(r["date"], r["client_account_id"]): r["value"] for r in warehouse.read("fund_returns").collect()}
     assert got == {(SESSIONS[0], "U0"): 1, (SESSIONS[1], "U0"): 9, (SESSIONS[1], "U1"): 3}
+    over = "SELECT client_account_id, sum(value) AS v FROM {fund_returns} WHERE value < :top GROUP BY ALL"
+    assert {tuple(r) for r in warehouse.sql(over, {"top": 5}).collect()} == {("U0", 1.0), ("U1", 3.0)}
     plan = warehouse.read("fund_returns", SESSIONS[1], SESSIONS[1])._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
 
