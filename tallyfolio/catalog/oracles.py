@@ -190,7 +190,7 @@ def _holdings() -> dict[str, str]:
     keys = "report_date, client_account_id, symbol"
     weights = full.sql(f"SELECT {keys}, weight FROM weighed", "weighed")
     return {
-        "position_sides": full.sql(
+        "position_side": full.sql(
             f"""SELECT {keys}, fx_rate_to_base AS fx_rate_1, quantity AS shares_1, mark_price AS price_1,
               CAST(if(quantity > 0, 1, -1) AS INTEGER) AS side FROM held""",
             "held",
@@ -360,11 +360,7 @@ def _runs() -> dict[str, str]:
         AS date"""
     open_days = f"""SELECT date FROM ({calendar}) WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM v_holidays)"""
     nav = _NAV.replace("v_calendar", "open_days")
-    rated = {
-        name: text.replace("v_calendar", "open_days") for name, text in _HoldingSql().steps.items()
-    }
-    last_day = nav.replace("WHERE date IN (SELECT date FROM open_days)",
-                           "WHERE date = (SELECT max(date) FROM v_calendar)")
+    rated = {name: text.replace("v_calendar", "open_days") for name, text in _HoldingSql().steps.items()}
     return {
         "run_backfill": with_views(
             f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value, {_RETURN} AS "return",
@@ -383,14 +379,9 @@ def _runs() -> dict[str, str]:
             open_days=open_days,
             **rated,
         ),
-        # The first run has loaded no other session, so each account starts at its own value.
-        "run_daily": with_views(
-            f"""SELECT date, sum(ending_value - deposits_withdrawals) AS value,
-              round(sum(ending_value - deposits_withdrawals) / sum(starting_value) - 1, 8) AS "return",
-              sum(dividends) AS dividends FROM nav GROUP BY date""",
-            "v_delta_nav",
-            "v_calendar",
-            nav=last_day,
+        # The calendar holds the one session loaded; the lag reads every row landed.
+        "run_daily": _HoldingSql().sql(
+            "SELECT * FROM rated WHERE date = (SELECT max(date) FROM v_calendar)", "rated"
         ),
     }
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyfolio import jobs
 from tallyfolio.catalog.fixtures import FUNDS, TICKERS, Views
-from tallyfolio.functions.columns import position_side
+from tallyfolio.functions import columns
 from tallyfolio.operators import cleaning, filters, merge, sessions, windows
 from tallyfolio.plans import funds, holdings, series
 from tallyfolio.schemas import ACCOUNT, CORE_TABLES, POSITION_SCOPE, REPORT_COLUMNS, REPORTS
@@ -76,8 +76,8 @@ def clean_parse_dates(v: Views) -> DataFrame:
 
 @_register
 def clean_empty_to_null(v: Views) -> DataFrame:
-    columns = {"ActionID": "action_id", "ExDate": "ex_date", "PayDate": "pay_date"}
-    rows = cleaning.pick_columns(v["raw_dividends"], columns)
+    mapping = {"ActionID": "action_id", "ExDate": "ex_date", "PayDate": "pay_date"}
+    rows = cleaning.pick_columns(v["raw_dividends"], mapping)
     return cleaning.parse_dates(cleaning.empty_to_null(rows, "ex_date", "pay_date"), "ex_date", "pay_date")
 
 
@@ -189,7 +189,7 @@ def _holding_returns(v: Views, *bounds, **options) -> DataFrame:
 
 
 @_register
-def position_sides(v: Views) -> DataFrame:
+def position_side(v: Views) -> DataFrame:
     return holdings.position_sides(v["v_positions_held"])
 
 
@@ -197,7 +197,7 @@ def position_sides(v: Views) -> DataFrame:
 def position_side_filled(v: Views) -> DataFrame:
     # Side of every merged key; where there is no position it opposes the day's trades.
     merged = holdings.holding_base_merge(*_sources(v))
-    own = F.when(F.col("shares_1").isNotNull(), position_side(F.col("shares_1")).cast("double"))
+    own = F.when(F.col("shares_1").isNotNull(), columns.position_side(F.col("shares_1")).cast("double"))
     return merged.select(*holdings.KEY, F.coalesce(own, -F.signum("shares_traded")).alias("side"))
 
 
@@ -385,9 +385,10 @@ def upsert_fill(v: Views) -> DataFrame:
 @_register
 def upsert_trades(v: Views) -> DataFrame:
     # At the grain of single trades: yesterday's buys, then the whole day's trades.
-    columns = ["report_date", ACCOUNT, "symbol", "trade_id", "quantity", "trade_price"]
-    buys = v["v_trades"].filter(F.col("buy_sell") == "BUY").select(*columns[:4], -F.col("quantity"), "trade_price")
-    return merge.upsert_update(buys.toDF(*columns), v["v_trades"].select(*columns), columns[:4])
+    key = list(CORE_TABLES["trades"].key)
+    trades = v["v_trades"].select(*key, "quantity", "trade_price")
+    buys = v["v_trades"].filter(F.col("buy_sell") == "BUY").select(*key, -F.col("quantity"), "trade_price")
+    return merge.upsert_update(buys.toDF(*trades.columns), trades, key)
 
 
 @_register
@@ -468,12 +469,12 @@ def _raw(v: Views, report: str) -> DataFrame:
     if report == "delta_nav":
         rows = rows.withColumn("from_date", F.col("date"))
     named = {raw: F.col(core) for core, raw in _RAW_COLUMNS[report].items()}
-    columns = []
+    texts = []
     for raw in REPORT_COLUMNS[report]:
         column = named.get(raw, F.lit(None).cast("string"))
         text = F.date_format(column, "yyyyMMdd") if raw.endswith("Date") and raw in named else column.cast("string")
-        columns.append(text.alias(raw))
-    return rows.select(*columns)
+        texts.append(text.alias(raw))
+    return rows.select(*texts)
 
 
 def _land(v: Views, path: Callable[[str, str], str], names=REPORTS) -> None:
@@ -580,4 +581,4 @@ def run_daily(v: Views) -> DataFrame:
     day = jobs.last_session_before(v.spark, inputs, as_of)
     _land(v, lambda fund, report: landing.daily(day, fund, report))
     jobs.run_daily(warehouse, inputs, as_of)
-    return _returns_table(warehouse, "all_fund_returns")
+    return _rounded(_returns_table(warehouse, "holding_returns"), "weight")

@@ -29,8 +29,11 @@ def drop_closed_days(dates: DataFrame, holidays: DataFrame | None = None) -> Dat
 
 
 def on_sessions(df: DataFrame, calendar: DataFrame, column: str = "date") -> DataFrame:
-    """Rows dated on a session. A semi join: the calendar adds no column and repeats no row."""
-    sessions = calendar.select(F.col("date").alias(column))
+    """Rows dated on a session. A semi join: the calendar adds no column and repeats no row.
+
+    The broadcast is of distinct dates, so it is small whatever the calendar was made from.
+    """
+    sessions = calendar.select(F.col("date").alias(column)).distinct()
     return df.join(F.broadcast(sessions), column, "left_semi")
 
 

@@ -7,7 +7,8 @@ however the rows are spread over keys: no group can grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +34,50 @@ def with_previous(
     return df.withColumns(added)
 
 
+# Keys up to this many are broadcast to the scan of history, after counting them.
+BROADCAST_KEYS = 500_000
+
+
+def last_per_key(
+    df: DataFrame, keys: Sequence[str], order: Column | str, columns: Sequence[str]
+) -> DataFrame:
+    """``columns`` of the latest row per key, as an aggregate.
+
+    One ``max_by`` a column and not one over a struct: fixed-width buffers are hashed, a struct
+    would have to be sorted by key first.
+    """
+    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in columns])
+
+
 def last_before(
-    df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]
+    rows: Callable[[dt.date | None, dt.date], DataFrame],
+    keys: Sequence[str],
+    order: Column | str,
+    columns: Sequence[str],
+    start: dt.date,
+    wanted: DataFrame,
+    look_back_days: int | None = None,
 ) -> DataFrame:
-    """The latest row per key, as an aggregate: partial on the map side, no sort."""
-    latest = F.max_by(F.struct(order, *columns), F.col(order)).alias("latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, "latest.*")
+    """``columns`` of the latest row before ``start`` for the keys in ``wanted``.
+
+    ``rows(first, last)`` gives the rows of a closed range. With ``look_back_days`` the days just
+    before ``start`` are searched first (for all keys; one more does no harm to a lag). The keys
+    not found there are counted, up to a limit: if there are none the rest of history is not read,
+    if they are few they are broadcast and cut it down where it is read, and if they are many it
+    is joined with them by shuffle.
+    """
+    day_before = start - dt.timedelta(days=1)
+    if look_back_days is None:
+        return last_per_key(rows(None, day_before).join(wanted, list(keys), "left_semi"), keys, order, columns)
+    horizon = start - dt.timedelta(days=look_back_days)
+    kept = rows(horizon, day_before)
+    missing = wanted.join(kept.select(*keys).distinct(), list(keys), "left_anti")
+    n_missing = missing.limit(BROADCAST_KEYS + 1).count()
+    if n_missing > 0:
+        among = F.broadcast(missing) if n_missing <= BROADCAST_KEYS else missing
+        far = rows(None, horizon - dt.timedelta(days=1)).join(among, list(keys), "left_semi")
+        kept = kept.unionByName(far)
+    return last_per_key(kept, keys, order, columns)
 
 
 def pct_change(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:

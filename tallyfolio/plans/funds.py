@@ -44,37 +44,18 @@ def _windowed_nav(
     end: dt.date | None,
     look_back_days: int | None,
 ) -> DataFrame:
-    if start is not None and look_back_days is not None:
-        return _nav_with_look_back(delta_nav, calendar, start, end, look_back_days)
-    # The lag looks back only, so the upper bound may go below it (and prunes partitions); the
-    # lower bound may not.
-    sessions = nav_on_sessions(between_dates(delta_nav, "date", None, end), calendar)
-    return between_dates(nav_lag(sessions), "date", start, None)
-
-
-def _nav_with_look_back(
-    delta_nav: DataFrame, calendar: DataFrame, start: dt.date, end: dt.date | None, look_back_days: int
-) -> DataFrame:
-    """The lagged rows of a range from the range and one earlier row per account.
-
-    The earlier row is searched in the days just before the range, and in all of history only
-    for accounts without one there; whether there are any is asked first, so that a run reads
-    history only when it must.
-    """
-    day_before = start - dt.timedelta(days=1)
-    horizon = start - dt.timedelta(days=look_back_days)
-    in_range = nav_on_sessions(between_dates(delta_nav, "date", start, end), calendar)
-    columns = ["ending_value", "deposits_withdrawals", "dividends"]
-
-    def latest(first: dt.date | None, last: dt.date) -> DataFrame:
+    def sessions(first: dt.date | None, last: dt.date | None) -> DataFrame:
         return nav_on_sessions(between_dates(delta_nav, "date", first, last), calendar)
 
-    earlier = last_before(latest(horizon, day_before), [ACCOUNT], "date", columns)
-    unseen = in_range.select(ACCOUNT).distinct().join(earlier.select(ACCOUNT), ACCOUNT, "left_anti")
-    if not unseen.isEmpty():
-        older = latest(None, horizon - dt.timedelta(days=1)).join(unseen, ACCOUNT, "left_semi")
-        earlier = earlier.unionByName(last_before(older, [ACCOUNT], "date", columns))
-    return between_dates(nav_lag(in_range.unionByName(earlier)), "date", start, None)
+    in_range = sessions(start, end)
+    if start is None:
+        return nav_lag(in_range)
+    # Of the rows before the range the lag needs one per account, and of that only two columns.
+    accounts = in_range.select(ACCOUNT).distinct()
+    columns = ["date", "ending_value"]
+    earlier = last_before(sessions, [ACCOUNT], "date", columns, start, accounts, look_back_days)
+    rows = in_range.unionByName(earlier, allowMissingColumns=True)
+    return between_dates(nav_lag(rows), "date", start, None)
 
 
 def fund_returns(
@@ -87,8 +68,9 @@ def fund_returns(
     """Return of each account on each session of the range.
 
     The day's flow counts as if it came at its end: the return is the ending value without it over
-    the ending value one session earlier. ``look_back_days`` computes a short range without
-    reading all earlier history; the result is the same.
+    the ending value one session earlier. Earlier history is reduced to a row per account;
+    ``look_back_days`` searches that row in the days just before the range first, and may not read
+    the rest at all. The result is the same.
     """
     return _returns(_windowed_nav(delta_nav, calendar, start, end, look_back_days), "date", ACCOUNT)
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,12 +131,14 @@ def holding_base_merge(
     scope: Scope = Scope(),
     start: dt.date | None = None,
     end: dt.date | None = None,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Positions, dividends and net trades of each holding and day, side by side.
 
     Position columns stay NULL on days without a position; dividend and trade columns are 0.
     Dividends of a key neither held nor traded drop. ``shares_kept`` is the holding without the
-    day's trades, subtracted exactly: 0 there means the day opened the holding.
+    day's trades, subtracted exactly: 0 there means the day opened the holding. ``earlier`` are
+    rows from before the range, taken as they are for the lag to read.
     """
     bounded = [between_dates(df, "report_date", start, end) for df in (positions, dividends, trades)]
     legs = (
@@ -144,6 +147,8 @@ def holding_base_merge(
         .unionByName(_net_trades(bounded[2], scope), allowMissingColumns=True)
         .unionByName(dividends_by_holding(bounded[1], scope), allowMissingColumns=True)
     )
+    if earlier is not None:
+        legs = legs.unionByName(earlier.withColumn("held", F.lit(True)), allowMissingColumns=True)
     # Laid out by holding, which also groups by key and later serves the lag without a shuffle.
     # Each leg has one row per key, so max() just carries its values over.
     carried = [c for c in legs.columns if c not in KEY]
@@ -276,34 +281,17 @@ def _output(weighted: DataFrame) -> DataFrame:
     )
 
 
-def _merged_with_look_back(
-    positions: DataFrame,
-    dividends: DataFrame,
-    trades: DataFrame,
-    scope: Scope,
-    start: dt.date,
-    end: dt.date | None,
-    look_back_days: int,
+def _held_or_traded(
+    positions: DataFrame, trades: DataFrame, scope: Scope, start: dt.date | None, end: dt.date | None
 ) -> DataFrame:
-    """The range's merged rows and one earlier row per holding, searched near first.
-
-    Holdings without a row in the look-back are looked up in all of history, in one aggregation
-    over the two tables that make rows; the check that there are any comes first.
-    """
-    day_before = start - dt.timedelta(days=1)
-    horizon = start - dt.timedelta(days=look_back_days)
-    in_range = holding_base_merge(positions, dividends, trades, scope, start, end)
-    columns = [c for c in in_range.columns if c not in KEY]
-
-    def rows(first: dt.date | None, last: dt.date) -> DataFrame:
-        return holding_base_merge(positions, dividends, trades, scope, first, last)
-
-    earlier = last_before(rows(horizon, day_before), HOLDING, "report_date", columns)
-    unseen = in_range.select(*HOLDING).distinct().join(earlier.select(*HOLDING), HOLDING, "left_anti")
-    if not unseen.isEmpty():
-        older = rows(None, horizon - dt.timedelta(days=1)).join(unseen, HOLDING, "left_semi")
-        earlier = earlier.unionByName(last_before(older, HOLDING, "report_date", columns))
-    return in_range.unionByName(earlier)
+    """The rows a lag could read, without merging them: each position (rank 1), and each key with
+    net trades (rank 0), whose position columns are NULL. The latest by date and rank has the
+    values of the latest row of ``holding_base_merge``."""
+    held = scoped_positions(between_dates(positions, "report_date", start, end), scope)
+    traded = _net_trades(between_dates(trades, "report_date", start, end), scope).select(*KEY)
+    return held.withColumn("rank", F.lit(1)).unionByName(
+        traded.withColumn("rank", F.lit(0)), allowMissingColumns=True
+    )
 
 
 def holding_returns(
@@ -321,17 +309,19 @@ def holding_returns(
     """Return, weight and value of each holding on each session of the range.
 
     ``look_back`` lets the first rows of the range see their predecessors before it; without it
-    they compare with themselves, as a computation confined to the range must.
-    ``look_back_days`` bounds how far back is read first (the result stays the same).
+    they compare with themselves, as a computation confined to the range must. History is reduced
+    to a row per holding for that; ``look_back_days`` searches the days just before the range
+    first and reads the rest only if a holding is missing. The result is the same.
     The calendar applies after the lag, which may have read a row between sessions.
     ``window_weights`` sums the account values in a window instead of joining them.
     """
-    if not look_back:
-        merged = holding_base_merge(positions, dividends, trades, scope, start, end)
-    elif start is not None and look_back_days is not None:
-        merged = _merged_with_look_back(positions, dividends, trades, scope, start, end, look_back_days)
-    else:
-        merged = holding_base_merge(positions, dividends, trades, scope, None, end)
+    earlier = None
+    if look_back and start is not None:
+        rows = partial(_held_or_traded, positions, trades, scope)
+        wanted = rows(start, end).select(*HOLDING).distinct()
+        order = F.unix_date("report_date") * 2 + F.col("rank")
+        earlier = last_before(rows, HOLDING, order, ["report_date", *_LAGGED], start, wanted, look_back_days)
+    merged = holding_base_merge(positions, dividends, trades, scope, start, end, earlier)
     lagged = between_dates(holding_lag(merged), "report_date", start, None)
     adjusted = holding_adjustments(on_sessions(lagged, calendar, "report_date"))
     if window_weights:

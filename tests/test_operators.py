@@ -66,6 +66,19 @@ def test_many_copies_of_one_key(spark):
     assert [tuple(r) for r in merge.key_violations(stage, ["k"]).collect()] == [(7, 200_000)]
 
 
+def test_merges_can_follow_each_other(spark):
+    rows = spark.range(5000).selectExpr("CAST(id AS INT) AS k", "CAST(id AS STRING) AS v")
+    stage = spark.range(2500, 7500).selectExpr("CAST(id AS INT) AS k", "'x' AS v")
+    df = rows
+    for _ in range(2):
+        df = merge.upsert_update(df, stage.union(stage), ["k"], "latest", ["v"])
+        df = merge.upsert_ignore(df, stage.union(stage), ["k"])
+        df = merge.upsert_fill(df, stage, ["k"])
+        df = merge.upsert_update(df, stage, ["k"])
+    got = _map(df)
+    assert len(got) == 7500 and all(v == (str(k) if k < 2500 else "x") for k, v in got.items())
+
+
 def test_fill(spark):
     core = spark.createDataFrame([(1, None), (2, "b"), (4, None)], KV)
     stage = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], KV)
@@ -108,14 +121,35 @@ def test_windows_match_plain_loops(spark, groups):
             seen = now
 
 
-def test_last_before(spark, day):
+def test_last_per_key(spark, day):
     df = spark.createDataFrame(
         [("a", day(1), 1.0), ("a", day(3), None), ("b", day(2), 2.0)], "g string, d date, v double"
     )
-    got = {tuple(r) for r in windows.last_before(df, ["g"], "d", ["v"]).collect()}
+    got = {tuple(r) for r in windows.last_per_key(df, ["g"], "d", ["d", "v"]).collect()}
     assert got == {("a", day(3), None), ("b", day(2), 2.0)}
 
 
+@pytest.mark.parametrize("broadcast_keys", [1, 500_000])
+def test_last_before_reads_far_history_only_when_it_must(spark, day, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(windows, "BROADCAST_KEYS", broadcast_keys)
+    df = spark.createDataFrame([("a", day(1), 1.0), ("b", day(9), 2.0)], "g string, d date, v double")
+    read = []
+
+    def rows(first, last):
+        read.append(first)
+        return df.filter(df.d <= last) if first is None else df.filter(df.d.between(first, last))
+
+    def search(keys, days):
+        read.clear()
+        wanted = spark.createDataFrame([(k,) for k in keys], "g string")
+        found = windows.last_before(rows, ["g"], "d", ["d", "v"], day(10), wanted, days)
+        return {tuple(r) for r in found.collect() if r["g"] in keys}, len(read)
+
+    assert search("b", 3) == ({("b", day(9), 2.0)}, 1)
+    assert search("abc", 3) == ({("a", day(1), 1.0), ("b", day(9), 2.0)}, 2)
+    assert search("abc", None) == ({("a", day(1), 1.0), ("b", day(9), 2.0)}, 1)
+
+
 # --- Sessions ---
 
 
