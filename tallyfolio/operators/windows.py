@@ -58,17 +58,16 @@ def last_before(
     wanted: DataFrame,
     look_back_days: int | None = None,
 ) -> DataFrame:
-    """``columns`` of the latest row before ``start`` for the keys in ``wanted``.
+    """``columns`` of the latest row before ``start``, of the keys in ``wanted`` and maybe others.
 
     ``rows(first, last)`` gives the rows of a closed range. With ``look_back_days`` the days just
-    before ``start`` are searched first (for all keys; one more does no harm to a lag). The keys
-    not found there are counted, up to a limit: if there are none the rest of history is not read,
-    if they are few they are broadcast and cut it down where it is read, and if they are many it
-    is joined with them by shuffle.
+    before ``start`` are searched first. The keys not found there are counted, up to a limit: if
+    there are none the rest of history is not read, if they are few they are broadcast and cut it
+    down where it is read, and if they are many it is joined with them by shuffle.
     """
     day_before = start - dt.timedelta(days=1)
     if look_back_days is None:
-        return last_per_key(rows(None, day_before).join(wanted, list(keys), "left_semi"), keys, order, columns)
+        return last_per_key(rows(None, day_before), keys, order, columns)
     horizon = start - dt.timedelta(days=look_back_days)
     kept = rows(horizon, day_before)
     missing = wanted.join(kept.select(*keys).distinct(), list(keys), "left_anti")

@@ -15,6 +15,10 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A union of equally partitioned inputs may claim their partitioning and lose it when adaptive
+    # execution coalesces them differently ("Can't zip RDDs"). The plans here avoid such unions;
+    # this covers what callers build around them.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 _local_shared_dir: str | None = None

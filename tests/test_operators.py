@@ -147,7 +147,7 @@ def test_last_before_reads_far_history_only_when_it_must(spark, day, monkeypatch
 
     assert search("b", 3) == ({("b", day(9), 2.0)}, 1)
     assert search("abc", 3) == ({("a", day(1), 1.0), ("b", day(9), 2.0)}, 2)
-    assert search("abc", None) == ({("a", day(1), 1.0), ("b", day(9), 2.0)}, 1)
+    assert search("ab", None) == ({("a", day(1), 1.0), ("b", day(9), 2.0)}, 1)
 
 
 # --- Sessions ---
