@@ -44,11 +44,14 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, a temporary folder on a local
+    master (tests), and an error on a cluster, whose machines would not see one another's."""
     global _local_shared_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if _local_shared_dir is None:
         _local_shared_dir = tempfile.mkdtemp(prefix="tallyfolio-")
     return _local_shared_dir
