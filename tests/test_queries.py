@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyfolio.catalog.oracles import all_oracles
 from tallyfolio.catalog.fixtures import TABLES
+from tallyfolio.catalog.queries import all_queries
 from tools.check_queries import compare
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +24,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
 def test_entry(spark):
@@ -31,7 +33,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, db, name):
     df = entry.queries()[name](spark, SF)
     result = db.execute(entry.oracle_sql()[name])
