@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfolio.llm.common import scratch, written
 from tallyfolio.llm.exact_dedup import exact_groups
 from tallyfolio.llm.licenses import scan_licenses
 from tallyfolio.llm.mixing import PRODUCTION_MIX, mix_documents
+from tallyfolio.llm.packing import pack, pieces
+from tallyfolio.llm.quality import quality
+from tallyfolio.llm.token_files import ids_crc32, read_tokens, write_tokens
 from tallyfolio.llm.warc import list_records, read_records, write_packages
 
 
@@ -25,6 +30,27 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_documents(spark, folder))
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    write_tokens(_documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32(F.col("ids")).alias("ids_crc32"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Every piece of the documents with its place in the packed sequences."""
+    cuts = pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    cuts = cuts.withColumn("ids_crc32", ids_crc32(F.col("ids"))).drop("ids")
+    return pack(written(cuts, "pack-pieces"))
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(_documents(spark, folder))
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(_documents(spark, folder))
+
+
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(_documents(spark, folder))
 
