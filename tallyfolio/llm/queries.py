@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import scratch, written
 from tallyfolio.llm.exact_dedup import exact_groups
+from tallyfolio.llm.jaccard import jaccard_components
+from tallyfolio.llm.language import fit, held_out, with_language
 from tallyfolio.llm.licenses import scan_licenses
 from tallyfolio.llm.mixing import PRODUCTION_MIX, mix_documents
 from tallyfolio.llm.packing import pack, pieces
@@ -36,6 +38,10 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32(F.col("ids")).alias("ids_crc32"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(_documents(spark, folder))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every piece of the documents with its place in the packed sequences."""
     cuts = pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -47,6 +53,13 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(_documents(spark, folder))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    net = fit(docs.select("doc_id", "text", "lang"))
+    seen = with_language(docs.select("doc_id", "text"), net)
+    return seen.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(_documents(spark, folder))
 
