@@ -18,6 +18,7 @@ from tallyfolio.llm.packing import pack, pieces
 from tallyfolio.llm.quality import quality
 from tallyfolio.llm.token_files import ids_crc32, read_tokens, write_tokens
 from tallyfolio.llm.warc import list_records, read_records, write_packages
+from tallyfolio.llm.wrappers import main_text
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_documents(spark, folder))
 
 
+def op2_html_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(_pages(spark, folder)).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "token-files")
     write_tokens(_documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"))
