@@ -28,11 +28,11 @@ CORPUS_MIX = Mix(
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told: not those without text or letters, nor those where no language
-    has half of the probability."""
+    has half of the probability. Where there is nothing to learn from, letters are enough."""
     net = fit(docs.select("doc_id", "text", "lang"))
-    seen = with_language(docs, net, lang_pred="__lang", score="__score")
     if net is None:
-        return docs.limit(0)
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    seen = with_language(docs, net, lang_pred="__lang", score="__score")
     return seen.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
