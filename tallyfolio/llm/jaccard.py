@@ -164,59 +164,67 @@ def _possible(n: Column, i: Column, m: Column, j: Column) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (F.least(n - i, m - j) >= _need(n, m))
 
 
+def _of(rows: DataFrame, pairs: DataFrame, side: str, *columns: Column) -> DataFrame:
+    """Columns of the rows that one side of the pairs names; other rows are not moved."""
+    bits = bounded_filter(pairs, F.col(side))
+    return passing(rows, F.col("id"), bits).select(F.col("id").alias(side), *columns)
+
+
 def _compare(pairs: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame:
     """(a, b, lo, hi, link): bounds of the overlap, exact where the bitmaps leave the pair open."""
-    half = lambda side: sizes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
-    known = join_groups(join_groups(pairs, half("a"), ["a"], "inner"), half("b"), ["b"], "inner")
+    pairs = written(pairs, "jaccard-candidates")
+    for side in ("a", "b"):
+        known = _of(sizes, pairs, side, F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
+        pairs = join_groups(pairs, known, [side], "inner")
     differ = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    known = known.withColumn("hi", F.floor((F.col("n_a") + F.col("n_b") - differ) / 2)).drop("p_a", "p_b")
-    known = written(known.withColumn("need", _need(F.col("n_a"), F.col("n_b"))), "jaccard-pairs")
-    opened = known.filter("hi >= need").select("a", "b", "need")
-    ids = opened.select(F.col("a").alias("id")).unionByName(opened.select(F.col("b").alias("id"))).distinct()
-
-    def fetch(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in batches(frames, "text"):
-            sets = [x.tobytes() for x in shingle_sets(frame.column("text"))]
-            yield pa.RecordBatch.from_arrays([frame.column("id"), pa.array(sets, pa.large_binary())], ["id", "shingles"])
-
-    sets = only(docs, "id", ids).mapInArrow(fetch, "id long, shingles binary")
-    sets = written(sets.dropDuplicates(["id"]), "jaccard-sets")
+    pairs = pairs.withColumn("hi", F.floor((F.col("n_a") + F.col("n_b") - differ) / 2)).drop("p_a", "p_b")
+    pairs = written(pairs.withColumn("need", _need(F.col("n_a"), F.col("n_b"))), "jaccard-pairs")
+    opened = pairs.filter("hi >= need").select("a", "b", "need")
 
     def overlap(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            both = zip(frame.column("s_a").to_pylist(), frame.column("s_b").to_pylist(), strict=True)
-            n = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in both]
+        for frame in batches(frames, "t_b"):
+            both = zip(shingle_sets(frame.column("t_a")), shingle_sets(frame.column("t_b")), strict=True)
+            n = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in both]
             yield pa.RecordBatch.from_arrays([frame.column("a"), frame.column("b"), frame.column("need"), pa.array(n, pa.int64())], ["a", "b", "need", "overlap"])
 
-    side = lambda s: sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}"))
-    both = join_groups(join_groups(opened, side("b"), ["b"], "inner"), side("a"), ["a"], "inner")
-    exact = both.select("a", "b", "need", "s_a", "s_b").mapInArrow(overlap, "a long, b long, need long, overlap long")
+    # texts take less room than sets of hashes
+    both = opened
+    for side in ("b", "a"):
+        both = join_groups(both, _of(docs, opened, side, F.col("text").alias(f"t_{side}")), [side], "inner")
+    exact = both.select("a", "b", "need", "t_a", "t_b").mapInArrow(overlap, "a long, b long, need long, overlap long")
     exact = exact.select("a", "b", F.col("overlap").alias("lo"), F.col("overlap").alias("hi"), (F.col("overlap") >= F.col("need")).alias("link"))
-    shut = known.filter("hi < need").select("a", "b", F.lit(0).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), F.lit(False).alias("link"))
-    return written(shut.unionByName(exact), "jaccard-answers")
+    shut = pairs.filter("hi < need").select("a", "b", F.lit(0).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), F.lit(False).alias("link"))
+    return written(shut.unionByName(exact.dropDuplicates(["a", "b"])), "jaccard-answers")
 
 
-def _labelled(rows: DataFrame, labels: DataFrame, id: str, label: str) -> DataFrame:
-    found = join_groups(rows, labels.select(F.col("id").alias(id), F.col("label").alias(label)), [id])
-    return found.withColumn(label, F.coalesce(label, id))
+def _index(postings: DataFrame) -> DataFrame:
+    """The lists with two entries or more: each entry with its list's hub and length ``k``."""
+    shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1")
+    bits = written(bounded_filter(shared, F.col("token")), "jaccard-shared")
+    maybe = written(passing(postings, F.col("token"), bits), "jaccard-maybe")
+    hubs = maybe.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub")).filter("k > 1")
+    hubs = hubs.select("token", "k", F.col("hub.id").alias("h"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
+    return written(join_groups(maybe, hubs, ["token"], "inner"), "jaccard-index")
 
 
-def _links(docs: DataFrame, sets: DataFrame, lists: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
     """(id, label) of sets that have links."""
-    hubs = lists.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("hub"))
-    at = join_groups(lists, hubs, ["token"], "inner").select("token", "id", "n", "pos", F.col("hub.id").alias("h"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
-    at = written(at, "jaccard-hubs")
+    at = _index(postings)
     first = at.filter((F.col("id") != F.col("h")) & _possible(F.col("n"), F.col("pos"), F.col("h_n"), F.col("h_pos")))
     answers = _compare(first.select(F.col("h").alias("a"), F.col("id").alias("b")).distinct(), docs, sets)
     labels = written(components(answers.filter("link")), "jaccard-labels")
 
-    # what the hub knows of each set in its list
-    to_hub = answers.select(F.col("a").alias("h"), F.col("b").alias("id"), "lo", "hi")
-    at = _labelled(_labelled(at, labels, "id", "label"), labels, "h", "main")
-    at = join_groups(at, to_hub, ["h", "id"])
+    # what the hub knows of each set in its list; a list of two is settled
+    known = answers.select(F.col("a").alias("h"), F.col("b").alias("id"), "lo", "hi")
+    for side, label in (("id", "label"), ("h", "main")):
+        known = join_groups(known, labels.select(F.col("id").alias(side), F.col("label").alias(label)), [side])
+        known = known.withColumn(label, F.coalesce(label, side))
+    at = join_groups(at.filter("k > 2"), known, ["h", "id"])
     self = F.col("id") == F.col("h")
+    # a set that wasn't compared with its hub counts as an outsider of unknown component
     at = at.select(
-        "token", "id", "n", "pos", "label", (F.col("label") != F.col("main")).alias("out"),
+        "token", "id", "n", "pos", F.when(self, F.lit(None).cast("long")).otherwise(F.col("label")).alias("label"),
+        (~self & (F.col("label").isNull() | (F.col("label") != F.col("main")))).alias("out"),
         F.when(self, F.col("n")).otherwise(F.coalesce("lo", F.lit(0))).alias("lo"),
         F.when(self, F.col("n")).otherwise(F.coalesce("hi", F.least("n", "h_n"))).alias("hi"),
         F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT))).cast("int").alias("size_class"),
@@ -232,7 +240,7 @@ def _links(docs: DataFrame, sets: DataFrame, lists: DataFrame) -> DataFrame:
         lists,
         (F.col("token") == F.col("o_token"))
         & (F.col("size_class") == F.col("o_class"))
-        & (F.col("label") != F.col("o_label"))
+        & F.coalesce(F.col("label") != F.col("o_label"), F.lit(True))
         & (~F.col("out") | (F.col("o_id") < F.col("id")))
         & _possible(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
         & (F.col("o_hi") + F.col("n") - F.col("lo") >= need)
@@ -262,10 +270,9 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text")
     texts = narrow.filter(F.col("id").isNotNull())
     alone = without(texts, "id", left_out)
     postings = written(_postings(alone, _sketch(profiles)), "jaccard-postings")
-    shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    lists = written(only(postings, "token", written(shared, "jaccard-shared")), "jaccard-index")
-    labels = _links(texts, sets, lists)
-    by_set = _labelled(same, labels, "set", "component_id").select("sig", "component_id")
+    labels = _links(texts, sets, postings)
+    by_set = join_groups(same, labels.select(F.col("id").alias("set"), "label"), ["set"])
+    by_set = by_set.select("sig", F.coalesce("label", "set").alias("component_id"))
     found = join_groups(named.select("sig", "id", "n"), by_set, ["sig"], "inner")
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id").unionByName(
         rest.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
