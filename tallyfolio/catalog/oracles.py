@@ -283,7 +283,7 @@ def _series() -> dict[str, str]:
         ),
         "monthly_intervals": with_views(
             f"""SELECT CAST(date_trunc('month', date) AS DATE) AS month, min(date) AS from_date, max(date) AS to_date
-            FROM v_calendar WHERE {_between("date", (FIRST_DAY, LAST_DAY))} GROUP BY 1""",
+            FROM v_calendar GROUP BY 1""",
             "v_calendar",
         ),
     }

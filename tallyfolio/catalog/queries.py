@@ -340,7 +340,7 @@ def prev_session(v: Views) -> DataFrame:
 
 @_register
 def monthly_intervals(v: Views) -> DataFrame:
-    return sessions.monthly_intervals(v["v_calendar"], FIRST_DAY, LAST_DAY)
+    return sessions.monthly_intervals(v["v_calendar"])
 
 
 # --- Merge ------------------------------------------------------------------------------------------

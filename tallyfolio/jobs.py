@@ -21,9 +21,12 @@ from tallyfolio.plans.holdings import Scope, holding_returns
 from tallyfolio.plans.series import benchmark_return, risk_free_return
 from tallyfolio.schemas import HISTORY_START, REPORTS
 from tallyfolio.sources.reports import Landing, read_all_zones, read_backfill, read_daily
+from tallyfolio.sources.series import PRICE_COLUMNS, clean_prices, clean_yields
 from tallyfolio.sources.tables import Warehouse
 
 _ONE_DAY = dt.timedelta(days=1)
+# Where the search for a session may begin: a few thousand rows, and before any report.
+EARLIEST = dt.date(1900, 1, 1)
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,7 @@ class Options:
     look_back: bool = True
     # "ignore" keeps the first risk-free value stored for a day, also an empty one.
     risk_free_mode: str = "ignore"
-    mixed_layouts: bool = False
+    mixed_layouts: bool = True
     # Reloads only: let the newest file decide where files disagree on a key, instead of failing.
     newest_only: bool = False
 
@@ -84,8 +87,7 @@ def check_window(today: dt.date, start: dt.date, end: dt.date) -> None:
 def last_session_before(spark: SparkSession, inputs: Inputs, day: dt.date) -> dt.date:
     """Latest session before ``day``, from the exchange rules and not from what has been loaded."""
     yesterday = day - _ONE_DAY
-    sessions = trading_days(spark, yesterday - dt.timedelta(days=30), yesterday, inputs.holidays)
-    return last_market_date(sessions, yesterday)
+    return last_market_date(trading_days(spark, EARLIEST, yesterday, inputs.holidays), yesterday)
 
 
 def _together(*tasks: Callable[[], None]) -> None:
@@ -105,11 +107,11 @@ def _series_loads(
     warehouse: Warehouse, inputs: Inputs, options: Options, start: dt.date, end: dt.date, prices: DataFrame
 ) -> list[Callable[[], None]]:
     sessions = trading_days(warehouse.spark, start, end, inputs.holidays)
-    one_series = inputs.yields.filter(F.col("series_id") == inputs.series)
+    one_series = clean_yields(inputs.yields).filter(F.col("series_id") == inputs.series)
     rates = risk_free_return(one_series, start, end)
     return [
         lambda: warehouse.merge("calendar", sessions, mode="ignore"),
-        lambda: warehouse.merge("benchmark", benchmark_return(prices)),
+        lambda: warehouse.merge("benchmark", benchmark_return(clean_prices(prices, PRICE_COLUMNS))),
         lambda: warehouse.merge("risk_free_rate", rates, mode=options.risk_free_mode),
     ]
 

@@ -39,7 +39,11 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     kind = F.when(_any_null(keys), F.lit("null in key: ")).otherwise(F.lit("duplicate key: "))
-    broken = key_violations(df, keys).agg(F.max(F.concat(kind, shown)).alias("broken")).scalar()
+    said = F.concat(kind, shown)
+    found = key_violations(df, keys).agg(
+        F.concat(F.max(said), F.lit("; first of them "), F.min(said), F.lit("; keys at fault: "), F.count("*")).alias("broken")
+    )
+    broken = found.scalar()
     return df.filter(F.when(broken.isNull(), F.lit(True)).otherwise(F.raise_error(broken).cast("boolean")))
 
 
@@ -67,7 +71,8 @@ def upsert_update(
         incoming = require_keys(stage, keys)
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    kept = core.join(stage.select(*keys), list(keys), "left_anti").select(*core.columns)
+    # the reduced stage: one row per key, so no hot key on the side that can't be split
+    kept = core.join(incoming.select(*keys), list(keys), "left_anti").select(*core.columns)
     return kept.unionByName(incoming.select(*core.columns))
 
 

@@ -37,17 +37,15 @@ def on_sessions(df: DataFrame, calendar: DataFrame, column: str = "date") -> Dat
     return df.join(F.broadcast(sessions), column, "left_semi")
 
 
-def last_session(calendar: DataFrame, reference: dt.date, look_back_days: int = 30) -> DataFrame:
-    """One row: the latest session on or before ``reference``, NULL if none in the look-back."""
-    earliest = reference - dt.timedelta(days=look_back_days)
-    recent = calendar.filter(F.col("date").between(F.lit(earliest), F.lit(reference)))
-    return recent.agg(F.max("date").alias("date"))
+def last_session(calendar: DataFrame, reference: dt.date) -> DataFrame:
+    """One row: the latest session on or before ``reference``, NULL if there is none."""
+    return calendar.filter(F.col("date") <= F.lit(reference)).agg(F.max("date").alias("date"))
 
 
-def last_market_date(calendar: DataFrame, reference: dt.date, look_back_days: int = 30) -> dt.date:
-    found = last_session(calendar, reference, look_back_days).first()["date"]
+def last_market_date(calendar: DataFrame, reference: dt.date) -> dt.date:
+    found = last_session(calendar, reference).first()["date"]
     if found is None:
-        raise ValueError(f"no session in the {look_back_days} days up to {reference}")
+        raise ValueError(f"no session up to {reference}")
     return found
 
 

@@ -61,7 +61,7 @@ def last_before(
     """``columns`` of the latest row before ``start``, of the keys in ``wanted`` and maybe others.
 
     ``rows(first, last)`` gives the rows of a closed range. With ``look_back_days`` the days just
-    before ``start`` are searched first. The keys not found there are counted, up to a limit: if
+    before ``start`` are searched first. The keys not found there are counted: if
     there are none the rest of history is not read, if they are few they are broadcast and cut it
     down where it is read, and if they are many it is joined with them by shuffle.
     """
@@ -71,7 +71,7 @@ def last_before(
     horizon = start - dt.timedelta(days=look_back_days)
     kept = rows(horizon, day_before)
     missing = wanted.join(kept.select(*keys).distinct(), list(keys), "left_anti")
-    n_missing = missing.limit(BROADCAST_KEYS + 1).count()
+    n_missing = missing.count()
     if n_missing > 0:
         among = F.broadcast(missing) if n_missing <= BROADCAST_KEYS else missing
         far = rows(None, horizon - dt.timedelta(days=1)).join(among, list(keys), "left_semi")

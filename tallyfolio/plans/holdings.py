@@ -150,13 +150,18 @@ def holding_base_merge(
     if earlier is not None:
         legs = legs.unionByName(earlier.withColumn("held", F.lit(True)), allowMissingColumns=True)
     # Laid out by holding, which also groups by key and later serves the lag without a shuffle.
-    # Each leg has one row per key, so max() just carries its values over.
+    # Each leg has one row per key, so max() just carries its values over. Trades and dividends are
+    # sums per key; a position twice would be mixed up from both rows, and is counted.
     carried = [c for c in legs.columns if c not in KEY]
-    merged = legs.repartition(*HOLDING).groupBy(*KEY).agg(*[F.max(c).alias(c) for c in carried])
+    merged = legs.repartition(*HOLDING).groupBy(*KEY).agg(
+        *[F.max(c).alias(c) for c in carried], F.count("held").alias("n_positions")
+    )
+    repeated = F.raise_error(F.concat_ws(" ", F.lit("position twice:"), *[F.col(k).cast("string") for k in KEY]))
     shares = zero_if_null(F.col("shares_1"))
     # Only days with trades pay for decimal arithmetic.
     kept = F.when(F.col("net").isNull(), shares).otherwise((shares.cast(SHARES) - F.col("net")).cast("double"))
-    return merged.filter(F.col("held") | F.col("net").isNotNull()).select(
+    present = F.col("held") | F.col("net").isNotNull()
+    return merged.filter(F.when(F.col("n_positions") > 1, repeated.cast("boolean")).otherwise(present)).select(
         *KEY,
         "fx_rate_1",
         "shares_1",

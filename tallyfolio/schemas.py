@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 # --- Fixed values: they must equal the source system's for right results ---------------------
 
 # Instrument sub-categories that count as holdings. The trade list really has ATR where the
-# position list has ADR; ``plans.holding.Scope`` lets a caller align them.
+# position list has ADR; ``plans.holdings.Scope`` lets a caller align them.
 POSITION_SCOPE = ("ETF", "COMMON", "ADR")
 TRADE_SCOPE = ("ETF", "COMMON", "ATR")
 

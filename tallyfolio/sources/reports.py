@@ -9,18 +9,19 @@ Zones under one root, each report a CSV file or a folder of CSV part files:
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfolio.operators.cleaning import CLEANERS
 from tallyfolio.operators.filters import union_all, union_distinct
 from tallyfolio.operators.merge import latest_per_key
-from tallyfolio.schemas import CORE_TABLES
+from tallyfolio.schemas import CORE_TABLES, REPORT_COLUMNS
 
 # Where a row came from: when its file was written, and which one it was.
 ORIGIN = ["file_time", "file_path"]
@@ -54,60 +55,101 @@ class Landing:
         ]
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False) -> DataFrame:
+# Doubled quotes, as spreadsheets and most CSV writers have them; Spark's own default is a backslash.
+CSV_OPTIONS = {"escape": '"', "quote": '"'}
+
+
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False, multi_line: bool = False
+) -> DataFrame:
     """All columns as text under the header's names; no inference pass. ``with_origin`` adds the
     ``ORIGIN`` columns.
 
     Text keeps leading zeros of identifiers. Columns are named by the first file's header, and a
-    file with another header fails the read instead of being read by position.
+    file with another header fails the read instead of being read by position. ``multi_line`` allows
+    line breaks in quoted text; such files are not split over tasks.
     """
     rows = (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_OPTIONS)
+        .option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .csv(paths)
     )
-    if not with_origin:
-        return rows
-    return rows.select(
-        "*",
+    return rows.select("*", *_origin()) if with_origin else rows
+
+
+def _origin() -> list[Column]:
+    return [
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file_path"),
-    )
+    ]
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, header): the first line of each file, whatever lines of the kind it repeats below.
+
+    Only the split that begins a file can hold it, and ``first`` keeps one line per file there.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    opening = lines.filter(F.col("file_block_start") == 0)
+    return opening.groupBy(F.col("file_path").alias("path")).agg(F.first("value").alias("header"))
 
 
 def read_csv_by_layout(
-    spark: SparkSession, paths: str | Sequence[str], with_origin: bool = False, marker: str = "ClientAccountID"
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], with_origin: bool = False
 ) -> DataFrame:
-    """``read_csv`` for files that differ in columns or their order.
+    """``columns`` of files that may differ in columns or their order, each read by its own first line.
 
-    A first pass finds the distinct header lines (those holding ``marker``) and the files under
-    each; every layout is then read on its own and matched by name, absent columns being NULL.
-    Only headers and file names reach the driver, which lists the files anyway.
+    A file whose header lacks one of the columns is an error that names it. Only distinct headers
+    reach the driver. With one header for all, the files are read as they are; else every line is
+    parsed by the layout of its file.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    headers = lines.filter(F.col("value").contains(marker))
-    layouts = headers.groupBy("value").agg(F.collect_set("path").alias("paths")).collect()
-    frames = [read_csv(spark, sorted(layout["paths"]), with_origin) for layout in layouts]
-    if not frames:
-        raise ValueError(f"no header line with {marker} under {paths}")
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    return merged
+    headers = file_headers(spark, paths)
+    layouts = headers.groupBy("header").agg(F.min("path").alias("path")).collect()
+    names = {}
+    for layout in layouts:
+        names[layout["header"]] = next(csv.reader([layout["header"]]), [])
+        lacking = [c for c in columns if c not in names[layout["header"]]]
+        if lacking:
+            raise ValueError(f"{layout['path']} has no column {', '.join(lacking)} in its header")
+    if not layouts:
+        raise ValueError(f"no lines under {paths}")
+    picked = [F.col(f"`{c}`") for c in columns]
+    if len(layouts) == 1:
+        return read_csv(spark, paths, with_origin).select(*picked, *(ORIGIN if with_origin else ()))
+    lines = spark.read.text(paths).select("value", *_origin())
+    lines = lines.join(headers.withColumnRenamed("path", "file_path"), "file_path")
+    frames = []
+    for header, found in names.items():
+        own = (F.col("header") == F.lit(header)) & (F.col("value") != F.lit(header)) & (F.trim("value") != "")
+        # the test is inside the expression too, as filters may be put in any order
+        parsed = F.when(own, F.from_csv("value", _ddl(found), {**CSV_OPTIONS, "mode": "FAILFAST"}))
+        rows = lines.filter(own).select(parsed.alias("row"), *ORIGIN)
+        frames.append(rows.select(*[F.col(f"row.`{c}`") for c in columns], *(ORIGIN if with_origin else ())))
+    return union_all(frames)
+
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{name}` STRING" for name in names)
 
 
 def read_report(
     spark: SparkSession,
     paths: str | Sequence[str],
     report: str,
-    mixed_layouts: bool = False,
+    mixed_layouts: bool = True,
     with_origin: bool = False,
 ) -> DataFrame:
-    """Cleaned rows of one report from any number of files."""
-    reader = read_csv_by_layout if mixed_layouts else read_csv
-    return CLEANERS[report](reader(spark, paths, with_origin), keep=ORIGIN if with_origin else ())
+    """Cleaned rows of one report from any number of files. ``mixed_layouts=False`` skips the look at
+    the headers and refuses files that differ in them."""
+    if mixed_layouts:
+        rows = read_csv_by_layout(spark, paths, list(REPORT_COLUMNS[report]), with_origin)
+    else:
+        rows = read_csv(spark, paths, with_origin)
+    return CLEANERS[report](rows, keep=ORIGIN if with_origin else ())
 
 
 def read_daily(spark: SparkSession, landing: Landing, day: dt.date, report: str, **options) -> DataFrame:
@@ -121,7 +163,7 @@ def read_backfill(
 
 
 def read_all_zones(
-    spark: SparkSession, landing: Landing, report: str, newest_only: bool = False, mixed_layouts: bool = False
+    spark: SparkSession, landing: Landing, report: str, newest_only: bool = False, mixed_layouts: bool = True
 ) -> DataFrame:
     """Reload: every zone that has files, each read on its own header, repeated rows removed.
 
@@ -164,7 +206,7 @@ def list_source_files(spark: SparkSession, root: str) -> DataFrame:
 
 def land_report(df: DataFrame, path: str) -> None:
     """Write one report as CSV under its landing path, in place of an earlier one."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).option("header", True).csv(path)
 
 
 def land_partitioned(df: DataFrame, root: str, run_date: str = "run_date", fund: str = "fund") -> None:
@@ -177,6 +219,7 @@ def land_partitioned(df: DataFrame, root: str, run_date: str = "run_date", fund:
         df.hint("rebalance", F.col(run_date), F.col(fund))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**CSV_OPTIONS)
         .option("header", True)
         .partitionBy(run_date, fund)
         .csv(root)

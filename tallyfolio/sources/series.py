@@ -31,6 +31,10 @@ def prices_wide_to_long(
     return df.select(date, F.inline(F.array(*rows)))
 
 
+PRICE_COLUMNS = {c: c for c in ("date", "ticker", "adjusted_close", "dividends_per_share")}
+"""For prices that have their core names already."""
+
+
 def clean_prices(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Price history as ``(date, ticker, adjusted_close, dividends_per_share)``."""
     # Column names of the price source.

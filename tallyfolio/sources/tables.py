@@ -13,6 +13,8 @@ read stays readable until then.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 from string import Formatter
 
 from pyspark.errors import AnalysisException
@@ -27,14 +29,15 @@ from tallyfolio.schemas import CORE_TABLES, CoreTable
 PERIOD = "period"
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """``df`` in a core table's columns, order and types; columns it lacks are NULL."""
+def conform(df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
+    """``df`` in a core table's columns, order and types; columns it lacks are NULL. ``extra`` follow."""
     present = set(df.columns)
     return df.select(
         [
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in CORE_TABLES[table].schema.fields
         ]
+        + list(extra)
     )
 
 
@@ -54,7 +57,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def _stage_path(self, table: str) -> str:
-        return f"{self.root}/_stage/{table}"
+        """A folder per batch, so that loads of one table at a time don't read each other's."""
+        return f"{self.root}/_stage/{table}/{uuid.uuid4().hex}"
 
     def _grain(self, spec: CoreTable) -> str:
         return self.grain if self.grain and spec.grain == "day" else spec.grain
@@ -83,6 +87,13 @@ class Warehouse:
         stored = self._scan(spec, self.path(table))
         if stored is None:
             return self.spark.createDataFrame([], spec.schema)
+        if self._partition(spec) == PERIOD:
+            first, last = (None if d is None else F.trunc(F.lit(d), self._grain(spec)) for d in (start, end))
+            # a date filter does not reach the folders by itself, as they are named by their period
+            if first is not None:
+                stored = stored.filter(F.col(PERIOD) >= first)
+            if last is not None:
+                stored = stored.filter(F.col(PERIOD) <= last)
         return between_dates(stored.select(*spec.columns), spec.date, start, end)
 
     def sql(self, query: str, args: dict | None = None) -> DataFrame:
@@ -90,45 +101,54 @@ class Warehouse:
         names = {name for _, name, _, _ in Formatter().parse(query) if name}
         return self.spark.sql(query, args=args, **{name: self.read(name) for name in names})
 
-    def stage(self, table: str, batch: DataFrame) -> DataFrame:
-        """Write a batch beside the core tables, in place of the last one, and read it back.
+    def stage(self, table: str, batch: DataFrame, extra: Sequence[str] = ()) -> tuple[DataFrame, str]:
+        """Write a batch beside the core tables, in a folder of its own, and read it back.
 
         The merge looks at the batch three times (its partitions, its keys, its rows); from here
-        those are column-pruned parquet reads and the report files are parsed once.
+        those are column-pruned parquet reads and the report files are parsed once. ``extra`` columns
+        go along, to choose between repeated keys.
         """
         spec = CORE_TABLES[table]
-        rows = self._with_partition(conform(batch, table), spec)
-        rows.write.mode("overwrite").parquet(self._stage_path(table))
-        return self._scan(spec, self._stage_path(table))
-
-    def drop_stage(self, table: str) -> None:
-        """Empty the stage of a table."""
-        spec = CORE_TABLES[table]
-        empty = self._with_partition(self.spark.createDataFrame([], spec.schema), spec)
-        empty.write.mode("overwrite").parquet(self._stage_path(table))
-
-    def merge(self, table: str, batch: DataFrame, mode: str = "update") -> None:
+        path = self._stage_path(table)
+        rows = self._with_partition(conform(batch, table, extra), spec)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path), path
+
+    def drop_stage(self, path: str) -> None:
+        """Delete the folder of a batch."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    def merge(
+        self, table: str, batch: DataFrame, mode: str = "update", on_duplicate: str = "error", order: Sequence[str] = ()
+    ) -> None:
         """Merge a batch by primary key.
 
         ``mode``: ``update`` replaces rows with the batch's keys, ``ignore`` keeps them, ``fill``
-        keeps them but fills their NULLs.
+        keeps them but fills their NULLs. A key twice in an ``update`` batch is an error, or with
+        ``on_duplicate="latest"`` its last row by ``order`` counts. Loads of one table may run side by
+        side as long as they touch different partitions; the swap of one partition by two is not locked.
         """
         operator = {"update": upsert_update, "ignore": upsert_ignore, "fill": upsert_fill}[mode]
+        options = {"on_duplicate": on_duplicate, "order": order} if mode == "update" else {}
         spec = CORE_TABLES[table]
-        staged = self.stage(table, batch)
-        partition = self._partition(spec)
-        # One value per partition touched: bounded by the days of history, not by the rows.
-        touched = [row[partition] for row in staged.select(partition).distinct().collect()]
-        if None in touched:
-            raise ValueError(f"null {spec.date} in a batch for {table}")
-        if touched:
-            stored = self._scan(spec, self.path(table))
-            if stored is None:
-                core = self.spark.createDataFrame([], staged.schema)
-            else:
-                core = stored.filter(F.col(partition).isin(touched)).select(*staged.columns)
-            self._write(table, operator(core, staged, spec.key), partition)
-        self.drop_stage(table)
+        staged, path = self.stage(table, batch, [c for c in order if c not in spec.columns])
+        try:
+            partition = self._partition(spec)
+            # One value per partition touched: bounded by the days of history, not by the rows.
+            touched = [row[partition] for row in staged.select(partition).distinct().collect()]
+            if None in touched:
+                raise ValueError(f"null {spec.date} in a batch for {table}")
+            if touched:
+                stored = self._scan(spec, self.path(table))
+                columns = [c for c in staged.columns if c in spec.columns or c == partition]
+                if stored is None:
+                    core = self.spark.createDataFrame([], staged.select(*columns).schema)
+                else:
+                    core = stored.filter(F.col(partition).isin(touched)).select(*columns)
+                self._write(table, operator(core, staged, spec.key, **options), partition)
+        finally:
+            self.drop_stage(path)
 
     def _write(self, table: str, rows: DataFrame, partition: str) -> None:
         """Replace the partitions present in ``rows``; a large one is split over several tasks."""

@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfolio.operators.cleaning import CLEANERS
 from tallyfolio.schemas import REPORT_COLUMNS
 from tallyfolio.session import shared_dir
-from tallyfolio.sources.reports import Landing
+from tallyfolio.sources.reports import CSV_OPTIONS, ORIGIN, Landing
 from tallyfolio.sources.tables import Warehouse
 
 
@@ -35,16 +36,21 @@ def pick_up(
     header = list(columns or REPORT_COLUMNS[report])
     reader = (
         warehouse.spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+        .options(**CSV_OPTIONS)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = CLEANERS[report](reader.csv(f"{landing.root}/daily-files/*/*/*-{report}.csv"))
+    files = reader.csv(f"{landing.root}/daily-files/*/*/*-{report}.csv")
+    files = files.select(
+        "*", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file_path")
+    )
+    rows = CLEANERS[report](files, keep=ORIGIN)
 
     def merge(batch: DataFrame, _: int) -> None:
-        warehouse.merge(report, batch)
+        warehouse.merge(report, batch, on_duplicate="latest", order=ORIGIN)
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -180,7 +180,7 @@ def test_pick_up_takes_new_files_once(setting, spark, tmp_path):
     warehouse, inputs = setting
     taken = []
     merge = warehouse.merge
-    warehouse.merge = lambda table, batch, mode="update": (taken.append(batch.count()), merge(table, batch, mode))
+    warehouse.merge = lambda table, batch, **options: (taken.append(batch.count()), merge(table, batch, **options))
 
     def run() -> None:
         pick_up(warehouse, inputs.landing, "positions", checkpoint=str(tmp_path / "ckpt")).awaitTermination()
