@@ -18,6 +18,7 @@ table gives no pieces. Extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import batches, join_groups, text_of, written
-from tallyfolio.llm.token_files import id_lists
-from tallyfolio.llm.tokens import encoder
+from tallyfolio.llm.tokens import BATCH_BYTES, encoder
 
 LENGTH = 2048
 SALTS = 256
@@ -68,27 +68,32 @@ def histogram_packs(counts: dict[int, int], room: int = LENGTH) -> tuple[list[tu
     return segments, packs
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids): every document's tokens, cut at multiples of ``length``."""
-    fields = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
+def pieces(
+    docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, id: str = "doc_id", text: str = "text", with_ids: bool = True
+) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens) and ``ids``: every document's tokens, cut at multiples
+    of ``length``."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
-        for frame in batches(frames, "text"):
-            ids, offsets = id_lists(coder.encode(frame.column("text").to_pylist()), end_id)
+        for frame in batches(frames, "text", BATCH_BYTES):
+            ids, offsets = coder.encode_ended(frame.column("text"), end_id)
             n = np.diff(offsets).astype(np.int64)
             parts = -(-n // length)
             row = np.repeat(np.arange(len(n)), parts)
             start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
             size = np.minimum(length, n[row] - start)
             bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [frame.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(size), pa.array(n[row]), lists], schema=fields
-            )
+            raw = memoryview(ids.astype("<i4")).cast("B")
+            crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(bounds, bounds[1:], strict=False)]
+            columns = [frame.column("doc_id").take(pa.array(row)), *map(pa.array, (start, size)), pa.array(crc, pa.int64()), pa.array(n[row])]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids, pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "ids"][: len(columns)])
 
     narrow = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return narrow.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids array<int>")
+    return narrow.mapInArrow(cut, ", ".join(f"{c} long" for c in names) + ", ids array<int>" * with_ids)
 
 
 def pack(cuts: DataFrame, room: int = LENGTH) -> DataFrame:

@@ -49,8 +49,7 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Every piece of the documents with its place in the packed sequences."""
-    cuts = pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    cuts = cuts.withColumn("ids_crc32", ids_crc32(F.col("ids"))).drop("ids")
+    cuts = pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
     return pack(written(cuts, "pack-pieces"))
 
 

@@ -24,19 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import batches, text_of
-from tallyfolio.llm.tokens import encoder
+from tallyfolio.llm.tokens import BATCH_BYTES, encoder
 
 SCHEMA = "doc_id long, shard int, place long, n_tokens long, ids array<int>"
 _FIELDS = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("place", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def id_lists(encoded: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """All ids, each text's followed by the end id, and the offsets of the texts."""
-    end = np.array([end_id], "<u4").tobytes()
-    ids = np.frombuffer(b"".join(x + end for x in encoded), "<i4")
-    return ids, np.concatenate([[0], np.cumsum([len(x) // 4 + 1 for x in encoded])]).astype(np.int32)
-
-
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, id: str = "doc_id", text: str = "text"
 ) -> None:
@@ -44,8 +37,8 @@ def write_tokens(
 
     def encode(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard, place = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for frame in batches(frames, "text"):
-            ids, offsets = id_lists(coder.encode(frame.column("text").to_pylist()), end_id)
+        for frame in batches(frames, "text", BATCH_BYTES):
+            ids, offsets = coder.encode_ended(frame.column("text"), end_id)
             n = np.diff(offsets).astype(np.int64)
             starts = place + offsets[:-1].astype(np.int64)
             place += int(offsets[-1])
@@ -62,13 +55,14 @@ def write_tokens(
 
 
 def read_tokens(spark: SparkSession, path: str, wanted: Column | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) from the files; ``wanted``, a condition on doc_id, prunes them."""
+    """(doc_id, start, n_tokens, ids) from the files; ``wanted``, a condition on doc_id, prunes them. What
+    is broadcast has a row of two numbers per file."""
     files = spark.read.schema(SCHEMA).orc(path)
     sums = files.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     bases = sums.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long")).alias("base"))
     rows = files if wanted is None else files.filter(wanted)
-    return rows.join(bases, "shard").select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids")
 
 
 def ids_crc32(ids: Column) -> Column:

@@ -1,70 +1,156 @@
 """Token ids of texts by the tokenizers library, a word at a time from a cache.
 
-Neither tokenizer here forms a token across a single space between two characters that aren't white
-space: one drops white space, the other puts the space at the head of the next token. So a text cut at
-such places gives the same ids piece by piece. Most words occur again and again, and their ids are kept,
-in a cache of bounded size per Python worker that outlives its tasks. Texts with other spacing are cut
-at those places alone; the tests compare both ways with the whole text's encoding.
+Neither tokenizer here forms a token across a single space or line break between two characters that
+aren't white space: one drops white space; the other puts a space at the head of the next token and makes
+a line break one of its own. So a text cut at such places gives the same ids piece by piece. Texts with
+other spacing are encoded whole.
+
+The pieces of a batch are made distinct by Arrow, so a piece is looked up once per batch. Ids are kept in
+a cache of two generations and bounded size per Python worker, which outlives its tasks. A new piece of
+plain Latin letters goes to the library's BPE model directly, as no rule of its pre-tokenizer can cut it;
+all others take the library's full way.
 """
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 CACHE_PIECES = 400_000
 LONGEST_KEPT = 64
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-_ODD = re.compile(r" \s|\s ")
+BATCH_BYTES = 4 << 20
 
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD = rf"^{_SPACE}|{_SPACE}$|{_SPACE}{_SPACE}"
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter of each byte: itself if it is visible in Latin-1, else from U+0100 on."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-class PieceEncoder:
-    """ids of a text as little-endian unsigned 32-bit integers."""
 
+class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[str]:
-        if _ODD.search(text) or text[:1] == " " or text[-1:] == " ":
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) if t else [] for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        new = list({p for pieces in split for p in pieces if p not in cache})
-        rare = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = np.array(found.ids, "<u4").tobytes()
-                (cache if len(piece) <= LONGEST_KEPT else rare)[piece] = ids
-        if rare:
-            cache = _Both(cache, rare)
-        return [b"".join(map(cache.__getitem__, pieces)) for pieces in split]
-
-
-class _Both(dict):
-    def __init__(self, kept: dict[str, bytes], rare: dict[str, bytes]):
-        super().__init__(rare)
-        self.kept = kept
-
-    def __missing__(self, key: str) -> bytes:
-        return self.kept[key]
+        self.model = self.tokenizer.model
+        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self.space = _byte_letters()[32]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.line = self._whole(["a\nb"])[0][4:-4]  # what a line break becomes
+        spaced = self._whole(["a b"])[0][4:]
+        self.folds = spaced == self._whole(["b"])[0]  # white space is dropped and letters are lower-cased
+        self.ends = {"": b"", ".": self._whole(["a."])[0][4:], ",": self._whole(["a,"])[0][4:]}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _word(self, word: str, spaced: bool) -> bytes:
+        word = word.lower() if self.folds else " " + word if spaced else word
+        if word.isascii():
+            mapped = word.replace(" ", self.space, 1)
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        found, hard = {}, []
+        for piece in pieces:
+            m = _PLAIN.fullmatch(piece)
+            stem = self.young.get(m[1] + m[2]) if m and m[3] else None
+            if stem is not None:
+                found[piece] = stem + self.ends[m[3]]
+            elif m:
+                found[piece] = (self.line if m[1] else b"") + self._word(m[2], not m[1]) + self.ends[m[3]]
+            else:
+                hard.append(piece)
+        # a piece that begins with a line break stands after one, any other after a space
+        texts = [p if p[:1] == "\n" else " " + p for p in hard]
+        for at in range(0, len(hard), 4096):
+            for piece, text, ids in zip(hard[at : at + 4096], texts[at : at + 4096], self._whole(texts[at : at + 4096]), strict=True):
+                found[piece] = ids
+        return found
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        young, old = self.young, self.old
+        known = list(map(young.get, pieces))
+        missing = []
+        for i, ids in enumerate(known):
+            if ids is None:
+                ids = old.get(pieces[i])
+                if ids is None:
+                    missing.append(i)
+                else:
+                    known[i] = young[pieces[i]] = ids
+        if missing:
+            new = self._learn([pieces[i] for i in missing])
+            for i in missing:
+                known[i] = new[pieces[i]]
+            young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT)
+        if len(young) > CACHE_PIECES:
+            self.old, self.young = young, {}
+        return known
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (no nulls), and how many each text has."""
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(odd)
+        special = self._whole(column.take(pa.array(at)).to_pylist()) if len(at) else []
+        if len(at):
+            column = pc.if_else(pa.array(odd), "", column)
+        # every piece follows a line break or a space; the break put before each text is taken off again
+        lined = pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n")
+        split = pc.split_pattern(pc.utf8_slice_codeunits(lined, 1), " ")
+        coded = split.flatten().dictionary_encode()
+        lists = self._ids(coded.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(lists), "<u4")
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        starts = np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        n = sizes[index]
+        place = np.cumsum(n) - n
+        ids = flat[np.repeat(starts[index] - place, n) + np.arange(n.sum())]
+        offsets = split.offsets.to_numpy()
+        counts = np.add.reduceat(n, offsets[:-1] - offsets[0]) if len(column) else np.zeros(0, np.int64)
+        extra = len(self.line) // 4
+        if extra:
+            first = np.cumsum(counts) - counts
+            keep = np.ones(len(ids), bool)
+            for k in range(extra):
+                keep[first + k] = False
+            ids, counts = ids[keep], counts - extra
+        if len(at):
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i, x in zip(at, special, strict=True):
+                parts[i] = np.frombuffer(x, "<u4")
+            ids, counts = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return ids, counts
+
+    def encode_ended(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids with the end id after each text, as int32, and the offsets of the texts."""
+        ids, counts = self.encode(column)
+        offsets = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int32)
+        out = np.full(offsets[-1], end_id, np.int32)
+        inner = np.ones(len(out), bool)
+        inner[offsets[1:] - 1] = False
+        out[inner] = ids
+        return out, offsets
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
     """One per worker process and vocabulary."""
-    import os
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return PieceEncoder(path)
