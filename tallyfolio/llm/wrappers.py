@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import batches, join_groups, text_of, written
-from tallyfolio.llm.markup import Node, aligned, fold, joined, parse, shape
+from tallyfolio.llm.markup import INLINE, Node, aligned, fold, joined, parse, shape
 
 SHAPES = 2000
 SALTS = 16
@@ -114,12 +114,16 @@ def marked(wrapper: list) -> list:
     def links(node: list) -> bool:
         return node[0].split(" ")[0] in ("ul", "ol") and bool(node[2]) and all(not c[1] and [g[0].split(" ")[0] for g in c[2]] == ["a"] for c in node[2])
 
+    def inline(node: list) -> bool:
+        """Part of the text around it, and so no constant by itself."""
+        return node[0].split(" ")[0] in INLINE
+
     def mark(node: list, inside: bool, pages: int) -> list:
         inside = inside or _is_main(node[0])
         if _barred(node[0], inside) or (not need_main and links(node)):
             return [node[0], False, []]
         # what only some pages have may be one article's copies, and is no constant of the template
-        constant = node[1] not in ("", FIELD) and node[3] >= max(CONSTANT_PAGES, pages) and varied
+        constant = node[1] not in ("", FIELD) and node[3] >= max(CONSTANT_PAGES, pages) and varied and not inline(node)
         return [node[0], inside and not constant, [mark(c, inside, node[3]) for c in node[2]]]
 
     return mark(wrapper, not need_main, wrapper[3])
