@@ -79,7 +79,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str =
     return left.join(right, "__key", how).drop("__key")
 
 
-def batches(frames: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def batches(frames: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of about ``most_bytes`` of text each, at least one row."""
     for frame in frames:
         sizes = pa.compute.binary_length(frame.column(text)).fill_null(0).to_numpy(zero_copy_only=False)

@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        n = max(n, 1 << 20)
+        n = max(n, 1 << 19)
         up, down = np.full(n, _BASE), np.full(n, _BACK)
         up[0] = down[0] = 1
         _powers = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))

@@ -23,9 +23,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 LONGEST_KEPT = 64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = rf"^{_SPACE}|{_SPACE}$|{_SPACE}{_SPACE}"
