@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyfolio.session import shared_dir
 
 FILTER_BITS = 1 << 23
 """Bits of a bounded filter: at most 131,072 rows of 64 bits, about 2 MB, whatever it is built from."""
 
+ARROW_BYTES = 3 << 20
+"""Bytes of an Arrow batch of whole texts: an executor holds a few of them per task, whatever the texts' lengths."""
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder. What is written there goes when the application ends;
@@ -79,6 +83,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str =
     return left.join(right, "__key", how).drop("__key")
 
 
+def map_texts(
+    rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` whose batches end at ``ARROW_BYTES`` (a longer row is one by itself). Spark takes this
+    bound from the session when the frame runs, so it stays set there; no result depends on it."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return rows.mapInArrow(function, schema)
+
+
 def batches(frames: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of about ``most_bytes`` of text each, at least one row."""
     for frame in frames:

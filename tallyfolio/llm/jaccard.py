@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, bounded_filter, join_groups, only, passing, without, written
+from tallyfolio.llm.common import batches, bounded_filter, join_groups, map_texts, only, passing, without, written
 from tallyfolio.llm.components import components
 from tallyfolio.llm.textscan import _STEPS, mix, windows, words
 
@@ -92,7 +92,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
                 row = {"block": block, "counts": pack.compress(part.tobytes(), asbytes=True)}
                 yield pa.RecordBatch.from_pylist([row], fields)
 
-    return docs.mapInArrow(profile, "id long, n long, sig binary, parity array<long>, block int, counts binary")
+    return map_texts(docs, profile, "id long, n long, sig binary, parity array<long>, block int, counts binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -151,7 +151,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 ["token", "id", "n", "pos"],
             )
 
-    return docs.mapInArrow(post, "token long, id long, n int, pos int")
+    return map_texts(docs, post, "token long, id long, n int, pos int")
 
 
 def _need(n: Column, m: Column) -> Column:
@@ -191,7 +191,7 @@ def _compare(pairs: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame:
     both = opened
     for side in ("b", "a"):
         both = join_groups(both, _of(docs, opened, side, F.col("text").alias(f"t_{side}")), [side], "inner")
-    exact = both.select("a", "b", "need", "t_a", "t_b").mapInArrow(overlap, "a long, b long, need long, overlap long")
+    exact = map_texts(both.select("a", "b", "need", "t_a", "t_b"), overlap, "a long, b long, need long, overlap long")
     exact = exact.select("a", "b", F.col("overlap").alias("lo"), F.col("overlap").alias("hi"), (F.col("overlap") >= F.col("need")).alias("link"))
     shut = pairs.filter("hi < need").select("a", "b", F.lit(0).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), F.lit(False).alias("link"))
     return written(shut.unionByName(exact.dropDuplicates(["a", "b"])), "jaccard-answers")

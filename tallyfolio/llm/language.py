@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches
+from tallyfolio.llm.common import batches, map_texts
 from tallyfolio.llm.textscan import _LOWER, bytes_of
 
 WINDOW = 256
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
                 [pa.array([names[text[j]] for j in at], pa.string()), pa.array([found[j].tobytes() for j in at], pa.binary())], ["name", "bytes"]
             )
 
-    rows = sorted(tuple(r) for r in chosen.mapInArrow(cut, "name string, bytes binary").collect())
+    rows = sorted(tuple(r) for r in map_texts(chosen, cut, "name string, bytes binary").collect())
     languages = sorted({r[0] for r in rows})
     if not rows:
         return None
@@ -220,4 +220,4 @@ def with_language(docs: DataFrame, net: Network | None, text: str = "text", lang
                 [*frame.columns, pa.array(named, pa.string()), pa.array(scores, pa.float64())], [*frame.schema.names, lang_pred, score]
             )
 
-    return docs.mapInArrow(predict, schema)
+    return map_texts(docs, predict, schema)

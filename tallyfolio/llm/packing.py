@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, join_groups, text_of, written
+from tallyfolio.llm.common import batches, join_groups, map_texts, text_of, written
 from tallyfolio.llm.tokens import BATCH_BYTES, encoder
 
 LENGTH = 2048
@@ -93,7 +93,7 @@ def pieces(
             yield pa.RecordBatch.from_arrays(columns, [*names, "ids"][: len(columns)])
 
     narrow = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return narrow.mapInArrow(cut, ", ".join(f"{c} long" for c in names) + ", ids array<int>" * with_ids)
+    return map_texts(narrow, cut, ", ".join(f"{c} long" for c in names) + ", ids array<int>" * with_ids)
 
 
 def pack(cuts: DataFrame, room: int = LENGTH) -> DataFrame:

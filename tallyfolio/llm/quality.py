@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, join_groups, written
+from tallyfolio.llm.common import batches, join_groups, map_texts, written
 from tallyfolio.llm.textscan import counted, windows, words
 
 MIN_DOCUMENTS = 20
@@ -112,7 +112,7 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
             )
 
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(host), F.lit("-")).alias("host"), F.col(text).alias("text"))
-    return narrow.mapInArrow(measure, f"id long, host string, {', '.join(f'{k} long' for k in _BASE)}, {_LINE}")
+    return map_texts(narrow, measure, f"id long, host string, {', '.join(f'{k} long' for k in _BASE)}, {_LINE}")
 
 
 def boilerplate(rows: DataFrame) -> DataFrame:
@@ -156,4 +156,4 @@ def without_boilerplate(docs: DataFrame, id: str = "doc_id", text: str = "text",
             at = frame.schema.get_field_index(text)
             yield frame.set_column(at, frame.schema.field(at), pa.array(texts, frame.schema.field(at).type)).drop_columns(["__drop"])
 
-    return docs.join(drop, id, "left").mapInArrow(strip, docs.schema)
+    return map_texts(docs.join(drop, id, "left"), strip, docs.schema)

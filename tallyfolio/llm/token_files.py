@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, text_of
+from tallyfolio.llm.common import batches, map_texts, text_of
 from tallyfolio.llm.tokens import BATCH_BYTES, encoder
 
 SCHEMA = "doc_id long, shard int, place long, n_tokens long, ids array<int>"
@@ -49,7 +49,7 @@ def write_tokens(
 
     narrow = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(encode, SCHEMA).write.option("orc.bloom.filter.columns", "doc_id").option(
+    map_texts(ordered, encode, SCHEMA).write.option("orc.bloom.filter.columns", "doc_id").option(
         "orc.create.index", "true"
     ).option("orc.compress", "ZSTD").orc(path)
 
