@@ -7,6 +7,7 @@ Dates are arguments; nothing here asks the clock.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tallyfolio.operators.filters import between_dates
 from tallyfolio.operators.sessions import last_market_date, trading_days
-from tallyfolio.plans.funds import all_fund_returns, fund_returns
-from tallyfolio.plans.holdings import Scope, holding_returns
+from tallyfolio.plans.funds import all_fund_returns, fund_returns, latest_accounts
+from tallyfolio.plans.holdings import Scope, holding_returns, latest_holdings
 from tallyfolio.plans.series import benchmark_return, risk_free_return
 from tallyfolio.schemas import HISTORY_START, REPORTS
 from tallyfolio.sources.reports import Landing, read_all_zones, read_backfill, read_daily
@@ -47,7 +48,10 @@ class Inputs:
 @dataclass(frozen=True)
 class Options:
     scope: Scope = field(default_factory=Scope)
-    # How far before the range the last row of a key is searched first; None reads all history.
+    # Keep the last row per holding and account as tables, so that a run reads the days since the
+    # last one. The first run reads all history for them.
+    keep_latest: bool = True
+    # Without them: how far before the range the last row of a key is searched first; None reads all.
     look_back_days: int | None = 30
     # False confines holding returns to the range, without predecessors before it.
     look_back: bool = True
@@ -116,30 +120,71 @@ def _series_loads(
     ]
 
 
+Step = Callable[[dt.date, DataFrame | None, dt.date | None], DataFrame]
+
+
+def _latest_before(warehouse: Warehouse, name: str, start: dt.date, step: Step) -> DataFrame:
+    """The latest rows of the day before ``start``: from the newest stored ones, or else from all
+    history, which are then stored."""
+    day = start - _ONE_DAY
+    known = warehouse.latest(name, start)
+    if known is None:
+        warehouse.keep_latest(name, day, step(day, None, None))
+        known = warehouse.latest(name, start)
+    return step(day, known[1], known[0])
+
+
+def _store_latest(warehouse: Warehouse, name: str, end: dt.date, step: Step) -> None:
+    known = warehouse.latest(name, end)
+    known_day, rows = known or (None, None)
+    warehouse.keep_latest(name, end, step(end, rows, known_day))
+
+
 def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, options: Options = Options()) -> None:
-    """Compute the returns of a range at all three levels and merge them into their tables."""
+    """Compute the returns of a range at all three levels and merge them into their tables.
+
+    With ``keep_latest`` the rows before the range come from the stored latest rows, and those of
+    its end are stored for the next run."""
     calendar = warehouse.read("calendar")
-    nav = warehouse.read("delta_nav")
+    nav, positions, trades = (warehouse.read(table) for table in ("delta_nav", "positions", "trades"))
     days = options.look_back_days
 
-    def holdings() -> DataFrame:
-        return holding_returns(
-            warehouse.read("positions"),
+    def holding_step(day: dt.date, known: DataFrame | None, known_day: dt.date | None) -> DataFrame:
+        return latest_holdings(positions, trades, day, options.scope, known, known_day)
+
+    def account_step(day: dt.date, known: DataFrame | None, known_day: dt.date | None) -> DataFrame:
+        return latest_accounts(nav, calendar, day, known, known_day)
+
+    def holdings() -> None:
+        kept = options.keep_latest and options.look_back
+        name = f"holdings-{hashlib.md5(repr((*options.scope.positions, '/', *options.scope.trades)).encode()).hexdigest()}"
+        latest = _latest_before(warehouse, name, start, holding_step) if kept else None
+        rows = holding_returns(
+            positions,
             warehouse.read("dividends"),
-            warehouse.read("trades"),
+            trades,
             calendar,
             start,
             end,
             scope=options.scope,
             look_back=options.look_back,
             look_back_days=days,
+            latest=latest,
         )
+        warehouse.merge("holding_returns", rows)
+        if kept:
+            _store_latest(warehouse, name, end, holding_step)
+
+    def accounts() -> None:
+        latest = _latest_before(warehouse, "accounts", start, account_step) if options.keep_latest else None
+        _together(
+            lambda: warehouse.merge("fund_returns", fund_returns(nav, calendar, start, end, days, latest)),
+            lambda: warehouse.merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days, latest)),
+        )
+        if options.keep_latest:
+            _store_latest(warehouse, "accounts", end, account_step)
 
-    _together(
-        lambda: warehouse.merge("holding_returns", holdings()),
-        lambda: warehouse.merge("fund_returns", fund_returns(nav, calendar, start, end, days)),
-        lambda: warehouse.merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days)),
-    )
+    _together(holdings, accounts)
 
 
 def run_daily(warehouse: Warehouse, inputs: Inputs, as_of: dt.date, options: Options = Options()) -> dt.date:

@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from tallyfolio.functions.columns import position_side, safe_ratio, zero_if_null
 from tallyfolio.operators.filters import between_dates, in_scope
 from tallyfolio.operators.sessions import on_sessions
-from tallyfolio.operators.windows import last_before, with_previous
+from tallyfolio.operators.windows import last_before, last_per_key, with_previous
 from tallyfolio.schemas import ACCOUNT, NET_SHARES, POSITION_SCOPE, SHARES, TRADE_SCOPE
 
 KEY = [ACCOUNT, "report_date", "symbol"]
 HOLDING = [ACCOUNT, "symbol"]
 _ACCOUNT_DAY = [ACCOUNT, "report_date"]
 _LAGGED = {"fx_rate_1": "fx_rate_0", "shares_1": "shares_0", "price_1": "price_0"}
+# Later days first; on one day the position comes after the trades of the same key.
+_RECENCY = "unix_date(report_date) * 2 + rank"
 
 
 @dataclass(frozen=True)
@@ -299,6 +301,29 @@ def _held_or_traded(
     )
 
 
+def latest_holdings(
+    positions: DataFrame,
+    trades: DataFrame,
+    day: dt.date,
+    scope: Scope = Scope(),
+    known: DataFrame | None = None,
+    known_day: dt.date | None = None,
+) -> DataFrame:
+    """The last row of every holding up to ``day``, as a lag after it will want it.
+
+    ``known`` is the same of an earlier day, ``known_day``: only the days between are read then, so
+    that a daily run costs a row per holding and a day of reports, however long history is. A
+    holding that is not in the result has no earlier row.
+    """
+    if known is not None and known_day == day:
+        return known
+    after = None if known is None else known_day + dt.timedelta(days=1)
+    rows = _held_or_traded(positions, trades, scope, after, day)
+    if known is not None:
+        rows = rows.unionByName(known)
+    return last_per_key(rows, HOLDING, F.expr(_RECENCY), ["report_date", *_LAGGED, "rank"])
+
+
 def holding_returns(
     positions: DataFrame,
     dividends: DataFrame,
@@ -310,6 +335,7 @@ def holding_returns(
     look_back: bool = True,
     look_back_days: int | None = None,
     window_weights: bool = False,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Return, weight and value of each holding on each session of the range.
 
@@ -319,13 +345,16 @@ def holding_returns(
     first and reads the rest only if a holding is missing. The result is the same.
     The calendar applies after the lag, which may have read a row between sessions.
     ``window_weights`` sums the account values in a window instead of joining them.
+    ``latest`` is ``latest_holdings`` of the day before the range: history is not read at all then.
     """
     earlier = None
-    if look_back and start is not None:
+    if look_back and start is not None and latest is not None:
+        earlier = latest.drop("rank")
+    elif look_back and start is not None:
         rows = partial(_held_or_traded, positions, trades, scope)
         wanted = rows(start, end).select(*HOLDING).distinct()
-        order = F.unix_date("report_date") * 2 + F.col("rank")
-        earlier = last_before(rows, HOLDING, order, ["report_date", *_LAGGED], start, wanted, look_back_days)
+        columns = ["report_date", *_LAGGED]
+        earlier = last_before(rows, HOLDING, F.expr(_RECENCY), columns, start, wanted, look_back_days)
     merged = holding_base_merge(positions, dividends, trades, scope, start, end, earlier)
     lagged = between_dates(holding_lag(merged), "report_date", start, None)
     adjusted = holding_adjustments(on_sessions(lagged, calendar, "report_date"))

@@ -28,6 +28,10 @@ from tallyfolio.schemas import CORE_TABLES, CoreTable
 
 PERIOD = "period"
 
+# What latest rows are derived from: a change on a day makes those of that day and after it stale.
+LATEST_SOURCES = {"positions": "holdings", "trades": "holdings", "delta_nav": "accounts", "calendar": "accounts"}
+LATEST_KEPT = 10
+
 
 def conform(df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
     """``df`` in a core table's columns, order and types; columns it lacks are NULL. ``extra`` follow."""
@@ -96,6 +100,47 @@ class Warehouse:
                 stored = stored.filter(F.col(PERIOD) <= last)
         return between_dates(stored.select(*spec.columns), spec.date, start, end)
 
+    # --- Latest rows: derived tables, a folder per day they are of ---
+
+    def _files(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
+
+    def _latest_days(self, name: str) -> list[dt.date]:
+        """Days of complete latest rows, ascending: one listing, whatever they hold."""
+        store, root = self._files(f"{self.root}/_latest/{name}")
+        if not store.exists(root):
+            return []
+        names = [status.getPath().getName() for status in store.listStatus(root)]
+        days = sorted(dt.date.fromisoformat(name.removeprefix("day=")) for name in names if name.startswith("day="))
+        return [d for d in days if store.exists(self._files(f"{root}/day={d}/_SUCCESS")[1])]
+
+    def latest(self, name: str, before: dt.date) -> tuple[dt.date, DataFrame] | None:
+        """The newest latest rows of a day before ``before``, with their day."""
+        days = [d for d in self._latest_days(name) if d < before]
+        if not days:
+            return None
+        return days[-1], self.spark.read.parquet(f"{self.root}/_latest/{name}/day={days[-1]}")
+
+    def keep_latest(self, name: str, day: dt.date, rows: DataFrame) -> None:
+        """Store latest rows of ``day``. They may be computed from an earlier day's, never their own.
+        Of the older ones all but ``LATEST_KEPT`` go; a range before those reads history."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/_latest/{name}/day={day}")
+        for old in self._latest_days(name)[:-LATEST_KEPT]:
+            self.drop_stage(f"{self.root}/_latest/{name}/day={old}")
+
+    def _forget_latest(self, table: str, day: dt.date) -> None:
+        """Drop the latest rows that a change of ``table`` on ``day`` could make wrong."""
+        store, root = self._files(f"{self.root}/_latest")
+        if table not in LATEST_SOURCES or not store.exists(root):
+            return
+        for status in store.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith(LATEST_SOURCES[table]):
+                for stale in self._latest_days(name):
+                    if stale >= day:
+                        self.drop_stage(f"{root}/{name}/day={stale}")
+
     def sql(self, query: str, args: dict | None = None) -> DataFrame:
         """A query over the core tables, written ``{name}`` in it; ``:name`` parameters in ``args``."""
         names = {name for _, name, _, _ in Formatter().parse(query) if name}
@@ -116,8 +161,8 @@ class Warehouse:
 
     def drop_stage(self, path: str) -> None:
         """Delete the folder of a batch."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        store, folder = self._files(path)
+        store.delete(folder, True)
 
     def merge(
         self, table: str, batch: DataFrame, mode: str = "update", on_duplicate: str = "error", order: Sequence[str] = ()
@@ -136,10 +181,12 @@ class Warehouse:
         try:
             partition = self._partition(spec)
             # One value per partition touched: bounded by the days of history, not by the rows.
-            touched = [row[partition] for row in staged.select(partition).distinct().collect()]
+            first_days = staged.groupBy(partition).agg(F.min(spec.date).alias("first")).collect()
+            touched = [row[partition] for row in first_days]
             if None in touched:
                 raise ValueError(f"null {spec.date} in a batch for {table}")
             if touched:
+                self._forget_latest(table, min(row["first"] for row in first_days))
                 stored = self._scan(spec, self.path(table))
                 columns = [c for c in staged.columns if c in spec.columns or c == partition]
                 if stored is None:

@@ -104,6 +104,60 @@ def test_daily_runs_add_up_to_a_reload(setting, spark, tmp_path):
         assert old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty(), table
 
 
+def test_daily_runs_read_no_history(setting, spark, tmp_path):
+    warehouse, inputs = setting
+    scans, read = [], warehouse.merge
+
+    def merge(table, batch, **options):
+        if table in ("holding_returns", "fund_returns"):
+            scans.append((table, batch._jdf.queryExecution().executedPlan().toString()))
+        read(table, batch, **options)
+
+    warehouse.merge = merge
+    for n in (2, 3, 4, 5):
+        _land_day(inputs.landing, n)
+        if n == 4:  # a holding that opens has no row to be found
+            with open(inputs.landing.daily(dt.date(2024, 1, 4), "fund", "positions"), "a") as file:
+                file.write("20240104,U0,STK,ETF,Fund,037833100,US,NEW,50,2,1\n")
+        scans.clear()
+        jobs.run_daily(warehouse, inputs, dt.date(2024, 1, n + 1))
+        for table, plan in scans:
+            tables = ("positions", "trades") if table == "holding_returns" else ("delta_nav",)
+            for line in plan.splitlines():
+                if "FileScan" in line and any(f"core/{t}]" in line for t in tables):
+                    assert f">= 2024-01-{n:02}" in line.replace("date#", "").replace("report_", "") or f">= {_days(n)}" in line, line
+    assert _returns_of(warehouse, "S0") == {n: pytest.approx(r) for n, r in RETURNS.items()}
+    assert _returns_of(warehouse, "NEW") == {4: 0}
+
+
+def _days(n):
+    return (dt.date(2024, 1, n) - dt.date(1970, 1, 1)).days
+
+
+def _returns_of(warehouse, ticker):
+    rows = warehouse.read("holding_returns").filter(f"ticker = '{ticker}'").collect()
+    return {r["date"].day: r["return"] for r in rows}
+
+
+def test_late_reports_make_latest_rows_stale(setting, spark, tmp_path):
+    warehouse, inputs = setting
+    for n in (2, 4, 5):
+        _land_day(inputs.landing, n)
+        jobs.run_daily(warehouse, inputs, dt.date(2024, 1, n + 1))
+    assert warehouse._latest_days("accounts")[-1] == SESSIONS[3]
+    # the third's reports come late: what is known of the fourth and the fifth no longer holds
+    start, end = SESSIONS[1], SESSIONS[3]
+    for report in reports.CLEANERS:
+        _put(inputs.landing.backfill(start, end, "fund", report), report, [3])
+    jobs.run_backfill(warehouse, inputs, start, end)
+    assert _returns(warehouse) == {n: pytest.approx(r) for n, r in RETURNS.items()}
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    jobs.run_reload(plain, inputs, dt.date(2024, 1, 8), options=jobs.Options(keep_latest=False))
+    for table in ("holding_returns", "fund_returns"):
+        old, new = warehouse.read(table), plain.read(table)
+        assert old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty(), table
+
+
 def test_backfill(setting):
     warehouse, inputs = setting
     start, end = dt.date(2024, 1, 3), dt.date(2024, 1, 5)
