@@ -19,7 +19,7 @@ TABLES = (
 ).split()
 
 FUNDS = ("U0", "U1", "U2", "U3")
-TICKERS = ("click", "error", "purchase", "signup", "view")
+"""All accounts of the ``v_`` views, which take them modulo 4."""
 
 
 def _compact(date: str) -> str:
@@ -36,6 +36,7 @@ _LINE_SCOPE = (
 _ORDER_SCOPE = (
     "CASE o_orderkey % 5 WHEN 0 THEN 'ETF' WHEN 1 THEN 'COMMON' WHEN 2 THEN 'ADR' WHEN 3 THEN 'ATR' ELSE 'BOND' END"
 )
+_CUSTOMER = "CASE WHEN o_custkey % 3 = 0 THEN 'U0' ELSE concat('U', o_custkey) END"
 _LINE_ID = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
 
 VIEWS = {
@@ -95,6 +96,53 @@ VIEWS = {
             WHEN o_orderkey % 10 = 1 THEN -FLOOR(o_totalprice / 10) ELSE 0 END) AS DOUBLE) AS deposits_withdrawals,
           CAST(SUM(FLOOR(o_totalprice / 1000)) AS DOUBLE) AS dividends
         FROM {{orders}} GROUP BY {_ORDERED}, concat('U', o_custkey % 4)""",
+    # The same at the grain that grows: an account per customer, a symbol per part, and one account
+    # with a third of all customers. Key (report_date, client_account_id, symbol, trade_id).
+    "w_trades": f"""
+        SELECT {_SHIPPED} AS report_date, {_CUSTOMER} AS client_account_id, {_LINE_SCOPE} AS sub_category,
+          concat('S', l_partkey) AS symbol, {_LINE_ID} AS trade_id,
+          CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS quantity,
+          CAST(FLOOR(l_extendedprice / 100) + 1 AS DOUBLE) AS trade_price
+        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+    # key (report_date, client_account_id, symbol)
+    "w_traded_days": """
+        SELECT report_date, client_account_id, sub_category, symbol, SUM(quantity) AS net,
+          MAX(trade_price) AS mark_price
+        FROM {w_trades} GROUP BY report_date, client_account_id, sub_category, symbol""",
+    # key (report_date, client_account_id, symbol)
+    "w_positions": """
+        SELECT report_date, client_account_id, sub_category, symbol, mark_price, quantity,
+          CAST(1 AS DOUBLE) AS fx_rate_to_base
+        FROM (
+          SELECT report_date, client_account_id, sub_category, symbol, mark_price,
+            SUM(net) OVER (PARTITION BY client_account_id, symbol ORDER BY report_date
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS quantity
+          FROM {w_traded_days}) running
+        WHERE quantity % 6 <> 0""",
+    # key (report_date, client_account_id, symbol, action_id)
+    "w_dividends": f"""
+        SELECT {_SHIPPED} AS report_date, {_CUSTOMER} AS client_account_id, {_LINE_SCOPE} AS sub_category,
+          concat('S', l_partkey) AS symbol, {_LINE_ID} AS action_id, CAST(0.25 AS DOUBLE) AS gross_rate,
+          l_quantity * 0.25 AS net_amount
+        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_linenumber = 1""",
+    # key (date, client_account_id)
+    "w_delta_nav": f"""
+        SELECT {_ORDERED} AS date, {_CUSTOMER} AS client_account_id,
+          CAST(1000000 + SUM(FLOOR(o_totalprice)) AS DOUBLE) AS ending_value,
+          CAST(SUM(CASE WHEN o_orderkey % 10 = 0 THEN FLOOR(o_totalprice / 10) ELSE 0 END) AS DOUBLE)
+            AS deposits_withdrawals,
+          CAST(SUM(FLOOR(o_totalprice / 1000)) AS DOUBLE) AS dividends
+        FROM {{orders}} GROUP BY {_ORDERED}, {_CUSTOMER}""",
+    # Yields and prices as a source delivers them: timestamps, NaN for gaps, other columns.
+    "raw_yields": """
+        SELECT CAST(date AS TIMESTAMP) AS date, series_id, coalesce(yield, CAST('NaN' AS DOUBLE)) AS yield,
+          'percent' AS unit
+        FROM {v_yields}""",
+    "raw_prices": """
+        SELECT CAST(date AS TIMESTAMP) AS Date, ticker AS Ticker,
+          CASE WHEN dividends_per_share > 0 THEN CAST('NaN' AS DOUBLE) ELSE adjusted_close END AS Close,
+          dividends_per_share AS Dividends, 0 AS Volume
+        FROM {v_prices}""",
     # key (date, ticker)
     "v_prices": """
         SELECT CAST(ts AS DATE) AS date, event_type AS ticker,
@@ -193,6 +241,10 @@ class Views:
     def raw_trades(self) -> DataFrame:
         return self["raw_trades"].withColumnRenamed("BuySell", "Buy/Sell")
 
+    def tickers(self) -> list[str]:
+        """The tickers of ``v_prices``, one per event type."""
+        return sorted(row["ticker"] for row in self["v_prices"].select("ticker").distinct().collect())
+
     def wide_prices(self) -> DataFrame:
         """``v_prices`` as a price source delivers it: one column per field and ticker."""
         cells = {"Close": "adjusted_close", "Dividends": "dividends_per_share"}
@@ -200,7 +252,7 @@ class Views:
             *[
                 F.max(F.when(F.col("ticker") == ticker, F.col(column))).alias(f"{field}|{ticker}")
                 for field, column in cells.items()
-                for ticker in TICKERS
+                for ticker in self.tickers()
             ]
         )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyfolio.catalog.fixtures import with_views
-from tallyfolio.catalog.queries import FIRST_DAY, LAST_DAY, LATE_RANGE, RANGE, SUNDAY
+from tallyfolio.catalog.queries import LATE_RANGE, RANGE, SUNDAY, YIELD_SERIES
 
 _TRADE_COLUMNS = (
     "report_date, client_account_id, sub_category, symbol, trade_id, quantity, trade_price, ib_commission, buy_sell"
@@ -90,17 +90,21 @@ def _cleaning() -> dict[str, str]:
 
 # --- Accounts -----------------------------------------------------------------------------------------
 
-_NAV = """SELECT date, client_account_id, ending_value, deposits_withdrawals, dividends,
-      coalesce(lag(ending_value) OVER (PARTITION BY client_account_id ORDER BY date), ending_value) AS starting_value
-    FROM v_delta_nav WHERE date IN (SELECT date FROM v_calendar)"""
+# The session before is sought by joining, not by a lag.
+_NAV = """SELECT a.date, a.client_account_id, a.ending_value, a.deposits_withdrawals, a.dividends,
+      coalesce(b.ending_value, a.ending_value) AS starting_value
+    FROM v_delta_nav a ASOF LEFT JOIN
+      (SELECT date, client_account_id, ending_value FROM v_delta_nav WHERE date IN (SELECT date FROM v_calendar)) b
+      ON a.client_account_id = b.client_account_id AND a.date > b.date
+    WHERE a.date IN (SELECT date FROM v_calendar)"""
 _RETURN = "round((ending_value - deposits_withdrawals) / nullif(starting_value, 0) - 1, 8)"
 
 
 def _accounts() -> dict[str, str]:
-    def per_account(where: str = "") -> str:
+    def per_account(where: str = "", view: str = "v_delta_nav") -> str:
         select = f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value,
           {_RETURN} AS "return", dividends FROM nav {where}"""
-        return with_views(select, "v_delta_nav", "v_calendar", nav=_NAV)
+        return with_views(select, view, "v_calendar", nav=_NAV.replace("v_delta_nav", view))
 
     def overall(where: str = "") -> str:
         sums = """SELECT date, sum(starting_value) AS starting_value, sum(ending_value) AS ending_value,
@@ -121,6 +125,8 @@ def _accounts() -> dict[str, str]:
         "fund_returns": per_account(),
         "fund_returns_range": per_account(f"WHERE {_between('date', RANGE)}"),
         "fund_returns_incremental": per_account(late),
+        "fund_returns_wide": per_account(view="w_delta_nav"),
+        "fund_returns_wide_latest": per_account(late, "w_delta_nav"),
         "all_fund_returns": overall(),
         "all_fund_returns_incremental": overall(late),
     }
@@ -129,20 +135,26 @@ def _accounts() -> dict[str, str]:
 # --- Holdings -------------------------------------------------------------------------------------------
 
 
+_NARROW = ("v_positions_held", "v_dividends", "v_trades")
+_WIDE = ("w_positions", "w_dividends", "w_trades")
+
+
 class _HoldingSql:
     """The steps of the holding returns as named queries, joins spelled out."""
 
-    def __init__(self, trade_scope: str = "'ETF', 'COMMON', 'ATR'", within: str = "TRUE"):
+    def __init__(self, trade_scope: str = "'ETF', 'COMMON', 'ATR'", within: str = "TRUE", wide: bool = False):
+        positions, dividends, trades = _WIDE if wide else _NARROW
+        self.views = (positions, dividends, trades)
         held_scope = f"sub_category IN ('ETF', 'COMMON', 'ADR') AND {within}"
         self.steps = {
             "held": f"""SELECT report_date, client_account_id, symbol, quantity, mark_price, fx_rate_to_base
-                FROM v_positions_held WHERE {held_scope}""",
+                FROM {positions} WHERE {held_scope}""",
             "paid": f"""SELECT report_date, client_account_id, symbol, sum(net_amount) AS cash, sum(gross_rate) AS rate
-                FROM v_dividends WHERE {held_scope} GROUP BY ALL""",
+                FROM {dividends} WHERE {held_scope} GROUP BY ALL""",
             "dealt": f"""SELECT report_date, client_account_id, symbol, net, notional / net AS vwap FROM (
                   SELECT report_date, client_account_id, symbol, sum(quantity) AS net,
                     sum(quantity * trade_price) AS notional
-                  FROM v_trades WHERE sub_category IN ({trade_scope}) AND {within} GROUP BY ALL)
+                  FROM {trades} WHERE sub_category IN ({trade_scope}) AND {within} GROUP BY ALL)
                 WHERE net <> 0""",
             "joined": """SELECT report_date, client_account_id, symbol, fx_rate_to_base AS fx_rate_1,
                   quantity AS shares_1, mark_price AS price_1, coalesce(cash, 0) AS dividends,
@@ -159,13 +171,19 @@ class _HoldingSql:
                   coalesce(price_before, price_1) AS price_0, coalesce(fx_rate_1, 0) AS fx_rate_1,
                   coalesce(shares_1, 0) AS shares_1, coalesce(price_1, average_trade_price) AS price_1
                 FROM earlier""",
+            # One kind per row, then one value per kind. A row without shares or trades is "idle".
+            "classified": """SELECT *, fx_rate_0 * average_trade_price AS dealt_at, fx_rate_0 * price_0 AS worth_before,
+                  fx_rate_1 * price_1 AS worth_now,
+                  CASE WHEN shares_1 = 0 AND shares_traded = 0 THEN 'idle' WHEN shares_1 = shares_traded THEN 'entry'
+                    WHEN shares_1 = 0 THEN 'exit' ELSE 'held' END AS kind
+                FROM lagged""",
             "adjusted": """SELECT report_date, client_account_id, symbol, shares_0, shares_1, shares_traded,
                   average_trade_price, dividends, dividends_per_share,
-                  CASE WHEN shares_1 <> shares_traded AND shares_1 <> 0 THEN shares_1 - shares_traded
-                    WHEN shares_1 <> shares_traded THEN shares_0 ELSE shares_1 END AS shares_1_adj,
-                  fx_rate_0 * if(shares_1 = shares_traded, average_trade_price, price_0) AS price_0,
-                  if(shares_1 = 0, fx_rate_0 * average_trade_price, fx_rate_1 * price_1) AS price_1
-                FROM lagged""",
+                  CASE kind WHEN 'held' THEN shares_1 - shares_traded WHEN 'exit' THEN shares_0 ELSE shares_1 END
+                    AS shares_1_adj,
+                  CASE WHEN kind IN ('entry', 'idle') THEN dealt_at ELSE worth_before END AS price_0,
+                  CASE WHEN kind IN ('exit', 'idle') THEN dealt_at ELSE worth_now END AS price_1
+                FROM classified""",
             "weighed": """SELECT adjusted.*, round(shares_1 * price_1 / nullif(sum(shares_1 * price_1)
                   OVER (PARTITION BY client_account_id, report_date), 0), 8) AS weight
                 FROM adjusted""",
@@ -180,13 +198,15 @@ class _HoldingSql:
     def sql(self, select: str, upto: str) -> str:
         names = list(self.steps)
         used = {name: self.steps[name] for name in names[: names.index(upto) + 1]}
-        return with_views(select, "v_positions_held", "v_dividends", "v_trades", "v_calendar", **used)
+        return with_views(select, *self.views, "v_calendar", **used)
 
 
 def _holdings() -> dict[str, str]:
     full = _HoldingSql()
     confined = _HoldingSql(within=_between("report_date", RANGE))
     aligned = _HoldingSql(trade_scope="'ETF', 'COMMON', 'ADR'")
+    wide = _HoldingSql(wide=True)
+    late = f"SELECT * FROM rated WHERE {_between('date', LATE_RANGE)}"
     keys = "report_date, client_account_id, symbol"
     weights = full.sql(f"SELECT {keys}, weight FROM weighed", "weighed")
     return {
@@ -221,7 +241,9 @@ def _holdings() -> dict[str, str]:
         "holding_returns_window_weights": full.sql("SELECT * FROM rated", "rated"),
         "holding_returns_range": full.sql(f"SELECT * FROM rated WHERE {_between('date', RANGE)}", "rated"),
         "holding_returns_literal_range": confined.sql("SELECT * FROM rated", "rated"),
-        "holding_returns_incremental": full.sql(f"SELECT * FROM rated WHERE {_between('date', LATE_RANGE)}", "rated"),
+        "holding_returns_incremental": full.sql(late, "rated"),
+        "holding_returns_wide": wide.sql("SELECT * FROM rated", "rated"),
+        "holding_returns_wide_latest": wide.sql(late, "rated"),
         "holding_returns_consistent_scope": aligned.sql("SELECT * FROM rated", "rated"),
         "returns_upsert": full.sql("SELECT * FROM rated", "rated"),
     }
@@ -230,29 +252,35 @@ def _holdings() -> dict[str, str]:
 # --- Series and sessions ----------------------------------------------------------------------------------
 
 
-def _series() -> dict[str, str]:
-    own = """SELECT date, series_id, y, 100.0 / (1 + y * 29 / 360) / (100.0 / (1 + before * 30 / 360)) - 1 AS r
-        FROM (SELECT date, series_id, yield / 100 AS y,
-            lag(yield / 100) OVER (PARTITION BY series_id ORDER BY date) AS before FROM v_yields)"""
+_OWN_YIELDS = """SELECT date, series_id, y, 100.0 / (1 + y * 29 / 360) / (100.0 / (1 + before * 30 / 360)) - 1 AS r
+    FROM (SELECT date, series_id, yield / 100 AS y,
+        lag(yield / 100) OVER (PARTITION BY series_id ORDER BY date) AS before FROM v_yields)"""
+_BENCHMARK = """SELECT date, ticker, adjusted_close, round(adjusted_close / before - 1, 8) AS "return",
+      dividends_per_share
+    FROM (SELECT *, lag(adjusted_close) OVER (PARTITION BY ticker ORDER BY date) AS before FROM v_prices)
+    WHERE before IS NOT NULL"""
+
+
+def _next_value(value: str, table: str, name: str) -> str:
+    """The next value at or after a row, by joining instead of by a fill."""
+    return f"""SELECT a.date, a.series_id, b.{value} AS {name} FROM {table} a
+      ASOF LEFT JOIN (SELECT * FROM {table} WHERE {value} IS NOT NULL) b
+      ON a.series_id = b.series_id AND a.date <= b.date"""
 
-    # The next value at or after a row, by joining instead of by a fill.
-    def next_value(value: str, table: str, name: str) -> str:
-        return f"""SELECT a.date, a.series_id, b.{value} AS {name} FROM {table} a
-          ASOF LEFT JOIN (SELECT * FROM {table} WHERE {value} IS NOT NULL) b
-          ON a.series_id = b.series_id AND a.date <= b.date"""
 
-    rates = f"SELECT date, series_id, round(r, 8) AS \"return\" FROM ({next_value('r', 'own', 'r')})"
+def _series() -> dict[str, str]:
+    rates = f"SELECT date, series_id, round(r, 8) AS \"return\" FROM ({_next_value('r', 'own', 'r')})"
     return {
         "prices_wide_to_long": with_views(
             "SELECT date, ticker, adjusted_close, dividends_per_share FROM v_prices", "v_prices"
         ),
-        "benchmark_return": with_views(
-            """SELECT date, ticker, adjusted_close, round(adjusted_close / before - 1, 8) AS "return",
-              dividends_per_share
-            FROM (SELECT *, lag(adjusted_close) OVER (PARTITION BY ticker ORDER BY date) AS before FROM v_prices)
-            WHERE before IS NOT NULL""",
-            "v_prices",
+        "clean_prices": with_views(
+            """SELECT CAST(Date AS DATE) AS date, Ticker AS ticker, nullif(Close, 'NaN'::DOUBLE) AS adjusted_close,
+              Dividends AS dividends_per_share FROM raw_prices""",
+            "raw_prices",
         ),
+        "clean_yields": with_views("SELECT date, series_id, yield FROM v_yields", "v_yields"),
+        "benchmark_return": with_views(_BENCHMARK, "v_prices"),
         "yield_lag": with_views(
             """SELECT date, series_id, yield, lag(yield) OVER (PARTITION BY series_id ORDER BY date) AS yield_lag
             FROM v_yields""",
@@ -260,12 +288,12 @@ def _series() -> dict[str, str]:
         ),
         "daily_yield": with_views(
             f"""SELECT date, series_id, round(yield / 100 / 360, 8) AS daily_yield
-            FROM ({next_value("yield", "v_yields", "yield")})""",
+            FROM ({_next_value("yield", "v_yields", "yield")})""",
             "v_yields",
         ),
-        "backfill_nulls": with_views(next_value("yield", "v_yields", "yield"), "v_yields"),
-        "risk_free_return": with_views(rates, "v_yields", own=own),
-        "risk_free_return_range": with_views(f"{rates} WHERE {_between('date', RANGE)}", "v_yields", own=own),
+        "backfill_nulls": with_views(_next_value("yield", "v_yields", "yield"), "v_yields"),
+        "risk_free_return": with_views(rates, "v_yields", own=_OWN_YIELDS),
+        "risk_free_return_range": with_views(f"{rates} WHERE {_between('date', RANGE)}", "v_yields", own=_OWN_YIELDS),
         "trading_days": with_views(
             """SELECT date FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE)
               AS date FROM v_order_days)
@@ -292,6 +320,81 @@ def _series() -> dict[str, str]:
 # --- Merge, files, runs -------------------------------------------------------------------------------------
 
 
+# Core tables: where their rows come from here, columns those have, columns that stay empty.
+_STORED = {
+    "positions": (
+        "v_positions_held",
+        "report_date date, client_account_id string, sub_category string, symbol string, mark_price double, "
+        "quantity double, fx_rate_to_base double",
+        "asset_class string, description string, cusip string, isin string",
+    ),
+    "trades": (
+        "v_trades",
+        "report_date date, client_account_id string, sub_category string, symbol string, trade_id string, "
+        "quantity double, trade_price double, ib_commission double, buy_sell string",
+        "asset_class string, description string, cusip string, isin string",
+    ),
+    "dividends": (
+        "v_dividends",
+        "report_date date, client_account_id string, sub_category string, symbol string, action_id string, "
+        "quantity double, gross_rate double, gross_amount double, tax double, fee double, net_amount double",
+        "asset_class string, description string, cusip string, isin string, ex_date date, pay_date date",
+    ),
+    "delta_nav": (
+        "v_delta_nav",
+        "date date, client_account_id string, ending_value double, deposits_withdrawals double, dividends double",
+        "starting_value double",
+    ),
+    "calendar": ("v_calendar", "date date", ""),
+    "benchmark": (
+        "priced",
+        "date date, ticker string, adjusted_close double, return double, dividends_per_share double",
+        "",
+    ),
+    "risk_free_rate": ("rates", "date date, return double", ""),
+    "holding_returns": (
+        "rated",
+        "date date, client_account_id string, ticker string, weight double, shares double, price double, value double, "
+        "shares_traded double, average_trade_price double, return double, dividends double, dividends_per_share double",
+        "",
+    ),
+    "fund_returns": (
+        "accounts",
+        "date date, client_account_id string, value double, return double, dividends double",
+        "",
+    ),
+    "all_fund_returns": ("overall", "date date, value double, return double, dividends double", ""),
+}
+
+
+def _core_schemas() -> str:
+    def line(table: str, column: str, n_values: str) -> str:
+        name, kind = column.split()
+        return f"""SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS column_type,
+          {n_values.format(name)} AS n_values FROM {_STORED[table][0]}"""
+
+    lines = [
+        line(table, column, n_values)
+        for table, (_, filled, empty) in _STORED.items()
+        for columns, n_values in ((filled, 'count("{}")'), (empty, "count(NULL)"))
+        for column in columns.split(", ")
+        if column
+    ]
+    steps = {
+        "nav": _NAV,
+        **_HoldingSql().steps,
+        "accounts": f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value,
+          {_RETURN} AS "return", dividends FROM nav""",
+        "overall": """SELECT date, sum(value) AS value, sum("return") AS "return", sum(dividends) AS dividends
+          FROM accounts GROUP BY date""",
+        "priced": _BENCHMARK,
+        "own": _OWN_YIELDS,
+        "rates": f"""SELECT date, r AS "return" FROM ({_next_value('r', 'own', 'r')}) WHERE series_id = '{YIELD_SERIES}'""",
+    }
+    views = ["v_positions_held", "v_trades", "v_dividends", "v_delta_nav", "v_calendar", "v_prices", "v_yields"]
+    return with_views("\nUNION ALL ".join(lines), *views, **steps)
+
+
 def _merges() -> dict[str, str]:
     key = "report_date, client_account_id, symbol"
     core = f"SELECT {key}, mark_price, quantity FROM v_positions"
@@ -314,14 +417,6 @@ def _merges() -> dict[str, str]:
     last_trade = f"""SELECT {key}, arg_max(trade_price, trade_id) AS mark_price, arg_max(quantity, trade_id) AS quantity
         FROM v_trades GROUP BY {key}"""
     unpriced = f"SELECT {key}, CASE WHEN quantity > 0 THEN mark_price END AS mark_price, quantity FROM v_positions"
-    counts = {
-        "positions": ("v_positions_held", 11),
-        "trades": ("v_trades", 13),
-        "dividends": ("v_dividends", 17),
-        "delta_nav": ("v_delta_nav", 6),
-        "calendar": ("v_calendar", 1),
-        "benchmark": ("v_prices", 5),
-    }
     trades = with_views(f"SELECT {_TRADE_COLUMNS} FROM v_trades", "v_trades")
     return {
         "upsert_update": merged(core, stage, *from_stage),
@@ -333,12 +428,12 @@ def _merges() -> dict[str, str]:
         "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
             GROUP BY l_orderkey, l_linenumber
             HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
-        "core_schemas": with_views(
-            "\nUNION ALL ".join(
-                f"SELECT '{name}' AS table_name, {columns} AS n_columns, count(*) AS n_rows FROM {view}"
-                for name, (view, columns) in counts.items()
-            ),
-            *[view for view, _ in counts.values()],
+        "core_schemas": _core_schemas(),
+        "upsert_wide": with_views(
+            f"""SELECT {key}, coalesce(s.mark_price, c.mark_price) AS mark_price, coalesce(s.net, c.quantity) AS quantity
+            FROM w_positions c FULL JOIN w_traded_days s USING ({key})""",
+            "w_positions",
+            "w_traded_days",
         ),
         "scan_daily": trades,
         "scan_all_zones": trades,
@@ -356,8 +451,8 @@ def _merges() -> dict[str, str]:
 
 def _runs() -> dict[str, str]:
     # A loaded calendar follows the exchange rules: weekdays without holidays, order or no order.
-    calendar = f"""SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE)
-        AS date"""
+    calendar = """SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM (SELECT date FROM v_order_days UNION ALL SELECT report_date FROM v_trades)"""
     open_days = f"""SELECT date FROM ({calendar}) WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM v_holidays)"""
     nav = _NAV.replace("v_calendar", "open_days")
     rated = {name: text.replace("v_calendar", "open_days") for name, text in _HoldingSql().steps.items()}
@@ -366,6 +461,7 @@ def _runs() -> dict[str, str]:
             f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value, {_RETURN} AS "return",
               dividends FROM nav""",
             "v_delta_nav",
+            "v_trades",
             "v_holidays",
             open_days=open_days,
             nav=nav,

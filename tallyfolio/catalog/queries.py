@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfolio import jobs
-from tallyfolio.catalog.fixtures import FUNDS, TICKERS, Views
+from tallyfolio.catalog.fixtures import FUNDS, Views
 from tallyfolio.functions import columns
 from tallyfolio.operators import cleaning, filters, merge, sessions, windows
 from tallyfolio.plans import funds, holdings, series
@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANGE = (dt.date(1998, 3, 2), dt.date(1998, 9, 30))
 LATE_RANGE = (dt.date(2000, 6, 5), dt.date(2001, 12, 31))
 SUNDAY = dt.date(1998, 3, 15)
-FIRST_DAY, LAST_DAY = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
+YIELD_SERIES = "1-URGENT"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -279,13 +279,55 @@ def holding_returns_consistent_scope(v: Views) -> DataFrame:
     return _holding_returns(v, scope=holdings.Scope.consistent())
 
 
+# The same over many accounts and symbols, with an account that holds a third of all.
+
+
+@_register
+def holding_returns_wide(v: Views) -> DataFrame:
+    rows = holdings.holding_returns(v["w_positions"], v["w_dividends"], v["w_trades"], v["v_calendar"])
+    return _rounded(rows, "weight", "return")
+
+
+@_register
+def holding_returns_wide_latest(v: Views) -> DataFrame:
+    # A range whose predecessors come from the latest rows, carried on over two steps.
+    middle, before = RANGE[0], LATE_RANGE[0] - dt.timedelta(days=1)
+    known = holdings.latest_holdings(v["w_positions"], v["w_trades"], middle)
+    latest = holdings.latest_holdings(v["w_positions"], v["w_trades"], before, known=known, known_day=middle)
+    rows = holdings.holding_returns(
+        v["w_positions"], v["w_dividends"], v["w_trades"], v["v_calendar"], *LATE_RANGE, latest=latest
+    )
+    return _rounded(rows, "weight", "return")
+
+
+@_register
+def fund_returns_wide(v: Views) -> DataFrame:
+    return _rounded(funds.fund_returns(v["w_delta_nav"], v["v_calendar"]), "return")
+
+
+@_register
+def fund_returns_wide_latest(v: Views) -> DataFrame:
+    latest = funds.latest_accounts(v["w_delta_nav"], v["v_calendar"], LATE_RANGE[0] - dt.timedelta(days=1))
+    return _rounded(funds.fund_returns(v["w_delta_nav"], v["v_calendar"], *LATE_RANGE, latest=latest), "return")
+
+
 # --- Series -----------------------------------------------------------------------------------------
 
 
 @_register
 def prices_wide_to_long(v: Views) -> DataFrame:
     fields = {"Close": "adjusted_close", "Dividends": "dividends_per_share"}
-    return series_sources.prices_wide_to_long(v.wide_prices(), "date", fields, TICKERS)
+    return series_sources.prices_wide_to_long(v.wide_prices(), "date", fields, v.tickers())
+
+
+@_register
+def clean_prices(v: Views) -> DataFrame:
+    return series_sources.clean_prices(v["raw_prices"])
+
+
+@_register
+def clean_yields(v: Views) -> DataFrame:
+    return series_sources.clean_yields(v["raw_yields"])
 
 
 @_register
@@ -361,6 +403,13 @@ def upsert_update(v: Views) -> DataFrame:
     return merge.upsert_update(_core(v), _stage(v), _HOLDING_DAY)
 
 
+@_register
+def upsert_wide(v: Views) -> DataFrame:
+    core = v["w_positions"].select(*_HOLDING_DAY, "mark_price", "quantity")
+    stage = v["w_traded_days"].select(*_HOLDING_DAY, "mark_price", F.col("net").alias("quantity"))
+    return merge.upsert_update(core, stage, _HOLDING_DAY)
+
+
 @_register
 def upsert_update_latest(v: Views) -> DataFrame:
     # One row per trade, hence many per key: the last trade of the day wins.
@@ -414,21 +463,34 @@ def returns_upsert(v: Views) -> DataFrame:
 
 @_register
 def core_schemas(v: Views) -> DataFrame:
-    # The shared tables in core shape, a line per table.
+    # A line per column of each core table, with the type its parquet files say and its non-null values.
+    nav, calendar = v["v_delta_nav"], v["v_calendar"]
+    one_series = v["v_yields"].filter(F.col("series_id") == YIELD_SERIES)
     frames = {
         "positions": v["v_positions_held"],
         "trades": v["v_trades"],
         "dividends": v["v_dividends"],
-        "delta_nav": v["v_delta_nav"],
-        "calendar": v["v_calendar"],
-        "benchmark": v["v_prices"],
+        "delta_nav": nav,
+        "calendar": calendar,
+        "benchmark": series.benchmark_return(v["v_prices"]),
+        "risk_free_rate": series.risk_free_return(one_series),
+        "holding_returns": holdings.holding_returns(*_sources(v), calendar),
+        "fund_returns": funds.fund_returns(nav, calendar),
+        "all_fund_returns": funds.all_fund_returns(nav, calendar),
     }
-    counted = [
-        conform(df, name).agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(name).alias("table_name"), F.lit(len(CORE_TABLES[name].columns)).alias("n_columns"), "n_rows")
-        for name, df in frames.items()
-    ]
-    return filters.union_all(counted)
+    root = _scratch(v)
+    lines = []
+    for name, df in frames.items():
+        conform(df, name).write.parquet(f"{root}/{name}")
+        stored = v.spark.read.parquet(f"{root}/{name}")
+        columns = [
+            F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"),
+                     F.col(f"`{f.name}`").alias("n_values"))
+            for f in stored.schema.fields
+        ]
+        counted = stored.agg(*[F.count(f"`{c}`").alias(c) for c in stored.columns])
+        lines.append(counted.select(F.lit(name).alias("table_name"), F.inline(F.array(*columns))))
+    return filters.union_all(lines)
 
 
 # --- Files and run modes ------------------------------------------------------------------------------
@@ -477,6 +539,12 @@ def _raw(v: Views, report: str) -> DataFrame:
     return rows.select(*texts)
 
 
+def _span(v: Views) -> tuple[dt.date, dt.date]:
+    """First and last day of any report."""
+    days = v["v_order_days"].union(v["v_trades"].select("report_date"))
+    return tuple(days.agg(F.min("date"), F.max("date")).first())
+
+
 def _land(v: Views, path: Callable[[str, str], str], names=REPORTS) -> None:
     """Land the views fund by fund, as an extract would."""
     for report in names:
@@ -500,32 +568,36 @@ def scan_csv_report(v: Views) -> DataFrame:
 
 @_register
 def scan_daily(v: Views) -> DataFrame:
+    _, last = _span(v)
     landing = reports.Landing(_scratch(v))
-    _land(v, lambda fund, report: landing.daily(LAST_DAY, fund, report), ["trades"])
-    return _trade_columns(reports.read_daily(v.spark, landing, LAST_DAY, "trades"))
+    _land(v, lambda fund, report: landing.daily(last, fund, report), ["trades"])
+    return _trade_columns(reports.read_daily(v.spark, landing, last, "trades"))
 
 
 @_register
 def scan_backfill(v: Views) -> DataFrame:
+    first, last = _span(v)
     landing = reports.Landing(_scratch(v))
-    _land(v, lambda fund, report: landing.backfill(FIRST_DAY, LAST_DAY, fund, report), ["delta_nav"])
-    rows = reports.read_backfill(v.spark, landing, FIRST_DAY, LAST_DAY, "delta_nav")
+    _land(v, lambda fund, report: landing.backfill(first, last, fund, report), ["delta_nav"])
+    rows = reports.read_backfill(v.spark, landing, first, last, "delta_nav")
     return rows.drop("starting_value")
 
 
 @_register
 def scan_all_zones(v: Views) -> DataFrame:
     # The same reports in two zones: a reload keeps one copy of each row.
+    first, last = _span(v)
     landing = reports.Landing(_scratch(v))
-    _land(v, lambda fund, report: landing.daily(LAST_DAY, fund, report), ["trades"])
-    _land(v, lambda fund, report: landing.backfill(FIRST_DAY, LAST_DAY, fund, report), ["trades"])
+    _land(v, lambda fund, report: landing.daily(last, fund, report), ["trades"])
+    _land(v, lambda fund, report: landing.backfill(first, last, fund, report), ["trades"])
     return _trade_columns(reports.read_all_zones(v.spark, landing, "trades"))
 
 
 @_register
 def list_source_files(v: Views) -> DataFrame:
+    _, last = _span(v)
     landing = reports.Landing(_scratch(v))
-    _land(v, lambda fund, report: landing.daily(LAST_DAY, fund, report), ["delta_nav"])
+    _land(v, lambda fund, report: landing.daily(last, fund, report), ["delta_nav"])
     listed = reports.list_source_files(v.spark, landing.root)
     folder = F.regexp_extract("path", r"daily-files/[^/]+/([^/]+)/", 1)
     return listed.groupBy(folder.alias("fund")).agg((F.sum("n_bytes") > 0).alias("has_bytes"))
@@ -543,7 +615,7 @@ def land_partitioned(v: Views) -> DataFrame:
 
 
 def _inputs(v: Views, landing: reports.Landing) -> jobs.Inputs:
-    return jobs.Inputs(landing, v["v_holidays"], v["v_prices"], v["v_yields"], series="1-URGENT")
+    return jobs.Inputs(landing, v["v_holidays"], v["v_prices"], v["v_yields"], series=YIELD_SERIES)
 
 
 def _returns_table(warehouse: Warehouse, table: str) -> DataFrame:
@@ -552,21 +624,23 @@ def _returns_table(warehouse: Warehouse, table: str) -> DataFrame:
 
 @_register
 def run_reload(v: Views) -> DataFrame:
+    first, last = _span(v)
     root = _scratch(v)
     landing = reports.Landing(f"{root}/landing")
     _land(v, lambda fund, report: f"{landing.root}/history-files/{fund}/{report}.csv")
     warehouse = Warehouse(v.spark, f"{root}/core", grain="year")
-    jobs.run_reload(warehouse, _inputs(v, landing), LAST_DAY, start=FIRST_DAY)
+    jobs.run_reload(warehouse, _inputs(v, landing), last, start=first)
     return _rounded(_returns_table(warehouse, "holding_returns"), "weight")
 
 
 @_register
 def run_backfill(v: Views) -> DataFrame:
+    first, last = _span(v)
     root = _scratch(v)
     landing = reports.Landing(f"{root}/landing")
-    _land(v, lambda fund, report: landing.backfill(FIRST_DAY, LAST_DAY, fund, report))
+    _land(v, lambda fund, report: landing.backfill(first, last, fund, report))
     warehouse = Warehouse(v.spark, f"{root}/core", grain="year")
-    jobs.run_backfill(warehouse, _inputs(v, landing), FIRST_DAY, LAST_DAY)
+    jobs.run_backfill(warehouse, _inputs(v, landing), first, last)
     return _returns_table(warehouse, "fund_returns")
 
 

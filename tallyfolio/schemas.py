@@ -83,6 +83,106 @@ REPORT_COLUMNS = {
     },
 }
 
+# Columns of the core tables with their types.
+CORE_COLUMNS = {
+    "positions": [
+        ("report_date", "date"),
+        ("client_account_id", "string"),
+        ("asset_class", "string"),
+        ("sub_category", "string"),
+        ("description", "string"),
+        ("cusip", "string"),
+        ("isin", "string"),
+        ("symbol", "string"),
+        ("mark_price", "double"),
+        ("quantity", "double"),
+        ("fx_rate_to_base", "double"),
+    ],
+    "trades": [
+        ("report_date", "date"),
+        ("client_account_id", "string"),
+        ("asset_class", "string"),
+        ("sub_category", "string"),
+        ("description", "string"),
+        ("cusip", "string"),
+        ("isin", "string"),
+        ("symbol", "string"),
+        ("trade_id", "string"),
+        ("quantity", "double"),
+        ("trade_price", "double"),
+        ("ib_commission", "double"),
+        ("buy_sell", "string"),
+    ],
+    "dividends": [
+        ("report_date", "date"),
+        ("client_account_id", "string"),
+        ("asset_class", "string"),
+        ("sub_category", "string"),
+        ("description", "string"),
+        ("cusip", "string"),
+        ("isin", "string"),
+        ("symbol", "string"),
+        ("action_id", "string"),
+        ("ex_date", "date"),
+        ("pay_date", "date"),
+        ("quantity", "double"),
+        ("gross_rate", "double"),
+        ("gross_amount", "double"),
+        ("tax", "double"),
+        ("fee", "double"),
+        ("net_amount", "double"),
+    ],
+    "delta_nav": [
+        ("date", "date"),
+        ("client_account_id", "string"),
+        ("starting_value", "double"),
+        ("ending_value", "double"),
+        ("deposits_withdrawals", "double"),
+        ("dividends", "double"),
+    ],
+    "calendar": [
+        ("date", "date"),
+    ],
+    "benchmark": [
+        ("date", "date"),
+        ("ticker", "string"),
+        ("adjusted_close", "double"),
+        ("return", "double"),
+        ("dividends_per_share", "double"),
+    ],
+    "risk_free_rate": [
+        ("date", "date"),
+        ("return", "double"),
+    ],
+    "holding_returns": [
+        ("date", "date"),
+        ("client_account_id", "string"),
+        ("ticker", "string"),
+        ("weight", "double"),
+        ("shares", "double"),
+        ("price", "double"),
+        ("value", "double"),
+        ("shares_traded", "double"),
+        ("average_trade_price", "double"),
+        ("return", "double"),
+        ("dividends", "double"),
+        ("dividends_per_share", "double"),
+    ],
+    "fund_returns": [
+        ("date", "date"),
+        ("client_account_id", "string"),
+        ("value", "double"),
+        ("return", "double"),
+        ("dividends", "double"),
+    ],
+    "all_fund_returns": [
+        ("date", "date"),
+        ("value", "double"),
+        ("return", "double"),
+        ("dividends", "double"),
+    ],
+}
+
 # --- End of fixed values ---------------------------------------------------------------------
 
 ACCOUNT = "client_account_id"
@@ -93,30 +193,23 @@ SHARES = T.DecimalType(28, 8)
 NET_SHARES = T.DecimalType(30, 8)
 
 
-def _fields(dates: str = "", strings: str = "", doubles: str = "") -> dict[str, T.DataType]:
-    kinds = ((dates, T.DateType()), (strings, T.StringType()), (doubles, T.DoubleType()))
-    return {name: kind for names, kind in kinds for name in names.split()}
-
-
-def _struct(order: str, **kinds: str) -> T.StructType:
-    types = _fields(**kinds)
-    return T.StructType([T.StructField(name, types[name], True) for name in order.split()])
-
-
 @dataclass(frozen=True)
 class CoreTable:
-    """A core table: columns, primary key, the date column it is laid out by and how finely.
+    """A core table: primary key, the date column it is laid out by and how finely.
 
     ``grain`` is the partition width on disk: one partition per day for tables with rows per
     account, per year for the short series (a day each would be a file per row).
     """
 
     name: str
-    schema: T.StructType
     key: tuple[str, ...]
     date: str
     grain: str = "day"
 
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in CORE_COLUMNS[self.name]))
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
@@ -126,106 +219,18 @@ class CoreTable:
         return [c for c in self.columns if c not in self.key]
 
 
-_INSTRUMENT = "asset_class sub_category description cusip isin symbol"
-
 CORE_TABLES = {
     table.name: table
     for table in (
-        CoreTable(
-            "positions",
-            _struct(
-                f"report_date {ACCOUNT} {_INSTRUMENT} mark_price quantity fx_rate_to_base",
-                dates="report_date",
-                strings=f"{ACCOUNT} {_INSTRUMENT}",
-                doubles="mark_price quantity fx_rate_to_base",
-            ),
-            ("report_date", ACCOUNT, "symbol"),
-            "report_date",
-        ),
-        CoreTable(
-            "trades",
-            _struct(
-                f"report_date {ACCOUNT} {_INSTRUMENT} trade_id quantity trade_price ib_commission buy_sell",
-                dates="report_date",
-                strings=f"{ACCOUNT} {_INSTRUMENT} trade_id buy_sell",
-                doubles="quantity trade_price ib_commission",
-            ),
-            ("report_date", ACCOUNT, "symbol", "trade_id"),
-            "report_date",
-        ),
-        CoreTable(
-            "dividends",
-            _struct(
-                f"report_date {ACCOUNT} {_INSTRUMENT} action_id ex_date pay_date "
-                "quantity gross_rate gross_amount tax fee net_amount",
-                dates="report_date ex_date pay_date",
-                strings=f"{ACCOUNT} {_INSTRUMENT} action_id",
-                doubles="quantity gross_rate gross_amount tax fee net_amount",
-            ),
-            ("report_date", ACCOUNT, "symbol", "action_id"),
-            "report_date",
-        ),
-        CoreTable(
-            "delta_nav",
-            _struct(
-                f"date {ACCOUNT} starting_value ending_value deposits_withdrawals dividends",
-                dates="date",
-                strings=ACCOUNT,
-                doubles="starting_value ending_value deposits_withdrawals dividends",
-            ),
-            ("date", ACCOUNT),
-            "date",
-        ),
-        CoreTable("calendar", _struct("date", dates="date"), ("date",), "date", "year"),
-        CoreTable(
-            "benchmark",
-            _struct(
-                "date ticker adjusted_close return dividends_per_share",
-                dates="date",
-                strings="ticker",
-                doubles="adjusted_close return dividends_per_share",
-            ),
-            ("date", "ticker"),
-            "date",
-            "year",
-        ),
-        CoreTable(
-            "risk_free_rate",
-            _struct("date return", dates="date", doubles="return"),
-            ("date",),
-            "date",
-            "year",
-        ),
-        CoreTable(
-            "holding_returns",
-            _struct(
-                f"date {ACCOUNT} ticker weight shares price value shares_traded "
-                "average_trade_price return dividends dividends_per_share",
-                dates="date",
-                strings=f"{ACCOUNT} ticker",
-                doubles="weight shares price value shares_traded average_trade_price return "
-                "dividends dividends_per_share",
-            ),
-            ("date", ACCOUNT, "ticker"),
-            "date",
-        ),
-        CoreTable(
-            "fund_returns",
-            _struct(
-                f"date {ACCOUNT} value return dividends",
-                dates="date",
-                strings=ACCOUNT,
-                doubles="value return dividends",
-            ),
-            ("date", ACCOUNT),
-            "date",
-        ),
-        CoreTable(
-            "all_fund_returns",
-            _struct("date value return dividends", dates="date", doubles="value return dividends"),
-            ("date",),
-            "date",
-            "year",
-        ),
+        CoreTable("positions", ("report_date", ACCOUNT, "symbol"), "report_date"),
+        CoreTable("trades", ("report_date", ACCOUNT, "symbol", "trade_id"), "report_date"),
+        CoreTable("dividends", ("report_date", ACCOUNT, "symbol", "action_id"), "report_date"),
+        CoreTable("delta_nav", ("date", ACCOUNT), "date"),
+        CoreTable("calendar", ("date",), "date", "year"),
+        CoreTable("benchmark", ("date", "ticker"), "date", "year"),
+        CoreTable("risk_free_rate", ("date",), "date", "year"),
+        CoreTable("holding_returns", ("date", ACCOUNT, "ticker"), "date"),
+        CoreTable("fund_returns", ("date", ACCOUNT), "date"),
+        CoreTable("all_fund_returns", ("date",), "date", "year"),
     )
 }
