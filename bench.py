@@ -32,6 +32,9 @@ HEADLINE = [
     "reload_union_distinct",
     "clean_trades",
     "key_violations",
+    "holding_returns_wide",
+    "fund_returns_wide",
+    "upsert_wide",
 ]
 
 
