@@ -106,12 +106,13 @@ def test_daily_runs_add_up_to_a_reload(setting, spark, tmp_path):
 
 def test_daily_runs_read_no_history(setting, spark, tmp_path):
     warehouse, inputs = setting
-    scans, read = [], warehouse.merge
+    scans, write = [], warehouse.merge
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # whole paths and filters in plans
 
     def merge(table, batch, **options):
         if table in ("holding_returns", "fund_returns"):
             scans.append((table, batch._jdf.queryExecution().executedPlan().toString()))
-        read(table, batch, **options)
+        write(table, batch, **options)
 
     warehouse.merge = merge
     for n in (2, 3, 4, 5):
@@ -125,7 +126,7 @@ def test_daily_runs_read_no_history(setting, spark, tmp_path):
         for table, plan in scans:
             tables = ("positions", "trades") if table == "holding_returns" else ("delta_nav",)
             found = [x for x in plan.splitlines() if "FileScan" in x and any(f"/core/{t}]" in x for t in tables)]
-            assert found and all(lower in line for line in found)
+            assert found and all(lower in line for line in found), plan
     assert _returns_of(warehouse, "S0") == {n: pytest.approx(r) for n, r in RETURNS.items()}
     assert _returns_of(warehouse, "NEW") == {4: 0}
 
