@@ -30,13 +30,14 @@ CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAMED = frozenset(("class", "id", "role", "itemprop"))
+_NAME = re.compile(r"[a-z]+(?:[-_]+[a-z]+)*")
 
 
 class Node:
-    """A folded element. ``kind`` is its tag and the words of its class, id and role; ``texts`` are the
-    places in the page's list of texts that its slot holds."""
+    """A folded element. ``kind`` is its tag and the names of its class, id and role, each up to its first
+    digit, and ``[hidden]`` if it says so; ``texts`` are the places in the page's list of texts that its slot holds."""
 
     __slots__ = ("kind", "children", "texts")
 
@@ -50,10 +51,10 @@ def _kind(tag: str, attributes: str) -> str:
     found = []
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
-        if key == "hidden" or (key == "aria-hidden" and "true" in m[0].lower()):
-            found.append("hidden")
-        else:
-            found += _NAME.findall((m[2] or m[3] or m[4] or "").lower())
+        if key in _NAMED:
+            found += [n[0] for n in map(_NAME.match, (m[2] or m[3] or m[4] or "").lower().split()) if n]
+        elif key == "hidden" or (key == "aria-hidden" and "true" in m[0].lower()):
+            found.append("[hidden]")
     return " ".join([tag, *sorted(set(found))])
 
 

@@ -8,7 +8,8 @@ salt and then by host, as a stream. A wrapper grows with the variety of a host's
 its pages.
 
 The wrapper then says which slots hold main text. Menus, headers, footers, asides, forms, scripts,
-adverts, notices and comments are known by tag, role or class words. Where there is an article (or main)
+adverts, notices and comments are known by tag, or by a whole name of class, id or role, its first or its
+last word; html, body, article and main are never barred by such names. Where there is an article (or main)
 only its slots count; else what is left of the body, without lists of links. Constants of the template
 are left out where the same region has fields, if ``CONSTANT_PAGES`` pages and all that have the element
 around them agree. Pages meet their
@@ -22,7 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,7 +46,9 @@ ASIDE_WORDS = frozenset(
     "footer pagination pager toolbar comment comments respond reply replies disqus share sharing social related recommended "
     "widget login search hidden contentinfo complementary dialog skip".split()
 )
+MODIFIERS = frozenset("has with without no not is are hide show format category cat tag type status layout template theme page".split())
 MAIN_TAGS = ("article", "main")
+NEVER_ASIDE = frozenset(("html", "body", *MAIN_TAGS))
 FIELD = "*"
 
 
@@ -91,14 +96,25 @@ def _regrouped(children: list) -> list:
     return out
 
 
+def _aside(name: str) -> bool:
+    """A name of class, id or role is an aside's by itself, by its first word, or by its last unless the
+    first only says how the element looks or what stands beside it (``has-sidebar``)."""
+    first, *rest = re.split("[-_]+", name)
+    return name in ASIDE_WORDS or first in ASIDE_WORDS or (bool(rest) and first not in MODIFIERS and rest[-1] in ASIDE_WORDS)
+
+
+@lru_cache(maxsize=1 << 14)
 def _barred(kind: str, in_main: bool) -> bool:
     tag, *names = kind.split(" ")
-    return tag in ASIDE_TAGS or (tag == "header" and not in_main) or not ASIDE_WORDS.isdisjoint(names)
+    if tag in ASIDE_TAGS or (tag == "header" and not in_main):
+        return True
+    if "[hidden]" in names and tag not in ("html", "body"):
+        return True
+    return tag not in NEVER_ASIDE and any(map(_aside, names))
 
 
 def _has_main(node: list) -> bool:
-    tag, *names = node[0].split(" ")
-    return not _barred(node[0], False) and (tag in MAIN_TAGS or "main" in names and tag == "div" or any(map(_has_main, node[2])))
+    return not _barred(node[0], False) and (_is_main(node[0]) or any(map(_has_main, node[2])))
 
 
 def marked(wrapper: list) -> list:
@@ -131,7 +147,7 @@ def marked(wrapper: list) -> list:
 
 def _is_main(kind: str) -> bool:
     tag, *names = kind.split(" ")
-    return tag in MAIN_TAGS or (tag == "div" and "main" in names)
+    return tag in MAIN_TAGS or (tag == "div" and "main" in re.split("[-_ ]+", " ".join(names)))
 
 
 def extract(page: str, marks: list) -> str:

@@ -116,6 +116,23 @@ def test_pages_against_their_article(spark):
         assert r["text"] == " ".join(H.unescape(plain).split()) and r["n_chars"] == len(r["text"])
 
 
+def texts_of(spark, pages, host="https://a.example.com/x"):
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").withColumn("url", F.lit(host))
+    return [r["text"] for r in main_text(df).orderBy("page_id").collect()]
+
+
+def test_class_words_do_not_bar_an_article(spark):
+    pages = {
+        "<body class='has-sidebar comments-open'><article><p>a 1</p></article></body>": "a 1",
+        "<body><article class='post format-aside category-social'><p>b 1</p></article></body>": "b 1",
+        "<body><div id='content' class='with-sidebar'><p>c 1</p></div><div class='left-sidebar'>no</div><div class='ad-slot-3'>no</div></body>": "c 1",
+        "<body><div data-role='menu' data-id='ad' title='a hidden one'><p>d 1</p></div><div hidden>no</div></body>": "d 1",
+        "<body><div style='x: hidden; y'><p>e 1</p></div><p class='hidden'>no</p><div aria-hidden=true>no</div></body>": "e 1",
+    }
+    for page, want in pages.items():
+        assert texts_of(spark, [page]) == [want]
+
+
 # ---- 3 and 5 ----
 
 STRINGS = [
