@@ -10,9 +10,9 @@ its pages.
 The wrapper then says which slots hold main text. Menus, headers, footers, asides, forms, scripts,
 adverts, notices and comments are known by tag, or by a whole name of class, id or role, its first or its
 last word; html, body, article and main are never barred by such names. Where there is an article (or main)
-only its slots count; else what is left of the body, without lists of links. Constants of the template
-are left out where the same region has fields, if ``CONSTANT_PAGES`` pages and all that have the element
-around them agree. Pages meet their
+only its slots count, all of them; else what is left of the body, without lists of links. There constants of
+the template are left out beside fields, if ``CONSTANT_PAGES`` pages and all that have the element around
+them have that text. Pages meet their
 host's wrapper in a join that can be split, are aligned with it, and give the texts of its main slots.
 
 Null html gives empty text; a null or odd URL belongs to the host ''. Rows that repeat an id are pages
@@ -56,7 +56,8 @@ def host_of(url: str) -> Column:
     return F.lower(F.regexp_extract(text_of(url), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
 
 
-# A wrapper is [kind, slot, children, pages]: slot is "" without text, a hash of a constant, or FIELD.
+# A wrapper is [kind, slot, children, pages, same]: slot is "" without text, a hash of a constant, or FIELD;
+# same is the number of pages that have a constant's text.
 
 
 def _slot(texts: list[tuple[str, int]], node: Node) -> str:
@@ -64,12 +65,14 @@ def _slot(texts: list[tuple[str, int]], node: Node) -> str:
     return hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=8).hexdigest() if own else ""
 
 
-def _same_slot(a: str, b: str) -> str:
-    return a if a == b or not b else b if not a else FIELD
+def _same_slot(a: list, b: list) -> tuple[str, int]:
+    if a[1] == b[1]:
+        return a[1], a[4] + b[4]
+    return (FIELD, 0) if a[1] and b[1] else (a[1] or b[1], a[4] + b[4])
 
 
 def weighed(tree: list, pages: int) -> list:
-    return [tree[0], tree[1], [weighed(c, pages) for c in tree[2]], pages]
+    return [tree[0], tree[1], [weighed(c, pages) for c in tree[2]], pages, pages if tree[1] else 0]
 
 
 def merged(a: list, b: list) -> list:
@@ -82,7 +85,8 @@ def merged(a: list, b: list) -> list:
         if x < len(a[2]):
             children.append(merged(a[2][x], b[2][y]))
         i, j = x + 1, y + 1
-    return [a[0], _same_slot(a[1], b[1]), _regrouped(children), a[3] + b[3]]
+    slot, same = _same_slot(a, b)
+    return [a[0], slot, _regrouped(children), a[3] + b[3], same]
 
 
 def _regrouped(children: list) -> list:
@@ -90,7 +94,9 @@ def _regrouped(children: list) -> list:
     out: list = []
     for child in children:
         if out and out[-1][0] == child[0]:
+            same = max(out[-1][4], child[4])  # they may be of the same pages
             out[-1] = merged(out[-1], child)
+            out[-1][4] = same
         else:
             out.append(child)
     return out
@@ -138,8 +144,8 @@ def marked(wrapper: list) -> list:
         inside = inside or _is_main(node[0])
         if _barred(node[0], inside) or (not need_main and links(node)):
             return [node[0], False, []]
-        # what only some pages have may be one article's copies, and is no constant of the template
-        constant = node[1] not in ("", FIELD) and node[3] >= max(CONSTANT_PAGES, pages) and varied and not inline(node)
+        # a text that only some pages have may be one article's copies, and is no constant of the template
+        constant = not need_main and node[1] not in ("", FIELD) and node[4] >= max(CONSTANT_PAGES, pages) and varied and not inline(node)
         return [node[0], inside and not constant, [mark(c, inside, node[3]) for c in node[2]]]
 
     return mark(wrapper, not need_main, wrapper[3])

@@ -133,6 +133,15 @@ def test_class_words_do_not_bar_an_article(spark):
         assert texts_of(spark, [page]) == [want]
 
 
+def test_constants_are_texts_of_many_pages_outside_articles(spark):
+    inside = [f"<body><article><h2>Summary</h2><p>own {n}</p></article></body>" for n in range(25)]
+    assert texts_of(spark, inside) == [f"Summary own {n}" for n in range(25)]
+    loose = [f"<body><div><p>own {n}</p></div></body>" for n in range(24)] + ["<body><div>All loose<p>own x</p></div></body>"]
+    assert texts_of(spark, loose) == [f"own {n}" for n in range(24)] + ["All loose own x"]
+    template = [f"<body><div><h2>Our shop</h2><p>own {n}</p></div></body>" for n in range(25)]
+    assert texts_of(spark, template) == [f"own {n}" for n in range(25)]
+
+
 # ---- 3 and 5 ----
 
 STRINGS = [
