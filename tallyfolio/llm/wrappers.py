@@ -124,7 +124,8 @@ def _has_main(node: list) -> bool:
 
 
 def marked(wrapper: list) -> list:
-    """[kind, main, children]: which slots hold main text."""
+    """[kind, main, children, constant]: which nodes are in main text, and a slot text that is none of it. A
+    barred node is None in its place of main."""
     need_main = _has_main(wrapper)
 
     def fields(node: list, inside: bool) -> bool:
@@ -143,12 +144,12 @@ def marked(wrapper: list) -> list:
     def mark(node: list, inside: bool, pages: int) -> list:
         inside = inside or _is_main(node[0])
         if _barred(node[0], inside) or (not need_main and links(node)):
-            return [node[0], False, []]
+            return [node[0], None, [], ""]
         # a text that only some pages have may be one article's copies, and is no constant of the template
         constant = not need_main and node[1] not in ("", FIELD) and node[4] >= max(CONSTANT_PAGES, pages) and varied and not inline(node)
-        return [node[0], inside and not constant, [mark(c, inside, node[3]) for c in node[2]]]
+        return [node[0], inside, [mark(c, inside, node[3]) for c in node[2]], node[1] if inside and constant else ""]
 
-    return mark(wrapper, not need_main, wrapper[3])
+    return [*mark(wrapper, not need_main, wrapper[3]), need_main]
 
 
 def _is_main(kind: str) -> bool:
@@ -157,15 +158,39 @@ def _is_main(kind: str) -> bool:
 
 
 def extract(page: str, marks: list) -> str:
-    """The texts of a page in the main slots of its host's wrapper."""
+    """The texts of a page in the main slots of its host's wrapper. Elements the alignment pairs with nothing
+    are judged by themselves, as part of what is around them, so no text depends on which of several equal
+    kinds it picks; a paired slot is left out as a constant only if it has the constant's text."""
     root, texts = parse(page)
     wanted: list[int] = []
+    need_main = marks[4]
+
+    def links(node: Node) -> bool:
+        return (
+            node.kind.split(" ")[0] in ("ul", "ol") and bool(node.children)
+            and all(not _slot(texts, c) and [g.kind.split(" ")[0] for g in c.children] == ["a"] for c in node.children)
+        )
+
+    def alone(node: Node, inside: bool) -> None:
+        inside = inside or _is_main(node.kind)
+        if _barred(node.kind, inside) or (not need_main and links(node)):
+            return
+        if inside:
+            wanted.extend(node.texts)
+        for child in node.children:
+            alone(child, inside)
 
     def take(node: Node, mark: list) -> None:
-        if mark[1]:
+        if mark[1] is None:
+            return
+        if mark[1] and not (mark[3] and _slot(texts, node) == mark[3]):
             wanted.extend(node.texts)
-        for x, y in aligned([c.kind for c in node.children], [c[0] for c in mark[2]]):
-            take(node.children[x], mark[2][y])
+        paired = dict(aligned([c.kind for c in node.children], [c[0] for c in mark[2]]))
+        for i, child in enumerate(node.children):
+            if i in paired:
+                take(child, mark[2][paired[i]])
+            else:
+                alone(child, mark[1])
 
     take(fold(root), marks)
     return joined(texts, sorted(wanted))

@@ -32,7 +32,8 @@ from tallyfolio.llm.quality import quality, without_boilerplate
 from tallyfolio.llm.token_files import read_tokens, write_tokens
 from tallyfolio.llm.tokens import PieceEncoder
 from tallyfolio.llm.warc import list_records, members, read_records, write_packages
-from tallyfolio.llm.wrappers import main_text
+from tallyfolio.llm.markup import fold, parse, shape
+from tallyfolio.llm.wrappers import _slot, extract, main_text, marked, merged, weighed
 from tools.check_queries import compare
 
 SF = "/root/testdata/sf0.001"
@@ -142,6 +143,27 @@ def test_constants_are_texts_of_many_pages_outside_articles(spark):
     assert texts_of(spark, template) == [f"own {n}" for n in range(25)]
 
 
+def test_elements_without_a_partner_keep_their_text(spark):
+    more = "<code>c</code><a>link</a><table><tr><td>t</td></tr></table>"
+    shapes = ["<p>P {n}</p><h2>H</h2>", "<h2>H</h2><p>Q {n} " + more + "</p>", "<p>R {n} " + more + "</p>"]
+    pages = [f"<body><article>{shapes[n % 3].format(n=n)}</article></body>" for n in range(30)]
+    want = ["P {n} H", "H Q {n} clink t", "R {n} clink t"]
+    assert texts_of(spark, pages) == [want[n % 3].format(n=n) for n in range(30)]
+    assert texts_of(spark, pages, None) == [want[n % 3].format(n=n) for n in range(30)]
+
+
+def test_extract_by_a_merged_wrapper():
+    inner = ["<p>x</p><h2>y</h2>", "<h2>y</h2><p>z<code>k</code><nav>no</nav></p>", "<p>lone<code>k</code><nav>no</nav></p>"]
+    pages = [f"<article>{x}</article>" for x in inner]
+    trees = []
+    for page in pages[:2]:
+        root, texts = parse(page)
+        trees.append(weighed(shape(fold(root), lambda node, texts=texts: _slot(texts, node)), 1))
+    for a, b in (trees, trees[::-1]):
+        marks = marked(merged(a, b))
+        assert [extract(page, marks) for page in pages] == ["x y", "y zk", "lonek"]
+
+
 # ---- 3 and 5 ----
 
 STRINGS = [
