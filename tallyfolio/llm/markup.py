@@ -2,17 +2,18 @@
 
 A page becomes a tree whose siblings of one kind that follow one another, or runs of up to ``PERIOD``
 kinds that repeat, are one repeated node; a node's own texts are its slot. Two trees are aligned by the
-longest common subsequence of their children's kinds; what one of them lacks is optional.
+longest common subsequence of their children's kinds; what one of them lacks is optional. Trees are walked
+without Python's call stack, so they may be of any depth.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Generator
 
 PERIOD = 3
-DEPTH = 60
 
 # Names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,6 +27,9 @@ CLOSES_P = frozenset(
     "header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
 CLOSES_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Open elements that a tag ends, unless one of the others was opened in them.
+ENDS = {t: (CLOSES_SAME[t], ("ul", "ol", "dl", "table", "select")) for t in CLOSES_SAME}
+ENDS |= {t: (("p",), ("table", "td", "th", "button")) for t in CLOSES_P}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<", re.S
@@ -58,10 +62,35 @@ def _kind(tag: str, attributes: str) -> str:
     return " ".join([tag, *sorted(set(found))])
 
 
+def looped(step: Callable[..., Generator], *args):
+    """``step(*args)``, a function that yields the arguments of each call of itself and is sent its result."""
+    calls, value = [step(*args)], None
+    while calls:
+        try:
+            deeper = calls[-1].send(value)
+        except StopIteration as done:
+            calls.pop()
+            value = done.value
+        else:
+            calls.append(step(*deeper))
+            value = None
+    return value
+
+
 def parse(page: str) -> tuple[Node, list[tuple[str, int]]]:
     """The page's tree, not folded yet, and its texts in page order with the number of their block."""
     root = Node("")
     stack, texts, block, skip_to = [(root, "")], [], 0, 0
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack a tag is open
+
+    def last(tags: tuple) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def close(place: int) -> None:
+        for _, tag in stack[place:]:
+            places[tag].pop()
+        del stack[place:]
+
     for m in _TOKEN.finditer(page):
         if m.start() < skip_to:
             continue
@@ -78,38 +107,35 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int]]]:
         if tag not in INLINE:
             block += 1
         if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][1] == tag:
-                    del stack[i:]
-                    break
+            if last((tag,)):
+                close(last((tag,)))
             continue
-        if tag in CLOSES_P:
-            _close(stack, ("p",), ("table", "td", "th", "button"))
-        elif tag in CLOSES_SAME:
-            _close(stack, CLOSES_SAME[tag], ("ul", "ol", "dl", "table", "select"))
+        ended, within = ENDS.get(tag, ((), ()))
+        if last(ended) > last(within):
+            close(last(ended))
         node = Node(_kind(tag, m[3] or m[6] or ""))
         stack[-1][0].children.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}[^>]*>", re.I).search(page, m.end())
             skip_to = end.end() if end else len(page)
-        elif tag not in VOID and not token.endswith("/>") and len(stack) < DEPTH:
+        elif tag not in VOID and not token.endswith("/>"):
+            places[tag].append(len(stack))
             stack.append((node, tag))
     return root, texts
 
 
-def _close(stack: list, tags: tuple, stop: tuple) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i][1] in tags:
-            del stack[i:]
-            return
-        if stack[i][1] in stop:
-            return
-
-
 def fold(node: Node) -> Node:
     """Makes repeated children one, at every level. Kinds of children are compared, and what stands below
     them is aligned."""
-    children = node.children
+    todo = [node]
+    while todo:
+        one = todo.pop()
+        one.children = _runs(one.children)
+        todo += one.children
+    return node
+
+
+def _runs(children: list[Node]) -> list[Node]:
     period = 1
     while period <= PERIOD and len(children) > period:
         out, i = children[:period], period
@@ -125,10 +151,7 @@ def fold(node: Node) -> Node:
                 i += 1
         period = 1 if len(out) < len(children) and period > 1 else period + 1
         children = out
-    node.children = children
-    for child in children:
-        fold(child)
-    return node
+    return children
 
 
 def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -155,7 +178,14 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 def shape(node: Node, slot: Callable[[Node], str]) -> list:
     """[kind, slot, children] of a folded tree, to be sent around."""
-    return [node.kind, slot(node), [shape(c, slot) for c in node.children]]
+
+    def step(node: Node) -> Generator:
+        children = []
+        for c in node.children:
+            children.append((yield (c,)))
+        return [node.kind, slot(node), children]
+
+    return looped(step, node)
 
 
 def joined(texts: list[tuple[str, int]], wanted: list[int]) -> str:

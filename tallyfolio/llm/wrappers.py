@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import batches, join_groups, text_of, written
-from tallyfolio.llm.markup import INLINE, Node, aligned, fold, joined, parse, shape
+from tallyfolio.llm.markup import INLINE, Node, aligned, fold, joined, looped, parse, shape
 
 SHAPES = 2000
 SALTS = 16
@@ -72,34 +72,57 @@ def _same_slot(a: list, b: list) -> tuple[str, int]:
 
 
 def weighed(tree: list, pages: int) -> list:
-    return [tree[0], tree[1], [weighed(c, pages) for c in tree[2]], pages, pages if tree[1] else 0]
+
+    def step(tree: list) -> Generator:
+        children = []
+        for c in tree[2]:
+            children.append((yield (c,)))
+        return [tree[0], tree[1], children, pages, pages if tree[1] else 0]
+
+    return looped(step, tree)
 
 
 def merged(a: list, b: list) -> list:
     """The wrapper of both: aligned children are merged, the others are kept, fewer pages marking them
     as optional."""
+    return looped(_merging, a, b)
+
+
+def _merging(a: list, b: list) -> Generator:
     children, i, j = [], 0, 0
     pairs = aligned([c[0] for c in a[2]], [c[0] for c in b[2]])
     for x, y in [*pairs, (len(a[2]), len(b[2]))]:
         children += a[2][i:x] + b[2][j:y]
         if x < len(a[2]):
-            children.append(merged(a[2][x], b[2][y]))
+            children.append((yield a[2][x], b[2][y]))
         i, j = x + 1, y + 1
-    slot, same = _same_slot(a, b)
-    return [a[0], slot, _regrouped(children), a[3] + b[3], same]
-
-
-def _regrouped(children: list) -> list:
-    """Neighbours of one kind, as unmatched children can leave, are one repeated node."""
     out: list = []
-    for child in children:
+    for child in children:  # neighbours of one kind, as unmatched children can leave, are one repeated node
         if out and out[-1][0] == child[0]:
             same = max(out[-1][4], child[4])  # they may be of the same pages
-            out[-1] = merged(out[-1], child)
+            out[-1] = yield out[-1], child
             out[-1][4] = same
         else:
             out.append(child)
-    return out
+    slot, same = _same_slot(a, b)
+    return [a[0], slot, out, a[3] + b[3], same]
+
+
+def dumped(tree: list) -> str:
+    """A wrapper as JSON of its nodes from the top, each with its number of children in their place."""
+    out, todo = [], [tree]
+    while todo:
+        kind, slot, children, *counts = todo.pop()
+        out.append([kind, slot, len(children), *counts])
+        todo += reversed(children)
+    return json.dumps(out)
+
+
+def loaded(text: str) -> list:
+    done: list = []
+    for kind, slot, n, *counts in reversed(json.loads(text)):
+        done.append([kind, slot, [done.pop() for _ in range(n)], *counts])
+    return done[0]
 
 
 def _aside(name: str) -> bool:
@@ -120,7 +143,15 @@ def _barred(kind: str, in_main: bool) -> bool:
 
 
 def _has_main(node: list) -> bool:
-    return not _barred(node[0], False) and (_is_main(node[0]) or any(map(_has_main, node[2])))
+    todo = [node]
+    while todo:
+        one = todo.pop()
+        if _barred(one[0], False):
+            continue
+        if _is_main(one[0]):
+            return True
+        todo += one[2]
+    return False
 
 
 def marked(wrapper: list) -> list:
@@ -128,11 +159,19 @@ def marked(wrapper: list) -> list:
     barred node is None in its place of main."""
     need_main = _has_main(wrapper)
 
-    def fields(node: list, inside: bool) -> bool:
-        inside = inside or _is_main(node[0])
-        return not _barred(node[0], inside) and (inside and node[1] == FIELD or any(fields(c, inside) for c in node[2]))
+    def fields() -> bool:
+        todo = [(wrapper, not need_main)]
+        while todo:
+            node, inside = todo.pop()
+            inside = inside or _is_main(node[0])
+            if _barred(node[0], inside):
+                continue
+            if inside and node[1] == FIELD:
+                return True
+            todo += [(c, inside) for c in node[2]]
+        return False
 
-    varied = fields(wrapper, not need_main)
+    varied = fields()
 
     def links(node: list) -> bool:
         return node[0].split(" ")[0] in ("ul", "ol") and bool(node[2]) and all(not c[1] and [g[0].split(" ")[0] for g in c[2]] == ["a"] for c in node[2])
@@ -141,15 +180,18 @@ def marked(wrapper: list) -> list:
         """Part of the text around it, and so no constant by itself."""
         return node[0].split(" ")[0] in INLINE
 
-    def mark(node: list, inside: bool, pages: int) -> list:
+    def mark(node: list, inside: bool, pages: int) -> Generator:
         inside = inside or _is_main(node[0])
         if _barred(node[0], inside) or (not need_main and links(node)):
             return [node[0], None, [], ""]
         # a text that only some pages have may be one article's copies, and is no constant of the template
         constant = not need_main and node[1] not in ("", FIELD) and node[4] >= max(CONSTANT_PAGES, pages) and varied and not inline(node)
-        return [node[0], inside, [mark(c, inside, node[3]) for c in node[2]], node[1] if inside and constant else ""]
+        children = []
+        for c in node[2]:
+            children.append((yield c, inside, node[3]))
+        return [node[0], inside, children, node[1] if inside and constant else ""]
 
-    return [*mark(wrapper, not need_main, wrapper[3]), need_main]
+    return [*looped(mark, wrapper, not need_main, wrapper[3]), need_main]
 
 
 def _is_main(kind: str) -> bool:
@@ -171,28 +213,21 @@ def extract(page: str, marks: list) -> str:
             and all(not _slot(texts, c) and [g.kind.split(" ")[0] for g in c.children] == ["a"] for c in node.children)
         )
 
-    def alone(node: Node, inside: bool) -> None:
-        inside = inside or _is_main(node.kind)
-        if _barred(node.kind, inside) or (not need_main and links(node)):
-            return
-        if inside:
-            wanted.extend(node.texts)
-        for child in node.children:
-            alone(child, inside)
-
-    def take(node: Node, mark: list) -> None:
-        if mark[1] is None:
-            return
-        if mark[1] and not (mark[3] and _slot(texts, node) == mark[3]):
-            wanted.extend(node.texts)
-        paired = dict(aligned([c.kind for c in node.children], [c[0] for c in mark[2]]))
-        for i, child in enumerate(node.children):
-            if i in paired:
-                take(child, mark[2][paired[i]])
-            else:
-                alone(child, mark[1])
-
-    take(fold(root), marks)
+    todo: list = [(fold(root), marks, False)]
+    while todo:
+        node, mark, inside = todo.pop()
+        if mark is None:
+            inside = inside or _is_main(node.kind)
+            if _barred(node.kind, inside) or (not need_main and links(node)):
+                continue
+            if inside:
+                wanted.extend(node.texts)
+            todo += [(child, None, inside) for child in node.children]
+        elif mark[1] is not None:
+            if mark[1] and not (mark[3] and _slot(texts, node) == mark[3]):
+                wanted.extend(node.texts)
+            paired = dict(aligned([c.kind for c in node.children], [c[0] for c in mark[2]]))
+            todo += [(child, mark[2][paired[i]] if i in paired else None, mark[1]) for i, child in enumerate(node.children)]
     return joined(texts, sorted(wanted))
 
 
@@ -206,7 +241,7 @@ def _shapes(pages: DataFrame) -> DataFrame:
         found: dict[tuple[str, str], list] = {}
 
         def rows() -> pa.RecordBatch:
-            out = [{"host": k[0], "wrapper": json.dumps(v)} for k, v in found.items()]
+            out = [{"host": k[0], "wrapper": dumped(v)} for k, v in found.items()]
             found.clear()
             return pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("wrapper", pa.string())]))
 
@@ -214,7 +249,7 @@ def _shapes(pages: DataFrame) -> DataFrame:
             for host, page in zip(frame.column("host").to_pylist(), frame.column("html").to_pylist(), strict=True):
                 root, texts = parse(page)
                 tree = shape(fold(root), lambda node, texts=texts: _slot(texts, node))
-                key = host, json.dumps(_kinds(tree))
+                key = host, _kinds(tree)
                 one = weighed(tree, 1)
                 found[key] = merged(found[key], one) if key in found else one
             if len(found) > SHAPES:
@@ -224,8 +259,13 @@ def _shapes(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(read, "host string, wrapper string")
 
 
-def _kinds(tree: list) -> list:
-    return [tree[0], [_kinds(c) for c in tree[2]]]
+def _kinds(tree: list) -> str:
+    out, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        out.append([node[0], len(node[2])])
+        todo += reversed(node[2])
+    return json.dumps(out)
 
 
 def _aligned(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,14 +276,14 @@ def _aligned(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for h, w in zip(frame.column("host").to_pylist(), frame.column("wrapper").to_pylist(), strict=True):
             if h == host:
-                held = merged(held, json.loads(w))
+                held = merged(held, loaded(w))
                 continue
             if held is not None:
-                out.append({"host": host, "wrapper": json.dumps(held)})
-            host, held = h, json.loads(w)
+                out.append({"host": host, "wrapper": dumped(held)})
+            host, held = h, loaded(w)
         yield pa.RecordBatch.from_pylist(out, schema)
     if held is not None:
-        yield pa.RecordBatch.from_pylist([{"host": host, "wrapper": json.dumps(held)}], schema)
+        yield pa.RecordBatch.from_pylist([{"host": host, "wrapper": dumped(held)}], schema)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -267,7 +307,7 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
                 if wrapper not in marks:
                     if len(marks) > SHAPES:
                         marks.clear()
-                    marks[wrapper] = marked(json.loads(wrapper))
+                    marks[wrapper] = marked(loaded(wrapper))
                 texts.append(extract(page, marks[wrapper]))
             yield pa.RecordBatch.from_arrays([frame.column("id"), frame.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"])
 

@@ -164,6 +164,14 @@ def test_extract_by_a_merged_wrapper():
         assert [extract(page, marks) for page in pages] == ["x y", "y zk", "lonek"]
 
 
+def test_pages_of_any_depth(spark):
+    deep = lambda n, x: "<div>" * n + x + "</div>" * n
+    page = "<body><div><article><p>A {n}</p>" + deep(80, "in<nav>menu</nav><form>f</form>") + "<p>after</p></article></div><footer>f</footer></body>"
+    assert texts_of(spark, [page.format(n=n) for n in range(3)]) == [f"A {n} in after" for n in range(3)]
+    assert texts_of(spark, [f"<article>{n}" + deep(20_000, "x") + "end</article>no" for n in range(2)]) == [f"{n} x end" for n in range(2)]
+    assert texts_of(spark, ["<article>" + "<div>" * 30_000 + "cut"]) == ["cut"]
+
+
 # ---- 3 and 5 ----
 
 STRINGS = [
