@@ -2,15 +2,16 @@
 
 Lines are normalised (lower case, digits as 0, runs of white space as one space), hashed, and counted
 per host by the number of distinct documents they are in. A line is boilerplate where that number is at
-least ``MIN_DOCUMENTS`` and ``HOST_PERCENT`` of the host's documents. Boilerplate lines are removed; a
+least ``MIN_DOCUMENTS``, whatever the size of the host. Boilerplate lines are removed; a
 document is depleted, and rejected, if less than ``LEFT_PERCENT`` of its words are left.
 
-A document's own pass yields each distinct line once with its words, so the count over documents is a
-sum per host and line with partial sums in each task, however common the line. Hosts with a third of all
-documents need nothing else, as no host is gathered anywhere.
+A document's own pass yields each distinct line once with its words. Rows are counted first, as sums per
+host and line with partial sums in each task; a bounded filter of the lines in enough rows then picks those
+whose distinct documents are counted, by host, line and document, however common the line. Hosts with a
+third of all documents need nothing else, as no host is gathered anywhere.
 
 Null text has no words (and so fails the base rules); a null host is the host ``-``. A null id is a
-document like any other. Rows that repeat an id are counted as one document each; their removed words
+document like any other. Rows that repeat an id are one document to the counts of lines; their removed words
 are summed per row. An empty table gives no rows. Extra columns are ignored.
 """
 
@@ -25,11 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, join_groups, map_texts, written
+from tallyfolio.llm.common import batches, bounded_filter, join_groups, map_texts, passing, written
 from tallyfolio.llm.textscan import counted, windows, words
 
 MIN_DOCUMENTS = 20
-HOST_PERCENT = 1
 LEFT_PERCENT = 50
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
@@ -116,12 +116,13 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
 
 
 def boilerplate(rows: DataFrame) -> DataFrame:
-    """(host, line) above the limits."""
-    hosts = rows.groupBy("host").agg(F.count("*").alias("documents"))
-    lines = rows.select("host", F.explode("lines").alias("l")).groupBy("host", F.col("l.line").alias("line")).agg(F.count("*").alias("n"))
-    # the lower bound first: few lines reach it, and they alone meet the hosts
-    often = lines.filter(F.col("n") >= MIN_DOCUMENTS).join(hosts, "host")
-    return often.filter(F.col("n") * 100 >= F.col("documents") * HOST_PERCENT).select("host", "line")
+    """(host, line) in enough documents."""
+    lines = rows.select("id", "host", F.explode("lines").alias("l")).select("id", "host", "l.line")
+    key = F.struct("host", "line")
+    often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_DOCUMENTS)
+    some = passing(lines, key, bounded_filter(often, key)).dropDuplicates(["host", "line", "id"])
+    counts = some.groupBy("host", "line").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= MIN_DOCUMENTS).select("host", "line")
 
 
 def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -141,7 +142,7 @@ def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str =
 
 def without_boilerplate(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The documents with boilerplate lines taken out of their text; other columns as they were."""
-    rows = measured(docs, id, text, host)
+    rows = written(measured(docs, id, text, host), "quality-rows")
     bad = boilerplate(rows)
     used = rows.select("id", "host", F.explode("lines").alias("l")).select("id", "host", "l.line")
     hit = join_groups(used, bad.withColumn("bad", F.lit(True)), ["host", "line"], "inner")

@@ -369,6 +369,17 @@ def test_boilerplate_lines(spark):
     assert cleaned[3] == own(3, 30) and cleaned[200].endswith("here") and len(cleaned) == len(rows)
 
 
+def test_boilerplate_counts_distinct_documents_on_hosts_of_any_size(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")
+    own = lambda i, n: " ".join(f"{i}x{k}".translate(letters) for k in range(n))
+    rows = [(i, own(i, 20) + "\nread more on this site" * (i < 20), "big") for i in range(3000)]
+    rows += [(9000, own(9000, 20) + "\n" + own(9001, 20), "small")] * 25
+    rows += [(9100 + i, own(9100 + i, 20) + "\nnineteen share this line", "small") for i in range(19)]
+    got = {r["doc_id"]: (r["kept"], r["removed_words"]) for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i] == (True, 5 if i < 20 else 0) for i in range(3000))
+    assert got[9000] == (True, 0) and all(got[9100 + i] == (True, 0) for i in range(19))
+
+
 # ---- 8 ----
 
 
