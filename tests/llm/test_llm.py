@@ -391,6 +391,20 @@ def test_license_scan_of_odd_rows(spark, odd, empty):
     assert scan_licenses(empty).count() == 0
 
 
+def test_license_full_texts_and_headers(spark):
+    from pathlib import Path
+
+    import tallyfolio.llm.licenses as licenses
+
+    texts = {p.stem: p.read_text() for p in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(texts)
+    header = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    rows = [*texts.items(), ("GPL-3.0", header), ("MIT", "Copyright (c) 2020 Jane Doe\n\n" + texts["MIT"])]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["license"], r["line_no"] if i else 0) for i, r in enumerate(scan_licenses(df).orderBy("doc_id").collect())}
+    assert [got[i][0] for i in range(len(rows))] == [name for name, _ in rows]
+
+
 @pytest.mark.parametrize("n", range(1, 40))
 def test_license_size_bounds(n):
     low, high = size_range(n, 0.8)
