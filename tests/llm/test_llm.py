@@ -405,6 +405,29 @@ def test_license_full_texts_and_headers(spark):
     assert [got[i][0] for i in range(len(rows))] == [name for name, _ in rows]
 
 
+def test_wrapped_and_embedded_licenses(spark):
+    import textwrap
+    from pathlib import Path
+
+    import tallyfolio.llm.licenses as licenses
+
+    prose = "\n".join(" ".join(f"w{k}x{j}" for j in range(12)) for k in range(40))
+    longest = {name: max((w for n, w in licenses.TEMPLATES if n == name), key=len) for name in ("MIT", "GPL-3.0")}
+    wrap = lambda t: "\n".join("# " + x for x in textwrap.wrap(t, 60))
+    bsd = (Path(licenses.__file__).parent / "license_texts/BSD-3-Clause.txt").read_text()
+    texts = [
+        (f"{prose}\n{wrap(longest['MIT'])}\n{prose}", "MIT", 41, 1),
+        (f"{wrap(longest['GPL-3.0'])}\n{prose}", "GPL-3.0", 1, 1),
+        (f"{prose} and so on. Released under the MIT License. More\nof it. {prose}", "MIT", 40, 1),
+        (f"{prose}\n{bsd}\n{prose}", "BSD-3-Clause", 41, 1),
+        (f"{prose}\nReleased under\nthe MIT License.\n{prose}\nReleased\nunder the ISC License.\n{prose}", "ISC", 83, 2),
+        (f"{prose}\nReleased under the MIT License.\n{prose}", "MIT", 41, 1),
+    ]
+    df = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [(r["license"], r["line_no"], r["n_notices"]) for r in scan_licenses(df).orderBy("doc_id").collect()]
+    assert got == [t[1:] for t in texts]
+
+
 @pytest.mark.parametrize("n", range(1, 40))
 def test_license_size_bounds(n):
     low, high = size_range(n, 0.8)
