@@ -3,7 +3,8 @@
 Neither tokenizer here forms a token across a single space or line break between two characters that
 aren't white space: one drops white space; the other puts a space at the head of the next token and makes
 a line break one of its own. So a text cut at such places gives the same ids piece by piece. Texts with
-other spacing are encoded whole.
+other spacing, and those that hold an added token such as ``<|endoftext|>``, are encoded whole, with the
+library's own settings.
 
 The pieces of a batch are made distinct by Arrow, so a piece is looked up once per batch. Ids are kept in
 a cache of two generations and bounded size per Python worker, which outlives its tasks. A new piece of
@@ -42,7 +43,8 @@ def _byte_letters() -> dict[int, str]:
 class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.odd = "|".join([_ODD, *(f"(?i:{a})" for a in added)])  # case is folded where the tokenizer folds it
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.space = _byte_letters()[32]
@@ -105,7 +107,7 @@ class PieceEncoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), and how many each text has."""
-        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(column, self.odd).to_numpy(zero_copy_only=False)
         at = np.flatnonzero(odd)
         special = self._whole(column.take(pa.array(at)).to_pylist()) if len(at) else []
         if len(at):

@@ -189,6 +189,17 @@ def test_pieces_give_the_ids_of_whole_texts(path):
         assert counts.tolist() == list(map(len, whole)) and ids.tolist() == [i for w in whole for i in w]
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_added_tokens_are_those_of_a_fresh_tokenizer(path):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(path)
+    texts = [*STRINGS, "a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>", "x <|ENDOFTEXT|> y", "plain text", "two\n<|startoftext|>lines<|endoftext|>"]
+    ids, counts = PieceEncoder(path).encode(pa.array(texts))
+    whole = [x.ids for x in fresh.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, whole)) and ids.tolist() == [i for w in whole for i in w]
+
+
 def _whole(path, text):
     coder = PieceEncoder(path)
     return np.array([*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
