@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfolio.llm.alignment import align, link_counts, with_scores
 from tallyfolio.llm.common import scratch, written
 from tallyfolio.llm.exact_dedup import exact_groups
+from tallyfolio.llm.graph_index import build, search
 from tallyfolio.llm.jaccard import jaccard_components
 from tallyfolio.llm.language import fit, held_out, with_language
+from tallyfolio.llm.lexical import ranked_search
 from tallyfolio.llm.licenses import scan_licenses
 from tallyfolio.llm.mixing import PRODUCTION_MIX, mix_documents
 from tallyfolio.llm.packing import pack, pieces
@@ -83,5 +86,23 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_graph_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return search(build(vectors), vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer, model = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    numbers = ("n_a", "n_b", "n_groups", "n_links")
+    aligned = written(align(_documents(spark, folder), tokenizer, model).select("doc_id", *numbers, "pairs", "weights", digest), "align-rows")
+    counts = written(link_counts(aligned, model), "align-counts")
+    return with_scores(aligned, counts).select("doc_id", *numbers, "n_best", "count_sum", "groups_sha256")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
