@@ -152,6 +152,8 @@ class Graph:
         source = np.repeat(batch, self.degree)
         target = self.edges[batch].ravel()
         source, target = source[target >= 0], target[target >= 0]
+        new = (self.edges[target] != source[:, None]).all(axis=1)
+        source, target = source[new], target[new]
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         nodes, first, many = np.unique(target, return_index=True, return_counts=True)
@@ -174,9 +176,6 @@ class Graph:
                 inside = (row >= a) & (row < a + BATCH)
                 more[row[inside] - a, place[inside]] = offered[inside]
                 candidates = np.concatenate([self.edges[w], more], axis=1)
-                # an edge offered twice is one
-                candidates = -np.sort(-candidates, axis=1)
-                candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
                 safe = np.maximum(candidates, 0)
                 gaps = np.where(candidates >= 0, self._gaps(self.points[w], self.norms[w], safe), FAR)
                 self.edges[w] = self._prune(w, candidates, gaps)
@@ -247,7 +246,7 @@ def build(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", shard_
             body = pickle.dumps(Shard(ids, vectors))
             yield pa.RecordBatch.from_pylist([{"length": length, "shard": body}], pa.schema([("length", pa.int32()), ("shard", pa.binary())]))
 
-    dealt = usable.repartition(shards, F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = usable.repartitionById(shards, F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
     return written(map_texts(dealt, grow, "length int, shard binary"), "graph-shards")
 
 

@@ -282,7 +282,7 @@ def _search_block(docs: DataFrame, block: list[tuple[int, np.ndarray]], k: int,
             )
 
     shards = max(1, -(-(sums["postings"] or 0) // shard_postings))
-    dealt = found.filter(F.col("doc_id").isNotNull() & (F.octet_length("terms") > 0)).repartition(shards, F.xxhash64("doc_id", "n"))
+    dealt = found.filter(F.col("doc_id").isNotNull() & (F.octet_length("terms") > 0)).repartitionById(shards, F.pmod(F.xxhash64("doc_id", "n"), F.lit(shards)).cast("int"))
     return map_texts(dealt, search, "query long, doc_id long, score long")
 
 

@@ -167,14 +167,14 @@ def tokenizers():
 def aligned_by_hand(tokenizers, text):
     a, b, byte = tokenizers
     if not text:
-        return "", 0, 0, 0, 0, {}
+        return "", 0, 0, 0, 0, collections.Counter()
     ids = [a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)]
     parts = [
         [bytes(byte[c] for c in a.id_to_token(i)) for i in ids[0]],
         [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids[1]],
     ]
     if any(b"".join(p) != (" " + text).encode() for p in parts):
-        return "", 0, 0, 0, 0, {}
+        return "", 0, 0, 0, 0, collections.Counter()
     ends = [np.cumsum([len(x) for x in p]).tolist() for p in parts]
     groups, last = [], 0
     for end in sorted(set(ends[0]) & set(ends[1])):
