@@ -47,7 +47,9 @@ from tallyfolio.llm.tokens import _ODD, PieceEncoder, _byte_letters
 CHUNK_BYTES = 1 << 16
 FAN = 8
 ROUND_PAIRS = 1 << 22
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
+KEPT_PIECES = 60_000
+"""Words of each tokenizer that a worker's younger cache keeps."""
 FLUSH_PAIRS = 1 << 20
 NONE = np.zeros(0, np.int64)
 
@@ -65,6 +67,8 @@ class _AfterSpace:
         split = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
         lists = self._ids(coded.dictionary.to_pylist())
+        if len(self.young) > KEPT_PIECES:
+            self.old, self.young = self.young, {}
         flat = np.frombuffer(b"".join(lists), "<u4")
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         starts = np.cumsum(sizes) - sizes
