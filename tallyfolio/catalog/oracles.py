@@ -123,6 +123,7 @@ def _accounts() -> dict[str, str]:
         ),
         "nav_lag": with_views("SELECT * FROM nav", "v_delta_nav", "v_calendar", nav=_NAV),
         "fund_returns": per_account(),
+        "account_returns_repair": per_account(),
         "fund_returns_range": per_account(f"WHERE {_between('date', RANGE)}"),
         "fund_returns_incremental": per_account(late),
         "fund_returns_wide": per_account(view="w_delta_nav"),
@@ -246,6 +247,7 @@ def _holdings() -> dict[str, str]:
         "holding_returns_wide_latest": wide.sql(late, "rated"),
         "holding_returns_consistent_scope": aligned.sql("SELECT * FROM rated", "rated"),
         "returns_upsert": full.sql("SELECT * FROM rated", "rated"),
+        "returns_repair": full.sql("SELECT * FROM rated", "rated"),
     }
 
 
@@ -421,6 +423,7 @@ def _merges() -> dict[str, str]:
     return {
         "upsert_update": merged(core, stage, *from_stage),
         "rerun_idempotent": merged(core, stage, *from_stage),
+        "upsert_published": merged(core, stage, *from_stage),
         "upsert_update_latest": merged(core, last_trade, *from_stage),
         "upsert_ignore": merged(core, stage, *from_core),
         "upsert_fill": merged(unpriced, stage, *from_core),
@@ -437,6 +440,12 @@ def _merges() -> dict[str, str]:
         ),
         "scan_daily": trades,
         "scan_all_zones": trades,
+        "scan_mixed_layouts": trades,
+        "warehouse_sql": with_views(
+            f"""SELECT date, count(*) AS accounts, sum(ending_value) AS ending_value FROM v_delta_nav
+            WHERE {_between("date", RANGE)} GROUP BY date""",
+            "v_delta_nav",
+        ),
         "land_partitioned": trades,
         "scan_backfill": with_views(
             """SELECT date, client_account_id, ending_value, deposits_withdrawals, dividends

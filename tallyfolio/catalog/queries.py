@@ -6,6 +6,7 @@ Ratios are rounded to 8 digits for comparison across engines.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -18,9 +19,9 @@ from tallyfolio import jobs
 from tallyfolio.catalog.fixtures import FUNDS, Views
 from tallyfolio.functions import columns
 from tallyfolio.operators import cleaning, filters, merge, sessions, windows
-from tallyfolio.plans import funds, holdings, series
+from tallyfolio.plans import funds, holdings, repair, series
 from tallyfolio.schemas import ACCOUNT, CORE_TABLES, POSITION_SCOPE, REPORT_COLUMNS, REPORTS
-from tallyfolio.session import shared_dir
+from tallyfolio.session import kept, shared_dir
 from tallyfolio.sources import reports
 from tallyfolio.sources import series as series_sources
 from tallyfolio.sources.tables import Warehouse, conform
@@ -461,6 +462,56 @@ def returns_upsert(v: Views) -> DataFrame:
     )
 
 
+def _merged_positions(v: Views, warehouse: Warehouse) -> DataFrame:
+    return warehouse.read("positions").select(*_HOLDING_DAY, "mark_price", "quantity")
+
+
+@_register
+def upsert_published(v: Views) -> DataFrame:
+    # Two merges into a stored table, and one that writes its folders and is never published.
+    warehouse = Warehouse(v.spark, f"{_scratch(v)}/core", grain="month")
+    warehouse.merge("positions", _core(v))
+    with contextlib.suppress(InterruptedError), warehouse.transaction() as unfinished:
+        warehouse.merge("positions", _stage(v).withColumn("quantity", F.lit(0.0)), transaction=unfinished)
+        raise InterruptedError
+    warehouse.merge("positions", _stage(v))
+    return _merged_positions(v, warehouse)
+
+
+def _wrong(df: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """The rows as they were before corrections: some missing, some with another number, some in another scope."""
+    draw = F.pmod(F.xxhash64(*keys), F.lit(997))
+    scope = F.when(draw == 2, F.lit("ETF")).when(draw == 3, F.lit("BOND")).otherwise(F.col("sub_category"))
+    shifted = F.when(draw == 1, F.col(number) + 7).otherwise(F.col(number))
+    return df.filter(draw != 0).withColumns({number: shifted, "sub_category": scope})
+
+
+@_register
+def returns_repair(v: Views) -> DataFrame:
+    # Returns stored from wrong reports, then repaired where corrected ones change them.
+    tables = ("positions", "dividends", "trades")
+    numbers = {"positions": "quantity", "dividends": "net_amount", "trades": "trade_price"}
+    right = {t: kept(df, t) for t, df in zip(tables, _sources(v), strict=True)}
+    wrong = {t: kept(_wrong(right[t], list(CORE_TABLES[t].key), numbers[t]), t) for t in tables}
+    calendar = kept(v["v_calendar"], "calendar")
+    stored = kept(holdings.holding_returns(*[wrong[t] for t in tables], calendar), "returns")
+    changed = filters.union_all(
+        repair.changed_keys(wrong[t], right[t], CORE_TABLES[t].key).select(*holdings.KEY) for t in tables
+    )
+    rows = repair.repair_holdings(stored, changed, *[right[t] for t in tables], calendar)
+    return _rounded(merge.upsert_or_drop(stored, rows, CORE_TABLES["holding_returns"].key), "weight", "return")
+
+
+@_register
+def account_returns_repair(v: Views) -> DataFrame:
+    nav, calendar = kept(v["v_delta_nav"], "nav"), kept(v["v_calendar"], "calendar")
+    draw = F.pmod(F.xxhash64("date", ACCOUNT), F.lit(149))
+    wrong = nav.filter(draw != 0).withColumn("ending_value", F.when(draw == 1, F.lit(5.0)).otherwise(F.col("ending_value")))
+    stored = funds.fund_returns(wrong, calendar)
+    rows = repair.repair_accounts(stored, repair.changed_keys(wrong, nav, ["date", ACCOUNT]), nav, calendar)
+    return _rounded(merge.upsert_or_drop(stored, rows, ["date", ACCOUNT]), "return")
+
+
 @_register
 def core_schemas(v: Views) -> DataFrame:
     # A line per column of each core table, with the type its parquet files say and its non-null values.
@@ -593,6 +644,30 @@ def scan_all_zones(v: Views) -> DataFrame:
     return _trade_columns(reports.read_all_zones(v.spark, landing, "trades"))
 
 
+@_register
+def scan_mixed_layouts(v: Views) -> DataFrame:
+    # Accounts' files as their sources write them: in order, turned round, and with columns of their own.
+    root = _scratch(v)
+    raw = _raw(v, "trades")
+    for i, fund in enumerate(FUNDS):
+        own = raw.filter(F.col("ClientAccountID") == fund)
+        layout = [own, own.select(*reversed(own.columns)), own.select(F.lit('a "note", quoted').alias("Note"), "*")][i % 3]
+        reports.land_report(layout, f"{root}/history-files/{fund}/trades.csv")
+    rows = reports.read_report(v.spark, reports.Landing(root).zone_globs("trades")[0], "trades")
+    return _trade_columns(rows)
+
+
+@_register
+def warehouse_sql(v: Views) -> DataFrame:
+    warehouse = Warehouse(v.spark, f"{_scratch(v)}/core", grain="year")
+    warehouse.merge("delta_nav", v["v_delta_nav"])
+    return warehouse.sql(
+        """SELECT date, count(*) AS accounts, sum(ending_value) AS ending_value FROM {delta_nav}
+        WHERE date >= :first AND date <= :last GROUP BY date""",
+        {"first": RANGE[0], "last": RANGE[1]},
+    )
+
+
 @_register
 def list_source_files(v: Views) -> DataFrame:
     _, last = _span(v)

@@ -1,6 +1,7 @@
 """The three run modes: one day, a date range, everything.
 
-Each loads reports and series into the core tables, then materialises the returns of its range.
+Each loads reports and series into the core tables, then materialises the returns of its range. All loads
+become visible in one step, and so do all returns.
 Dates are arguments; nothing here asks the clock.
 """
 
@@ -8,22 +9,24 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfolio.operators.filters import between_dates
+from tallyfolio.operators.filters import between_dates, union_all
 from tallyfolio.operators.sessions import last_market_date, trading_days
 from tallyfolio.plans.funds import all_fund_returns, fund_returns, latest_accounts
-from tallyfolio.plans.holdings import Scope, holding_returns, latest_holdings
+from tallyfolio.plans.holdings import KEY, Scope, holding_returns, latest_holdings
+from tallyfolio.plans.repair import NEAR_DAYS, changed_keys, repair_accounts, repair_holdings, repair_totals
 from tallyfolio.plans.series import benchmark_return, risk_free_return
-from tallyfolio.schemas import HISTORY_START, REPORTS
+from tallyfolio.schemas import CORE_TABLES, HISTORY_START, REPORTS
 from tallyfolio.sources.reports import Landing, read_all_zones, read_backfill, read_daily
 from tallyfolio.sources.series import PRICE_COLUMNS, clean_prices, clean_yields
-from tallyfolio.sources.tables import Warehouse
+from tallyfolio.sources.tables import Transaction, Warehouse, conform
 
 _ONE_DAY = dt.timedelta(days=1)
 # Where the search for a session may begin: a few thousand rows, and before any report.
@@ -103,20 +106,29 @@ def _together(*tasks: Callable[[], None]) -> None:
         task.result()
 
 
-def _report_loads(warehouse: Warehouse, read: Callable[[str], DataFrame]) -> list[Callable[[], None]]:
-    return [lambda report=report: warehouse.merge(report, read(report)) for report in REPORTS]
+def _report_loads(
+    warehouse: Warehouse, read: Callable[[str], DataFrame], transaction: Transaction
+) -> list[Callable[[], None]]:
+    return [lambda report=report: warehouse.merge(report, read(report), transaction=transaction) for report in REPORTS]
 
 
 def _series_loads(
-    warehouse: Warehouse, inputs: Inputs, options: Options, start: dt.date, end: dt.date, prices: DataFrame
+    warehouse: Warehouse,
+    inputs: Inputs,
+    options: Options,
+    start: dt.date,
+    end: dt.date,
+    prices: DataFrame,
+    transaction: Transaction,
 ) -> list[Callable[[], None]]:
     sessions = trading_days(warehouse.spark, start, end, inputs.holidays)
     one_series = clean_yields(inputs.yields).filter(F.col("series_id") == inputs.series)
     rates = risk_free_return(one_series, start, end)
+    merge = partial(warehouse.merge, transaction=transaction)
     return [
-        lambda: warehouse.merge("calendar", sessions, mode="ignore"),
-        lambda: warehouse.merge("benchmark", benchmark_return(clean_prices(prices, PRICE_COLUMNS))),
-        lambda: warehouse.merge("risk_free_rate", rates, mode=options.risk_free_mode),
+        lambda: merge("calendar", sessions, mode="ignore"),
+        lambda: merge("benchmark", benchmark_return(clean_prices(prices, PRICE_COLUMNS))),
+        lambda: merge("risk_free_rate", rates, mode=options.risk_free_mode),
     ]
 
 
@@ -141,7 +153,7 @@ def _store_latest(warehouse: Warehouse, name: str, end: dt.date, step: Step) ->
 
 
 def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, options: Options = Options()) -> None:
-    """Compute the returns of a range at all three levels and merge them into their tables.
+    """Compute the returns of a range at all three levels and merge them into their tables, in one step.
 
     With ``keep_latest`` the rows before the range come from the stored latest rows, and those of
     its end are stored for the next run."""
@@ -155,7 +167,7 @@ def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, opti
     def account_step(day: dt.date, known: DataFrame | None, known_day: dt.date | None) -> DataFrame:
         return latest_accounts(nav, calendar, day, known, known_day)
 
-    def holdings() -> None:
+    def holdings(results: Transaction) -> None:
         kept = options.keep_latest and options.look_back
         name = f"holdings-{hashlib.md5(repr((*options.scope.positions, '/', *options.scope.trades)).encode()).hexdigest()}"
         latest = _latest_before(warehouse, name, start, holding_step) if kept else None
@@ -171,20 +183,22 @@ def materialize_returns(warehouse: Warehouse, start: dt.date, end: dt.date, opti
             look_back_days=days,
             latest=latest,
         )
-        warehouse.merge("holding_returns", rows)
+        warehouse.merge("holding_returns", rows, transaction=results)
         if kept:
             _store_latest(warehouse, name, end, holding_step)
 
-    def accounts() -> None:
+    def accounts(results: Transaction) -> None:
         latest = _latest_before(warehouse, "accounts", start, account_step) if options.keep_latest else None
+        merge = partial(warehouse.merge, transaction=results)
         _together(
-            lambda: warehouse.merge("fund_returns", fund_returns(nav, calendar, start, end, days, latest)),
-            lambda: warehouse.merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days, latest)),
+            lambda: merge("fund_returns", fund_returns(nav, calendar, start, end, days, latest)),
+            lambda: merge("all_fund_returns", all_fund_returns(nav, calendar, start, end, days, latest)),
         )
         if options.keep_latest:
             _store_latest(warehouse, "accounts", end, account_step)
 
-    _together(holdings, accounts)
+    with warehouse.transaction() as results:
+        _together(lambda: holdings(results), lambda: accounts(results))
 
 
 def run_daily(warehouse: Warehouse, inputs: Inputs, as_of: dt.date, options: Options = Options()) -> dt.date:
@@ -194,10 +208,11 @@ def run_daily(warehouse: Warehouse, inputs: Inputs, as_of: dt.date, options: Opt
     day_before = last_session_before(spark, inputs, day)
     mixed = options.mixed_layouts
     prices = between_dates(inputs.prices, "date", day_before, day)
-    _together(
-        *_report_loads(warehouse, lambda r: read_daily(spark, inputs.landing, day, r, mixed_layouts=mixed)),
-        *_series_loads(warehouse, inputs, options, day, day, prices),
-    )
+    with warehouse.transaction() as loads:
+        _together(
+            *_report_loads(warehouse, lambda r: read_daily(spark, inputs.landing, day, r, mixed_layouts=mixed), loads),
+            *_series_loads(warehouse, inputs, options, day, day, prices, loads),
+        )
     materialize_returns(warehouse, day, day, options)
     return day
 
@@ -209,10 +224,11 @@ def run_backfill(
     spark = warehouse.spark
     mixed = options.mixed_layouts
     prices = between_dates(inputs.prices, "date", start, end - _ONE_DAY)
-    _together(
-        *_report_loads(warehouse, lambda r: read_backfill(spark, inputs.landing, start, end, r, mixed_layouts=mixed)),
-        *_series_loads(warehouse, inputs, options, start, end, prices),
-    )
+    with warehouse.transaction() as loads:
+        _together(
+            *_report_loads(warehouse, lambda r: read_backfill(spark, inputs.landing, start, end, r, mixed_layouts=mixed), loads),
+            *_series_loads(warehouse, inputs, options, start, end, prices, loads),
+        )
     materialize_returns(warehouse, start, end, options)
 
 
@@ -227,9 +243,48 @@ def run_reload(
     spark = warehouse.spark
     mixed = options.mixed_layouts
     prices = between_dates(inputs.prices, "date", start, as_of - _ONE_DAY)
-    _together(
-        *_report_loads(warehouse, lambda r: read_all_zones(spark, inputs.landing, r, options.newest_only, mixed)),
-        *_series_loads(warehouse, inputs, options, start, as_of, prices),
-    )
+    with warehouse.transaction() as loads:
+        _together(
+            *_report_loads(warehouse, lambda r: read_all_zones(spark, inputs.landing, r, options.newest_only, mixed), loads),
+            *_series_loads(warehouse, inputs, options, start, as_of, prices, loads),
+        )
     # All history is read anyway; searching the days before the start first would gain nothing.
     materialize_returns(warehouse, start, as_of, replace(options, look_back_days=None))
+
+
+def run_corrections(
+    warehouse: Warehouse, corrections: Mapping[str, DataFrame], options: Options = Options(), near_days: int = NEAR_DAYS
+) -> None:
+    """Merge corrected report rows (report -> cleaned rows) of any days, and compute again the returns they change.
+
+    The corrections become visible in one step, and the returns in another; a run that dies between the two is
+    to be repeated with ``materialize_returns`` over the days, as a second look finds nothing changed."""
+    state = warehouse.published.state()
+    changed, staged = {}, {}
+    for report, rows in corrections.items():
+        spec = CORE_TABLES[report]
+        rows = conform(rows, report)
+        days = [r[0] for r in rows.select(spec.date).distinct().collect()]
+        core = warehouse.read(report, min(days), max(days), state) if days else warehouse.read(report, state=state).limit(0)
+        keys = changed_keys(core.filter(F.col(spec.date).isin(days)), rows, spec.key)
+        # written before the merge, which changes what they are compared with
+        changed[report], staged[report] = warehouse.keep(keys)
+        corrections = corrections | {report: rows}
+    with warehouse.transaction() as loads:
+        _together(*[lambda r=r: warehouse.merge(r, corrections[r], transaction=loads) for r in corrections])
+    read = partial(warehouse.read, state=warehouse.published.state())
+    calendar = read("calendar")
+    with warehouse.transaction() as results:
+        held = [changed[r].select(*KEY) for r in ("positions", "trades", "dividends") if r in changed]
+        if held:
+            sources = (read("positions"), read("dividends"), read("trades"), calendar)
+            rows = repair_holdings(read("holding_returns"), union_all(held), *sources, options.scope, near_days)
+            warehouse.merge("holding_returns", rows, mode="repair", transaction=results)
+        if "delta_nav" in changed:
+            nav = read("delta_nav")
+            rows = repair_accounts(read("fund_returns"), changed["delta_nav"], nav, calendar, near_days)
+            warehouse.merge("fund_returns", rows, mode="repair", transaction=results)
+            totals = repair_totals(read("all_fund_returns"), rows, nav, calendar, near_days)
+            warehouse.merge("all_fund_returns", totals, mode="repair", transaction=results)
+    for path in staged.values():
+        warehouse.drop_stage(path)

@@ -87,6 +87,13 @@ def upsert_ignore(core: DataFrame, stage: DataFrame, keys: Sequence[str]) -> Dat
     return core.unionByName(absent)
 
 
+def upsert_or_drop(core: DataFrame, stage: DataFrame, keys: Sequence[str], gone: str = "gone") -> DataFrame:
+    """Like ``upsert_update``, but a stage row marked ``gone`` takes the row of its key away."""
+    incoming = require_keys(stage, keys)
+    kept = core.join(incoming.select(*keys), list(keys), "left_anti").select(*core.columns)
+    return kept.unionByName(incoming.filter(~F.col(gone)).select(*core.columns))
+
+
 def upsert_fill(core: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Like ``upsert_ignore``, and NULL values in core take the stage's value for their key."""
     others = [c for c in core.columns if c not in keys]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that are safe on any cluster size: AQE picks partition counts, splits skewed joins and
 # re-plans small sides as broadcasts from sizes it has measured.
@@ -55,3 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
     if _local_shared_dir is None:
         _local_shared_dir = tempfile.mkdtemp(prefix="tallyfolio-")
     return _local_shared_dir
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, until the application ends: it is computed once, and a lost
+    executor does not take it along."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tallyfolio/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfolio.operators.cleaning import CLEANERS
-from tallyfolio.operators.filters import union_all, union_distinct
+from tallyfolio.operators.filters import union_all
 from tallyfolio.operators.merge import latest_per_key
 from tallyfolio.schemas import CORE_TABLES, REPORT_COLUMNS
 
@@ -88,14 +89,55 @@ def _origin() -> list[Column]:
     ]
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, header): the first line of each file, whatever lines of the kind it repeats below.
+HEADER_BYTES = 1 << 16
+HEADER_THREADS = 32
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[str, int]]:
+    """(path, bytes) of the files under globs, part files of folders included; names with ``_`` or ``.`` in front
+    are not data. Paths are as ``_metadata.file_path`` has them, by ``plain_path``."""
+    jvm, conf, found = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for glob in [paths] if isinstance(paths, str) else paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(glob)
+        store = pattern.getFileSystem(conf)
+        queue = list(store.globStatus(pattern) or [])
+        while queue:
+            status = queue.pop()
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                queue += list(store.listStatus(status.getPath()))
+            else:
+                found.append((status.getPath().toUri().toString(), status.getLen()))
+    return sorted(set(found))
+
+
+def plain_path(path: Column) -> Column:
+    """A file's URI with one slash after a scheme that has no host; writers differ in that."""
+    return F.regexp_replace(path, "^([^:/]+):///", "$1:/")
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, of which no more than its first bytes are read."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        taken = b""
+        while b"\n" not in taken and (more := bytes(stream.readNBytes(HEADER_BYTES))):
+            taken += more
+    finally:
+        stream.close()
+    return taken.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig")
 
-    Only the split that begins a file can hold it, and ``first`` keeps one line per file there.
-    """
-    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    opening = lines.filter(F.col("file_block_start") == 0)
-    return opening.groupBy(F.col("file_path").alias("path")).agg(F.first("value").alias("header"))
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:
+    """The first line of each file that has one, by its path. The driver lists the files, as any scan makes it do,
+    and reads the first bytes of each, many at a time; no content is scanned."""
+    files = [path for path, size in list_files(spark, paths) if size]
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return dict(zip(files, pool.map(lambda path: _first_line(spark, path), files), strict=True))
 
 
 def read_csv_by_layout(
@@ -103,37 +145,47 @@ def read_csv_by_layout(
 ) -> DataFrame:
     """``columns`` of files that may differ in columns or their order, each read by its own first line.
 
-    A file whose header lacks one of the columns is an error that names it. Only distinct headers
-    reach the driver. With one header for all, the files are read as they are; else every line is
-    parsed by the layout of its file.
+    A file whose header lacks one of the columns is an error that names it. With one header for all, the files
+    are read as they are. Else there is one scan of lines, whatever the number of layouts: a table of (file, layout)
+    tells each line which positions hold the columns. Lines are parsed by their layout's number of columns, so
+    one with more or fewer fails.
     """
     headers = file_headers(spark, paths)
-    layouts = headers.groupBy("header").agg(F.min("path").alias("path")).collect()
-    names = {}
-    for layout in layouts:
-        names[layout["header"]] = next(csv.reader([layout["header"]]), [])
-        lacking = [c for c in columns if c not in names[layout["header"]]]
-        if lacking:
-            raise ValueError(f"{layout['path']} has no column {', '.join(lacking)} in its header")
-    if not layouts:
+    if not headers:
         raise ValueError(f"no lines under {paths}")
-    picked = [F.col(f"`{c}`") for c in columns]
+    layouts = sorted(set(headers.values()))
+    names = [next(csv.reader([header]), []) for header in layouts]
+    for path, header in headers.items():
+        lacking = [c for c in columns if c not in names[layouts.index(header)]]
+        if lacking:
+            raise ValueError(f"{path} has no column {', '.join(lacking)} in its header")
+    origin = ORIGIN if with_origin else []
     if len(layouts) == 1:
-        return read_csv(spark, paths, with_origin).select(*picked, *(ORIGIN if with_origin else ()))
+        return read_csv(spark, paths, with_origin).select(*[F.col(f"`{c}`") for c in columns], *origin)
+    place = {header: i for i, header in enumerate(layouts)}
+    files = spark.createDataFrame([(path, place[header]) for path, header in headers.items()], "file string, layout int")
     lines = spark.read.text(paths).select("value", *_origin())
-    lines = lines.join(headers.withColumnRenamed("path", "file_path"), "file_path")
-    frames = []
-    for header, found in names.items():
-        own = (F.col("header") == F.lit(header)) & (F.col("value") != F.lit(header)) & (F.trim("value") != "")
-        # the test is inside the expression too, as filters may be put in any order
-        parsed = F.when(own, F.from_csv("value", _ddl(found), {**CSV_OPTIONS, "mode": "FAILFAST"}))
-        rows = lines.filter(own).select(parsed.alias("row"), *ORIGIN)
-        frames.append(rows.select(*[F.col(f"row.`{c}`") for c in columns], *(ORIGIN if with_origin else ())))
-    return union_all(frames)
-
-
-def _ddl(names: Sequence[str]) -> str:
-    return ", ".join(f"`{name}` STRING" for name in names)
+    keyed = lines.withColumn("file", plain_path(F.col("file_path"))).join(files.withColumn("file", plain_path(F.col("file"))), "file")
+    layout, value = F.col("layout"), F.rtrim("value")
+    header = F.element_at(F.array(*map(F.lit, layouts)), layout + 1)
+    content = (value != "") & (value != F.rtrim(header))
+    # one parse per number of columns; the test is inside the expression too, as filters may be put in any order
+    parsed = F.lit(None).cast("array<string>")
+    for width in sorted({len(n) for n in names}):
+        own = layout.isin([i for i, n in enumerate(names) if len(n) == width])
+        fields = F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(width)), {**CSV_OPTIONS, "mode": "FAILFAST"})
+        # a struct's fields are taken from one parse, an array of them would parse once for each
+        parsed = F.when(content & own, F.transform(F.array(fields), _cells(width))[0]).otherwise(parsed)
+    rows = keyed.filter(content).select(parsed.alias("cells"), "layout", *ORIGIN)
+    picked = []
+    for c in columns:
+        positions = F.element_at(F.array(*[F.lit(n.index(c)) for n in names]), layout + 1)
+        picked.append(F.element_at("cells", positions + 1).alias(c))
+    return rows.select(*picked, *origin)
+
+
+def _cells(width: int) -> Callable[[Column], Column]:
+    return lambda row: F.array(*[row[f"c{i}"] for i in range(width)])
 
 
 def read_report(
@@ -165,21 +217,18 @@ def read_backfill(
 def read_all_zones(
     spark: SparkSession, landing: Landing, report: str, newest_only: bool = False, mixed_layouts: bool = True
 ) -> DataFrame:
-    """Reload: every zone that has files, each read on its own header, repeated rows removed.
+    """Reload: every zone that has files, in one scan, repeated rows removed.
 
     A key whose values differ between files stays repeated, and a merge will refuse it. With
     ``newest_only`` the file written last decides, as it would had the files been loaded in turn.
     """
-    zones = [
-        read_report(spark, glob, report, mixed_layouts, with_origin=newest_only)
-        for glob in landing.zone_globs(report)
-        if has_files(spark, glob)
-    ]
-    if not zones:
+    globs = [glob for glob in landing.zone_globs(report) if has_files(spark, glob)]
+    if not globs:
         raise ValueError(f"no {report} files under {landing.root}")
+    rows = read_report(spark, globs, report, mixed_layouts, with_origin=newest_only)
     if newest_only:
-        return latest_per_key(union_all(zones), CORE_TABLES[report].key, ORIGIN).drop(*ORIGIN)
-    return union_distinct(zones)
+        return latest_per_key(rows, CORE_TABLES[report].key, ORIGIN).drop(*ORIGIN)
+    return rows.distinct()
 
 
 def has_files(spark: SparkSession, glob: str) -> bool:

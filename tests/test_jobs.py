@@ -125,7 +125,7 @@ def test_daily_runs_read_no_history(setting, spark, tmp_path):
         lower = f">= {dt.date(2024, 1, n)}"
         for table, plan in scans:
             tables = ("positions", "trades") if table == "holding_returns" else ("delta_nav",)
-            found = [x for x in plan.splitlines() if "FileScan" in x and any(f"/core/{t}]" in x for t in tables)]
+            found = [x for x in plan.splitlines() if "FileScan" in x and any(f"/core/{t}/" in x for t in tables)]
             assert found and all(lower in line for line in found), plan
     assert _returns_of(warehouse, "S0") == {n: pytest.approx(r) for n, r in RETURNS.items()}
     assert _returns_of(warehouse, "NEW") == {4: 0}
