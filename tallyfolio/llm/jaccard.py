@@ -11,9 +11,10 @@ can't match are never joined. Within matching blocks the positions bound the ove
 
 *Answers.* The first set of a list, its hub, is compared with the list's sets. Sets found similar share a
 component with the hub, and need no comparison with each other. The other sets of the list, outsiders,
-are still to be compared with all sets of other components; their overlap with any set x follows from
-the hub's answers within bounds: |o & x| <= |o & h| + |x - h|, and the same with o and x swapped. Most
-pairs end there. What is left is compared in full.
+are still to be compared with all sets of other components. In each of ``ROUNDS`` rounds one of them is the list's next
+hub; what it is similar to joins its component, and lists without outsiders are done. The overlap of an outsider o
+with any set x follows from each hub's answers within bounds: |o & x| <= |o & h| + |x - h|, and the same with o and
+x swapped. Most pairs end there. What is left after the rounds is compared in full.
 
 Before sets are fetched, a parity bitmap per set bounds a pair's overlap: bits that differ are shingles
 that differ. Only sets that a surviving pair needs are fetched. No list is expanded into all its pairs
@@ -44,6 +45,8 @@ PERCENT = 80
 SKETCH_BITS = 21
 BLOCK_BITS = 15
 PARITY_BITS = 1024
+ROUNDS = 2
+"""Hubs of a list after its first one. Their answers join components, so that fewer pairs are left for the last step."""
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -183,8 +186,11 @@ def _compare(pairs: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame:
 
     def overlap(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in batches(frames, "t_b"):
-            both = zip(shingle_sets(frame.column("t_a")), shingle_sets(frame.column("t_b")), strict=True)
-            n = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in both]
+            # a hub's rows are neighbours: its set is made once for all of them
+            _, own, which = np.unique(frame.column("a").to_numpy(), return_index=True, return_inverse=True)
+            hubs = shingle_sets(frame.column("t_a").take(pa.array(own)))
+            both = zip(which, shingle_sets(frame.column("t_b")), strict=True)
+            n = [len(np.intersect1d(hubs[x], y, assume_unique=True)) for x, y in both]
             yield pa.RecordBatch.from_arrays([frame.column("a"), frame.column("b"), frame.column("need"), pa.array(n, pa.int64())], ["a", "b", "need", "overlap"])
 
     # texts take less room than sets of hashes
@@ -213,42 +219,69 @@ def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
     first = at.filter((F.col("id") != F.col("h")) & _possible(F.col("n"), F.col("pos"), F.col("h_n"), F.col("h_pos")))
     answers = _compare(first.select(F.col("h").alias("a"), F.col("id").alias("b")).distinct(), docs, sets)
     labels = written(components(answers.filter("link")), "jaccard-labels")
-
     # what the hub knows of each set in its list; a list of two is settled
-    known = answers.select(F.col("a").alias("h"), F.col("b").alias("id"), "lo", "hi")
-    for side, label in (("id", "label"), ("h", "main")):
-        known = join_groups(known, labels.select(F.col("id").alias(side), F.col("label").alias(label)), [side])
-        known = known.withColumn(label, F.coalesce(label, side))
-    at = join_groups(at.filter("k > 2"), known, ["h", "id"])
-    self = F.col("id") == F.col("h")
-    # a set that wasn't compared with its hub counts as an outsider of unknown component
-    at = at.select(
-        "token", "id", "n", "pos", F.when(self, F.lit(None).cast("long")).otherwise(F.col("label")).alias("label"),
-        (~self & (F.col("label").isNull() | (F.col("label") != F.col("main")))).alias("out"),
-        F.when(self, F.col("n")).otherwise(F.coalesce("lo", F.lit(0))).alias("lo"),
-        F.when(self, F.col("n")).otherwise(F.coalesce("hi", F.least("n", "h_n"))).alias("hi"),
-        F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT))).cast("int").alias("size_class"),
-    )
-    at = written(at, "jaccard-lists")
-    outside = at.filter("out")
-    probes = outside.select(*[F.col(c).alias(f"o_{c}") for c in ("token", "id", "n", "pos", "label", "lo", "hi")],
-                            F.explode(F.array(*[F.col("size_class") + k for k in (-1, 0, 1)])).alias("o_class"))
-    # lists without outsiders are done
-    lists = passing(at, F.col("token"), bounded_filter(outside, F.col("token")))
-    need = _need(F.col("n"), F.col("o_n"))
+    at = _told(at.filter("k > 2").withColumnRenamed("h_n", "hub_n"), answers, "h", 0)
+    at = at.withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT))).cast("int"))
+    lists = _opened(at.select("token", "id", "n", "pos", "h", "size_class", "lo_0", "hi_0"), labels)
+    links = answers.filter("link").select("a", "b")
+    bounds = [("lo_0", "hi_0")]
+    for k in range(1, ROUNDS + 1):
+        # the next hub of each list is one of its outsiders; all sets of other components are compared with it
+        fields = ["id", "n", "pos", "label", *[c for pair in bounds for c in pair]]
+        hubs = lists.filter("out").groupBy("token").agg(F.min(F.struct(*fields)).alias("o"))
+        if hubs.isEmpty():
+            return labels
+        met = join_groups(lists, hubs, ["token"], "inner").select("*", *[F.col(f"o.{c}").alias(f"o_{c}") for c in fields]).drop("o")
+        pairs = met.filter((F.col("id") != F.col("o_id")) & _unsettled(bounds)).select(F.col("o_id").alias("a"), F.col("id").alias("b")).distinct()
+        more = _compare(pairs, docs, sets)
+        links = links.unionByName(more.filter("link").select("a", "b"))
+        labels = written(components(links), "jaccard-labels")
+        told = met.select("token", "id", "n", "pos", "h", "size_class", *[c for pair in bounds for c in pair], F.col("o_id").alias("o"), F.col("o_n").alias("hub_n"))
+        lists = _opened(_told(told, more, "o", k).drop("o", "hub_n"), labels)
+        bounds.append((f"lo_{k}", f"hi_{k}"))
+    fields = ["token", "id", "n", "pos", "label", *[c for pair in bounds for c in pair]]
+    probes = lists.filter("out").select(*[F.col(c).alias(f"o_{c}") for c in fields],
+                                        F.explode(F.array(*[F.col("size_class") + k for k in (-1, 0, 1)])).alias("o_class"))
     met = probes.join(
         lists,
         (F.col("token") == F.col("o_token"))
         & (F.col("size_class") == F.col("o_class"))
-        & F.coalesce(F.col("label") != F.col("o_label"), F.lit(True))
         & (~F.col("out") | (F.col("o_id") < F.col("id")))
-        & _possible(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
-        & (F.col("o_hi") + F.col("n") - F.col("lo") >= need)
-        & (F.col("hi") + F.col("o_n") - F.col("o_lo") >= need),
+        & _unsettled(bounds),
     )
     second = met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
     more = _compare(second, docs, sets)
-    return components(answers.filter("link").unionByName(more.filter("link")))
+    return components(links.unionByName(more.filter("link").select("a", "b")))
+
+
+def _told(rows: DataFrame, answers: DataFrame, hub: str, k: int) -> DataFrame:
+    """List entries with the bounds of their overlap with the list's hub: all of it for the hub itself, none for
+    a set that was not compared with it."""
+    known = answers.select(F.col("a").alias(hub), F.col("b").alias("id"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
+    self = F.col("id") == F.col(hub)
+    lo = F.when(self, F.col("n")).otherwise(F.coalesce("__lo", F.lit(0)))
+    hi = F.when(self, F.col("n")).otherwise(F.coalesce("__hi", F.least("n", "hub_n")))
+    return join_groups(rows, known, [hub, "id"]).withColumns({f"lo_{k}": lo, f"hi_{k}": hi}).drop("__lo", "__hi")
+
+
+def _opened(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries with the label of their component, and whether they are outsiders: not of the component of the
+    list's first hub. Lists without outsiders are done."""
+    for side, label in (("id", "label"), ("h", "main")):
+        lists = join_groups(lists, labels.select(F.col("id").alias(side), F.col("label").alias(label)), [side])
+        lists = lists.withColumn(label, F.coalesce(label, side))
+    lists = written(lists.withColumn("out", F.col("label") != F.col("main")).drop("main"), "jaccard-lists")
+    outside = written(bounded_filter(lists.filter("out"), F.col("token")), "jaccard-open")
+    return passing(lists, F.col("token"), outside)
+
+
+def _unsettled(bounds: list[tuple[str, str]]) -> Column:
+    """Sets of two components whose overlap may be enough by sizes, positions and every hub's answers."""
+    need = _need(F.col("n"), F.col("o_n"))
+    test = (F.col("label") != F.col("o_label")) & _possible(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
+    for lo, hi in bounds:
+        test &= (F.col(f"o_{hi}") + F.col("n") - F.col(lo) >= need) & (F.col(hi) + F.col("o_n") - F.col(f"o_{lo}") >= need)
+    return test
 
 
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
