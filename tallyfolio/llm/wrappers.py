@@ -9,8 +9,9 @@ its pages.
 
 The wrapper then says which slots hold main text. Menus, headers, footers, asides, forms, scripts,
 adverts, notices and comments are known by tag, or by a whole name of class, id or role, its first or its
-last word; html, body, article and main are never barred by such names. Where there is an article (or main)
-only its slots count, all of them; else what is left of the body, without lists of links. There constants of
+last word; html, body and main are never barred by such names, an article only where it is a comment's or a related
+one's. A page with an article (or main) gives its slots, all of them, and no others; a page without gives
+what is left of the body, without lists of links, whatever other pages of its host have. There constants of
 the template are left out beside fields, if ``CONSTANT_PAGES`` pages and all that have the element around
 them have that text. Pages meet their
 host's wrapper in a join that can be split, are aligned with it, and give the texts of its main slots.
@@ -46,6 +47,14 @@ ASIDE_WORDS = frozenset(
     "footer pagination pager toolbar comment comments respond reply replies disqus share sharing social related recommended "
     "widget login search hidden contentinfo complementary dialog skip".split()
 )
+# Words that say what kind of box an aside's name is of.
+BOX_WORDS = frozenset(
+    "left right top bottom center main primary secondary upper lower fixed sticky mobile desktop header heading title body wrapper wrap container "
+    "content box block list item items inner outer area section bar rail column col row group panel slot unit form field button buttons link links "
+    "icon icons image text message messages policy now this media posts articles stories thread count small large big new inline".split()
+)
+OTHER_ARTICLES = frozenset("comment comments respond reply replies related recommended".split())
+"""Names of article elements that are not the article."""
 MODIFIERS = frozenset("has with without no not is are hide show format category cat tag type status layout template theme page".split())
 MAIN_TAGS = ("article", "main")
 NEVER_ASIDE = frozenset(("html", "body", *MAIN_TAGS))
@@ -126,10 +135,13 @@ def loaded(text: str) -> list:
 
 
 def _aside(name: str) -> bool:
-    """A name of class, id or role is an aside's by itself, by its first word, or by its last unless the
-    first only says how the element looks or what stands beside it (``has-sidebar``)."""
+    """A name of class, id or role is an aside's by itself, by its last word unless the first only says how the
+    element looks or what stands beside it (``has-sidebar``), or by its first if all others say what box it is:
+    ``ad-slot-2`` is one, ``share-price-report`` and ``side-effects`` are not."""
     first, *rest = re.split("[-_]+", name)
-    return name in ASIDE_WORDS or first in ASIDE_WORDS or (bool(rest) and first not in MODIFIERS and rest[-1] in ASIDE_WORDS)
+    if name in ASIDE_WORDS or (rest and first not in MODIFIERS and rest[-1] in ASIDE_WORDS):
+        return True
+    return first in ASIDE_WORDS and all(w in ASIDE_WORDS or w in BOX_WORDS or any(c.isdigit() for c in w) for w in rest)
 
 
 @lru_cache(maxsize=1 << 14)
@@ -139,25 +151,28 @@ def _barred(kind: str, in_main: bool) -> bool:
         return True
     if "[hidden]" in names and tag not in ("html", "body"):
         return True
+    if tag == "article" and not OTHER_ARTICLES.isdisjoint(names):
+        return True
     return tag not in NEVER_ASIDE and any(map(_aside, names))
 
 
-def _has_main(node: list) -> bool:
+def _has_main(node: Node) -> bool:
+    """Whether a page has an article or main of its own."""
     todo = [node]
     while todo:
         one = todo.pop()
-        if _barred(one[0], False):
+        if _barred(one.kind, False):
             continue
-        if _is_main(one[0]):
+        if _is_main(one.kind):
             return True
-        todo += one[2]
+        todo += one.children
     return False
 
 
-def marked(wrapper: list) -> list:
-    """[kind, main, children, constant]: which nodes are in main text, and a slot text that is none of it. A
-    barred node is None in its place of main."""
-    need_main = _has_main(wrapper)
+def marked(wrapper: list, need_main: bool) -> list:
+    """[kind, main, children, constant]: which nodes are in main text, and a slot text that is none of it, for
+    the pages of the host with an article or main (``need_main``) or for those without. A barred node is None in its
+    place of main."""
 
     def fields() -> bool:
         todo = [(wrapper, not need_main)]
@@ -191,7 +206,7 @@ def marked(wrapper: list) -> list:
             children.append((yield c, inside, node[3]))
         return [node[0], inside, children, node[1] if inside and constant else ""]
 
-    return [*looped(mark, wrapper, not need_main, wrapper[3]), need_main]
+    return looped(mark, wrapper, not need_main, wrapper[3])
 
 
 def _is_main(kind: str) -> bool:
@@ -199,13 +214,18 @@ def _is_main(kind: str) -> bool:
     return tag in MAIN_TAGS or (tag == "div" and "main" in re.split("[-_ ]+", " ".join(names)))
 
 
-def extract(page: str, marks: list) -> str:
-    """The texts of a page in the main slots of its host's wrapper. Elements the alignment pairs with nothing
+def marks_of(wrapper: list) -> dict[bool, list]:
+    return {need_main: marked(wrapper, need_main) for need_main in (False, True)}
+
+
+def extract(page: str, marks: dict[bool, list]) -> str:
+    """The texts of a page in the main slots of its host's wrapper, as marked for pages like it. Elements the alignment pairs with nothing
     are judged by themselves, as part of what is around them, so no text depends on which of several equal
     kinds it picks; a paired slot is left out as a constant only if it has the constant's text."""
     root, texts = parse(page)
     wanted: list[int] = []
-    need_main = marks[4]
+    tree = fold(root)
+    need_main = _has_main(tree)
 
     def links(node: Node) -> bool:
         return (
@@ -213,7 +233,7 @@ def extract(page: str, marks: list) -> str:
             and all(not _slot(texts, c) and [g.kind.split(" ")[0] for g in c.children] == ["a"] for c in node.children)
         )
 
-    todo: list = [(fold(root), marks, False)]
+    todo: list = [(tree, marks[need_main], False)]
     while todo:
         node, mark, inside = todo.pop()
         if mark is None:
@@ -300,14 +320,14 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), host_of(url).alias("host"), text_of(html).alias("html"))
 
     def read(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks: dict[str, list] = {}
+        marks: dict[str, dict] = {}
         for frame in batches(frames, "html"):
             texts = []
             for page, wrapper in zip(frame.column("html").to_pylist(), frame.column("wrapper").to_pylist(), strict=True):
                 if wrapper not in marks:
                     if len(marks) > SHAPES:
                         marks.clear()
-                    marks[wrapper] = marked(loaded(wrapper))
+                    marks[wrapper] = marks_of(loaded(wrapper))
                 texts.append(extract(page, marks[wrapper]))
             yield pa.RecordBatch.from_arrays([frame.column("id"), frame.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"])
 
