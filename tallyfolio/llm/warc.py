@@ -9,7 +9,7 @@ then fetches record ranges; nothing is extracted and no package is read whole.
 Of records with equal payloads of ``REVISIT_BYTES`` or more the one with the largest id is a response,
 the others revisit it; all smaller ones are responses. Null html is an empty payload; a null URL leaves
 out the target. Rows that repeat an id with an equal payload are separate records: those of the largest
-id are all responses. A null id can't be a record's name and is an error. An empty table gives no
+id are all responses. A null id is read back as null; its row revisits others, never is revisited by id. An empty table gives no
 package and no record. Extra columns are ignored.
 
 Packages go to the shared folder under names that no other attempt of a task uses. Only those in the
@@ -188,16 +188,19 @@ def plan_records(pages: DataFrame, id: str = "page_id", url: str = "url", html:
         F.max("id").alias("last"), F.count("*").alias("rows")
     ).filter(F.col("rows") > 1)
     joined = join_groups(rows.withColumn("same", key), groups, ["same"])
-    return joined.select("id", "url", "html", "digest", "n", F.when(F.col("last") != F.col("id"), F.col("last")).alias("refers_to"))
+    return joined.select("id", "url", "html", "digest", "n", F.when(~F.col("last").eqNullSafe(F.col("id")), F.col("last")).alias("refers_to"))
 
 
 def write_packages(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Writes the packages; returns (path, records, bytes) of each, as a table in the shared folder."""
-    folder = scratch(pages.sparkSession, "warc")
+    spark = pages.sparkSession
+    # a path without a scheme is where Hadoop's default puts it, not on each executor's own disk
+    place = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, "warc"))
+    folder = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
     def write(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, files = [], 0, []
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = _store(folder)
 
         def flush() -> None:
             nonlocal held, size
@@ -225,8 +228,19 @@ def write_packages(pages: DataFrame, id: str = "page_id", url: str = "url", html
     return written(listed, "warc-list")
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, which names its scheme, and the path in it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if scheme not in ("hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss"):
+        raise ValueError(f"no file system for packages under {path}")
+    return fs.FileSystem.from_uri(f"{scheme}:{rest}")
+
+
 def _open(path: str):
-    store, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    store, name = _store(path)
     return store.open_input_file(name)
 
 
@@ -240,7 +254,8 @@ def list_records(packages: DataFrame) -> DataFrame:
                 with _open(path) as file:
                     yield pa.RecordBatch.from_pylist([e | {"path": path} for e in index_entries(file)], fields)
 
-    spread = packages.select("path").repartition(F.col("path"))
+    # a task per package; an explicit number, so that they are not merged into one by the bytes of their names
+    spread = packages.select("path").repartition(max(1, packages.count()))
     return spread.mapInArrow(read, "path string, id long, url string, digest string, offset long, length long")
 
 
@@ -251,7 +266,10 @@ def read_records(index: DataFrame) -> DataFrame:
         ("id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("digest", pa.string()),
         ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("html", pa.string()),
     ])
-    named = lambda x: int(x.rpartition(":")[2].rstrip(">"))
+
+    def named(x: str) -> int | None:
+        number = x.rpartition(":")[2].rstrip(">")
+        return None if number == "None" else int(number)
 
     def rows(path: str, wanted: list[tuple[int, int]]) -> Iterator[dict]:
         with _open(path) as file:
