@@ -19,12 +19,12 @@ no rows. Extra columns are kept by ``with_language``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +36,10 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 4
-LANGUAGES = 200
+SAMPLE_ROWS = 100_000
+"""Rows of the sample over all languages, of which there may be any number."""
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -178,11 +179,12 @@ def held_out(id: str) -> Column:
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
     """A network from the labelled documents that aren't held out; None if there are none."""
     usable = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id).isNotNull() & ~held_out(id))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()}
+    counts = {r[0]: r[1] for r in usable.groupBy(lang).agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col(id)), F.lit(1 << 30)) / float(1 << 30)
-    rates = docs.sparkSession.createDataFrame([(k, SAMPLE_DOCS / n) for k, n in counts.items()], "name string, rate double")
+    each = min(SAMPLE_DOCS, max(1, SAMPLE_ROWS // len(counts)))
+    rates = docs.sparkSession.createDataFrame([(k, each / n) for k, n in counts.items()], "name string, rate double")
     chosen = usable.select(F.col(lang).alias("name"), F.col(text).alias("text"), place.alias("place")).join(F.broadcast(rates), "name")
     chosen = chosen.filter(F.col("place") < F.col("rate")).select("name", "text")
 

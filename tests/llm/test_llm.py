@@ -33,7 +33,7 @@ from tallyfolio.llm.token_files import read_tokens, write_tokens
 from tallyfolio.llm.tokens import PieceEncoder
 from tallyfolio.llm.warc import list_records, members, read_records, write_packages
 from tallyfolio.llm.markup import fold, parse, shape
-from tallyfolio.llm.wrappers import _slot, extract, main_text, marked, merged, weighed
+from tallyfolio.llm.wrappers import _slot, extract, main_text, marks_of, merged, weighed
 from tools.check_queries import compare
 
 SF = "/root/testdata/sf0.001"
@@ -160,7 +160,7 @@ def test_extract_by_a_merged_wrapper():
         root, texts = parse(page)
         trees.append(weighed(shape(fold(root), lambda node, texts=texts: _slot(texts, node)), 1))
     for a, b in (trees, trees[::-1]):
-        marks = marked(merged(a, b))
+        marks = marks_of(merged(a, b))
         assert [extract(page, marks) for page in pages] == ["x y", "y zk", "lonek"]
 
 
@@ -544,3 +544,60 @@ def test_pipeline_of_an_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+# ---- pages judged one by one, odd ids, letters ----
+
+
+def _texts(spark, bodies, url="http://h.example/{}"):
+    rows = [(i, url.format(i), f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    return [r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_pages_without_an_article_beside_some_with_one(spark):
+    plain = "<div id='content'><h1>About</h1><p>long about text</p></div>"
+    article = "<nav>Menu</nav><article><p>story {}</p></article><div><p>beside</p></div>"
+    for url in ("http://h.example/{}", "odd"):
+        got = _texts(spark, [plain, *[article.format(i) for i in range(5)]], url)
+        assert got == ["About long about text", *[f"story {i}" for i in range(5)]]
+
+
+def test_names_that_only_begin_like_an_aside(spark):
+    kept = ["share-price-report", "side-effects", "login-methods", "has-sidebar", "category-social"]
+    gone = ["ad-slot-2", "sidebar-left", "cookie-notice", "post-comments", "comment-17", "nav-menu"]
+    got = _texts(spark, [f"<div><p>one {n}</p></div><div class='{n}'><p>two</p></div>" for n in (*kept, *gone)])
+    assert got == [*[f"one {n} two" for n in kept], *[f"one {n}" for n in gone]]
+
+
+def test_comments_and_related_articles_go(spark):
+    nested = "<article><p>story</p><section><article class='comment'><p>nice</p></article></section><article class='related'>more</article></article>"
+    after = "<article class='post format-aside'><p>story</p></article><article class='comment'><p>nice</p></article>"
+    assert _texts(spark, [nested, after]) == ["story", "story"]
+
+
+def test_pages_of_odd_rows(spark):
+    rows = [(None, "http://h/1", "<p>a</p>"), (1, None, None), (1, None, None), (2, "http://h/2", "<p>b</p>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("own") for c in ("host", "text", "id", "wrapper")})
+    got = sorted((tuple(r)[::2] for r in main_text(frame).select("page_id", "url", "text").collect()), key=repr)
+    assert got == [(1, ""), (1, ""), (2, "b"), (None, "a")]
+    assert main_text(frame.limit(0)).collect() == []
+
+
+def test_archives_of_null_ids_are_read_by_many_tasks(spark, monkeypatch):
+    body = "<p>" + "x" * 1200
+    rows = [(None, "http://h/n", body), (7, "http://h/7", body), (3, None, body), (None, None, None), (5, "u", "y" * 1500), (5, "u", "y" * 1500)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    monkeypatch.setattr("tallyfolio.llm.warc.PACKAGE_BYTES", 1000)
+    packages = write_packages(frame)
+    index = list_records(packages)
+    assert index.rdd.getNumPartitions() == packages.count() > 1
+    got = sorted(((r["id"], r["record_type"], r["refers_to"]) for r in read_records(index).collect()), key=repr)
+    assert got == [(3, "revisit", 7), (5, "response", None), (5, "response", None), (7, "response", None), (None, "response", None), (None, "revisit", 7)]
+
+
+def test_half_is_no_letter(spark):
+    docs = [(i, ("the cat sat on the mat " if i % 2 else "der hund lief in den wald ") * 5, "en" if i % 2 else "de") for i in range(60)]
+    rows = [*docs, (100, "½ ² Ⅷ 12", "en"), (101, "ß", "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in with_language(frame, fit(frame)).collect()}
+    assert got[100] == "und" and got[101] != "und"
