@@ -160,6 +160,10 @@ VIEWS = {
     # The exchange's days: order days that are no weekend. 1970-01-05 was a Monday.
     "v_calendar": """
         SELECT date FROM {v_order_days} WHERE datediff_days(date) % 7 < 5""",
+    # Sessions among the days of events.
+    "v_event_sessions": """
+        SELECT date FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM {events}) days
+        WHERE datediff_days(date) % 7 < 5""",
     "v_holidays": """
         SELECT date FROM {v_order_days}
         WHERE EXTRACT(MONTH FROM date) * 100 + EXTRACT(DAY FROM date) IN (101, 704, 1225)""",

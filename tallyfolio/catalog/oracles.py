@@ -247,6 +247,7 @@ def _holdings() -> dict[str, str]:
         "holding_returns_wide_latest": wide.sql(late, "rated"),
         "holding_returns_consistent_scope": aligned.sql("SELECT * FROM rated", "rated"),
         "returns_upsert": full.sql("SELECT * FROM rated", "rated"),
+        "stream_holding_returns": full.sql("SELECT * FROM rated", "rated"),
         "returns_repair": full.sql("SELECT * FROM rated", "rated"),
     }
 
@@ -441,6 +442,20 @@ def _merges() -> dict[str, str]:
         "scan_daily": trades,
         "scan_all_zones": trades,
         "scan_mixed_layouts": trades,
+        "reload_survivors": with_views(
+            f"""SELECT {_TRADE_COLUMNS.replace("trade_price", "CASE WHEN third = 0 THEN 12.5 ELSE trade_price END AS trade_price")
+              .replace("ib_commission", "CASE WHEN third < 2 THEN 0.75 ELSE ib_commission END AS ib_commission")}
+            FROM (SELECT *, length(trade_id) % 3 AS third FROM v_trades)""",
+            "v_trades",
+        ),
+        "exact_totals": """SELECT CAST(l_shipdate AS DATE) AS date, round(fsum(l_extendedprice * (1 - l_discount)), 4) AS paid
+            FROM lineitem GROUP BY ALL""",
+        "session_as_of": with_views(
+            """SELECT event_id, c.date AS session
+            FROM (SELECT event_id, CASE WHEN event_id % 3 > 0 THEN TIMESTAMP '2024-01-06 12:00:00' ELSE ts END AS at FROM events) e
+            ASOF LEFT JOIN v_event_sessions c ON e.at >= c.date""",
+            "v_event_sessions",
+        ),
         "warehouse_sql": with_views(
             f"""SELECT date, count(*) AS accounts, sum(ending_value) AS ending_value FROM v_delta_nav
             WHERE {_between("date", RANGE)} GROUP BY date""",
@@ -465,16 +480,18 @@ def _runs() -> dict[str, str]:
     open_days = f"""SELECT date FROM ({calendar}) WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM v_holidays)"""
     nav = _NAV.replace("v_calendar", "open_days")
     rated = {name: text.replace("v_calendar", "open_days") for name, text in _HoldingSql().steps.items()}
+    backfill = with_views(
+        f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value, {_RETURN} AS "return",
+          dividends FROM nav""",
+        "v_delta_nav",
+        "v_trades",
+        "v_holidays",
+        open_days=open_days,
+        nav=nav,
+    )
     return {
-        "run_backfill": with_views(
-            f"""SELECT date, client_account_id, ending_value - deposits_withdrawals AS value, {_RETURN} AS "return",
-              dividends FROM nav""",
-            "v_delta_nav",
-            "v_trades",
-            "v_holidays",
-            open_days=open_days,
-            nav=nav,
-        ),
+        "run_backfill": backfill,
+        "run_backfill_resumed": backfill,
         "run_reload": with_views(
             "SELECT * FROM rated",
             "v_positions_held",

@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 
 from tallyfolio import jobs
 from tallyfolio.catalog.fixtures import FUNDS, Views
-from tallyfolio.functions import columns
-from tallyfolio.operators import cleaning, filters, merge, sessions, windows
+from tallyfolio.functions import columns, exact
+from tallyfolio.operators import asof, cleaning, filters, merge, sessions, windows
 from tallyfolio.plans import funds, holdings, repair, series
 from tallyfolio.schemas import ACCOUNT, CORE_TABLES, POSITION_SCOPE, REPORT_COLUMNS, REPORTS
 from tallyfolio.session import kept, shared_dir
 from tallyfolio.sources import reports
 from tallyfolio.sources import series as series_sources
 from tallyfolio.sources.tables import Warehouse, conform
+from tallyfolio.streaming import holdings as follow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,6 +382,13 @@ def prev_session(v: Views) -> DataFrame:
     return sessions.with_previous_session(calendar).select("date", "previous_date")
 
 
+@_register
+def session_as_of(v: Views) -> DataFrame:
+    # Two thirds of the events on one day, which is a hot bin.
+    events = v["events"].select("event_id", "ts", F.when(F.col("event_id") % 3 > 0, F.lit(dt.datetime(2024, 1, 6, 12))).otherwise(F.col("ts").cast("timestamp")).alias("at"))
+    return asof.session_as_of(events.select("event_id", "at"), v["v_event_sessions"], "at").select("event_id", "session")
+
+
 @_register
 def monthly_intervals(v: Views) -> DataFrame:
     return sessions.monthly_intervals(v["v_calendar"])
@@ -512,6 +520,29 @@ def account_returns_repair(v: Views) -> DataFrame:
     return _rounded(merge.upsert_or_drop(stored, rows, ["date", ACCOUNT]), "return")
 
 
+@_register
+def stream_holding_returns(v: Views) -> DataFrame:
+    # Day rows in three runs: some late, some corrected in the last run, some that had to go.
+    root = _scratch(v)
+    merged = kept(holdings.holding_base_merge(*_sources(v)), "merged")
+    draw = F.pmod(F.xxhash64(*holdings.KEY), F.lit(13))
+    day = {"gone": F.lit(False), "version": F.lit(0).cast("long")}
+    right = merged.withColumns(day)
+    wrong = right.withColumns({"shares_1": F.lit(3.0), "price_1": F.lit(5.0)})
+    beside = wrong.filter(draw == 3).withColumn("report_date", F.date_add("report_date", 1))
+    beside = beside.join(merged, holdings.KEY, "left_anti")
+    runs = [
+        right.filter(draw > 2).unionByName(wrong.filter(draw == 1)).unionByName(beside),
+        right.filter(draw == 0),
+        right.filter((draw == 1) | (draw == 2)).unionByName(beside.withColumn("gone", F.lit(True))),
+    ]
+    calendar = kept(v["v_calendar"], "calendar")
+    for rows in runs:
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in follow.LOG.fields]).write.mode("append").parquet(f"{root}/log")
+        follow.follow_holdings(v.spark, f"{root}/log", f"{root}/sink", calendar, f"{root}/checkpoint").awaitTermination()
+    return _rounded(follow.followed_returns(v.spark, f"{root}/sink"), "weight", "return")
+
+
 @_register
 def core_schemas(v: Views) -> DataFrame:
     # A line per column of each core table, with the type its parquet files say and its non-null values.
@@ -644,6 +675,28 @@ def scan_all_zones(v: Views) -> DataFrame:
     return _trade_columns(reports.read_all_zones(v.spark, landing, "trades"))
 
 
+@_register
+def reload_survivors(v: Views) -> DataFrame:
+    # Three zones that know different fields: a full history, newer prices alone, newer commissions alone.
+    first, last = _span(v)
+    landing = reports.Landing(_scratch(v))
+    raw = kept(_raw(v, "trades"), "raw")
+    some = F.length("TradeID") % 3
+    prices = raw.filter(some == 0).withColumns({"TradePrice": F.lit("12.5"), "IBCommission": F.lit("")})
+    fees = raw.filter(some < 2).withColumns({"TradePrice": F.lit(""), "Quantity": F.lit(""), "IBCommission": F.lit("0.75")})
+    reports.land_report(raw, f"{landing.root}/history-files/all/trades.csv")
+    reports.land_report(prices, landing.backfill(first, last, "all", "trades"))
+    reports.land_report(fees, landing.daily(last, "all", "trades"))
+    return _trade_columns(reports.read_all_zones(v.spark, landing, "trades", by_field=True))
+
+
+@_register
+def exact_totals(v: Views) -> DataFrame:
+    # Prices that no binary fraction equals.
+    paid = v["lineitem"].select(F.col("l_shipdate").cast("date").alias("date"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("paid"))
+    return exact.exact_sums(paid, ["date"], ["paid"]).withColumn("paid", F.round("paid", 4))
+
+
 @_register
 def scan_mixed_layouts(v: Views) -> DataFrame:
     # Accounts' files as their sources write them: in order, turned round, and with columns of their own.
@@ -719,6 +772,19 @@ def run_backfill(v: Views) -> DataFrame:
     return _returns_table(warehouse, "fund_returns")
 
 
+@_register
+def run_backfill_resumed(v: Views) -> DataFrame:
+    # Chunks of four years; a first run does one of them, a second one goes on from there.
+    first, last = _span(v)
+    root = _scratch(v)
+    landing = reports.Landing(f"{root}/landing")
+    _land(v, lambda fund, report: landing.backfill(first, last, fund, report))
+    warehouse = Warehouse(v.spark, f"{root}/core", grain="year")
+    for most in (1, None):
+        jobs.run_backfill_by_month(warehouse, _inputs(v, landing), first, last, months=48, most=most)
+    return _returns_table(warehouse, "fund_returns")
+
+
 @_register
 def run_daily(v: Views) -> DataFrame:
     # A day's files may hold earlier days too; all are merged, the returns are the day's.

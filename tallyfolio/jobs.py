@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -24,7 +26,7 @@ from tallyfolio.plans.holdings import KEY, Scope, holding_returns, latest_holdin
 from tallyfolio.plans.repair import NEAR_DAYS, changed_keys, repair_accounts, repair_holdings, repair_totals
 from tallyfolio.plans.series import benchmark_return, risk_free_return
 from tallyfolio.schemas import CORE_TABLES, HISTORY_START, REPORTS
-from tallyfolio.sources.reports import Landing, read_all_zones, read_backfill, read_daily
+from tallyfolio.sources.reports import Landing, list_files, read_all_zones, read_backfill, read_daily
 from tallyfolio.sources.series import PRICE_COLUMNS, clean_prices, clean_yields
 from tallyfolio.sources.tables import Transaction, Warehouse, conform
 
@@ -232,6 +234,77 @@ def run_backfill(
     materialize_returns(warehouse, start, end, options)
 
 
+def _chunks(start: dt.date, end: dt.date, months: int) -> list[tuple[dt.date, dt.date]]:
+    """The range cut into so many calendar months each."""
+    cuts, first = [], start
+    while first <= end:
+        month = first.year * 12 + first.month - 1 + months
+        following = dt.date(month // 12, month % 12 + 1, 1)
+        cuts.append((first, min(end, following - _ONE_DAY)))
+        first = following
+    return cuts
+
+
+def run_backfill_by_month(
+    warehouse: Warehouse,
+    inputs: Inputs,
+    start: dt.date,
+    end: dt.date,
+    options: Options = Options(),
+    months: int = 1,
+    most: int | None = None,
+) -> list[dt.date]:
+    """``run_backfill`` in chunks of ``months`` that a repeated run takes up where the last one ended; returns the first
+    days of the chunks done now, of which there are ``most`` if that is given.
+
+    A ledger beside the tables has an entry per chunk, written when its returns are there, with the input files and
+    their times. Chunks whose entry names the same files are skipped; a new or corrected file opens all of them.
+    The reports are parsed once: cleaned rows are staged by month, which the ledger notes as well."""
+    spark, folder = warehouse.spark, warehouse.published.folder
+    globs = [inputs.landing.backfill_glob(start, end, report) for report in REPORTS]
+    files = [[path, size, folder.modified(path)] for path, size in list_files(spark, globs)]
+    ledger = f"_ledger/backfill-{start}_{end}"
+    kept = json.loads(folder.read(f"{ledger}/stage.json")) if "stage.json" in folder.names(ledger) else {}
+    if kept.get("files") != files:
+        root = f"{ledger}/stage-{uuid.uuid4().hex}"
+        month = F.col("__date").cast("date")
+
+        def stage(report: str) -> None:
+            spec = CORE_TABLES[report]
+            rows = read_backfill(spark, inputs.landing, start, end, report, mixed_layouts=options.mixed_layouts)
+            rows = conform(rows, report).withColumn("__date", F.trunc(spec.date, "month"))
+            rows.withColumn("__date", month).hint("rebalance", F.col("__date")).write.partitionBy("__date").parquet(f"{warehouse.root}/{root}/{report}")
+
+        _together(*[lambda r=r: stage(r) for r in REPORTS])
+        folder.write(f"{ledger}/stage.json", json.dumps({"files": files, "root": root}))
+        kept = {"root": root}
+    done = []
+    for first, last in _chunks(start, end, months):
+        if most is not None and len(done) >= most:
+            break
+        name = f"{first}_{last}.json"
+        entry = f"{ledger}/{name}"
+        if name in folder.names(ledger) and json.loads(folder.read(entry)) == files:
+            continue
+
+        def read(report: str, first: dt.date = first, last: dt.date = last) -> DataFrame:
+            rows = spark.read.schema(CORE_TABLES[report].schema.add("__date", "date")).parquet(f"{warehouse.root}/{kept['root']}/{report}")
+            return rows.filter(F.col("__date").between(F.lit(first.replace(day=1)), F.lit(last))).drop("__date")
+
+        # the price before the month is what its first change compares with
+        before = last_session_before(spark, inputs, first) if first > start else start
+        prices = between_dates(inputs.prices, "date", before, min(last, end - _ONE_DAY))
+        with warehouse.transaction() as loads:
+            _together(
+                *_report_loads(warehouse, read, loads),
+                *_series_loads(warehouse, inputs, options, first, last, prices, loads),
+            )
+        materialize_returns(warehouse, first, last, options)
+        folder.write(entry, json.dumps(files))
+        done.append(first)
+    return done
+
+
 def run_reload(
     warehouse: Warehouse,
     inputs: Inputs,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyfolio.operators.cleaning import CLEANERS
 from tallyfolio.operators.filters import union_all
-from tallyfolio.operators.merge import latest_per_key
+from tallyfolio.operators.merge import latest_per_key, survivors
 from tallyfolio.schemas import CORE_TABLES, REPORT_COLUMNS
 
 # Where a row came from: when its file was written, and which one it was.
@@ -215,17 +215,25 @@ def read_backfill(
 
 
 def read_all_zones(
-    spark: SparkSession, landing: Landing, report: str, newest_only: bool = False, mixed_layouts: bool = True
+    spark: SparkSession,
+    landing: Landing,
+    report: str,
+    newest_only: bool = False,
+    mixed_layouts: bool = True,
+    by_field: bool = False,
 ) -> DataFrame:
     """Reload: every zone that has files, in one scan, repeated rows removed.
 
     A key whose values differ between files stays repeated, and a merge will refuse it. With
-    ``newest_only`` the file written last decides, as it would had the files been loaded in turn.
+    ``newest_only`` the file written last decides, as it would had the files been loaded in turn. With
+    ``by_field`` it does so for each column by itself, and an empty value leaves an older one standing.
     """
     globs = [glob for glob in landing.zone_globs(report) if has_files(spark, glob)]
     if not globs:
         raise ValueError(f"no {report} files under {landing.root}")
-    rows = read_report(spark, globs, report, mixed_layouts, with_origin=newest_only)
+    rows = read_report(spark, globs, report, mixed_layouts, with_origin=newest_only or by_field)
+    if by_field:
+        return survivors(rows, CORE_TABLES[report].key, ORIGIN).select(*CORE_TABLES[report].columns)
     if newest_only:
         return latest_per_key(rows, CORE_TABLES[report].key, ORIGIN).drop(*ORIGIN)
     return rows.distinct()

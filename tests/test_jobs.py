@@ -243,3 +243,41 @@ def test_pick_up_takes_new_files_once(setting, spark, tmp_path):
     run()
     assert taken == [1, 1]
     assert sorted(r["report_date"].day for r in warehouse.read("positions").collect()) == [2, 3]
+
+
+def test_backfill_by_month_resumes_where_it_ended(setting, spark, tmp_path, monkeypatch):
+    inputs = setting[1]
+    warehouse = Warehouse(spark, str(tmp_path / "months"), grain="month")
+    start, end = dt.date(2023, 12, 28), dt.date(2024, 2, 2)
+    days = [d for d in (start + dt.timedelta(days=n) for n in range(37)) if d.weekday() < 5]
+    for report in reports.CLEANERS:
+        lines = [HEADERS[report]]
+        for i, d in enumerate(days):
+            x = f"{d:%Y%m%d}"
+            lines.append({
+                "positions": f"{x},U0,{INSTRUMENT},{100 + i % 7},10,1", "trades": f"{x},U0,{INSTRUMENT},T{i},{i % 3 - 1},98,-1,BUY",
+                "dividends": f"{x},U0,{INSTRUMENT},A{i},{x},,10,0.5,5,0,0,{i % 2}", "delta_nav": f"{x},{x},U0,0,{1000 + i},0,0",
+            }[report])
+        path = inputs.landing.backfill(start, end, "fund", report)
+        _put(path, report, [])
+        with open(path, "w") as file:
+            file.write("\n".join(lines) + "\n")
+    compute, runs = jobs.materialize_returns, []
+
+    def third_fails(house, first, last, options):
+        runs.append(first)
+        if len(runs) == 3:
+            raise RuntimeError("lost")
+        compute(house, first, last, options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "materialize_returns", third_fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.run_backfill_by_month(warehouse, inputs, start, end)
+    assert jobs.run_backfill_by_month(warehouse, inputs, start, end) == [dt.date(2024, 2, 1)]
+    assert jobs.run_backfill_by_month(warehouse, inputs, start, end) == []
+    whole = Warehouse(spark, str(tmp_path / "whole"), grain="month")
+    jobs.run_backfill(whole, inputs, start, end)
+    for table in ("positions", "trades", "delta_nav", "holding_returns", "fund_returns", "all_fund_returns", "calendar"):
+        old, new = warehouse.read(table), whole.read(table)
+        assert not old.isEmpty() and old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty(), table
