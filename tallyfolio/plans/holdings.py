@@ -349,7 +349,10 @@ def holding_returns(
     """
     earlier = None
     if look_back and start is not None and latest is not None:
-        earlier = latest.drop("rank")
+        # of all holdings ever held only those of the range; their keys are broadcast where they are few
+        held = between_dates(positions, "report_date", start, end).select(*HOLDING)
+        dealt = between_dates(trades, "report_date", start, end).select(*HOLDING)
+        earlier = latest.drop("rank").join(held.unionByName(dealt).distinct(), HOLDING, "left_semi")
     elif look_back and start is not None:
         rows = partial(_held_or_traded, positions, trades, scope)
         wanted = rows(start, end).select(*HOLDING).distinct()

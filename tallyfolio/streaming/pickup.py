@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyfolio.operators.cleaning import CLEANERS
 from tallyfolio.schemas import REPORT_COLUMNS
-from tallyfolio.session import shared_dir
 from tallyfolio.sources.reports import CSV_OPTIONS, ORIGIN, Landing
 from tallyfolio.sources.tables import Warehouse
 
@@ -25,13 +24,14 @@ def pick_up(
     landing: Landing,
     report: str,
     columns: Sequence[str] | None = None,
-    checkpoint: str | None = None,
+    *,
+    checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Merge all new daily files of a report, then stop; wait with ``awaitTermination()``.
 
     ``columns`` is the files' header in its order, by default the report's known columns. A file
-    with another header fails the run. ``max_files`` splits a backlog into batches of that size.
+    with another header fails the run. ``checkpoint`` is a folder that outlives the run. ``max_files`` splits a backlog into batches of that size.
     """
     header = list(columns or REPORT_COLUMNS[report])
     reader = (
@@ -54,7 +54,7 @@ def pick_up(
 
     return (
         rows.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(warehouse.spark)}/tallyfolio/pickup/{report}")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
