@@ -116,10 +116,63 @@ FROM placed
 """
 
 
+JACCARD = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM texts
+), shingles AS (
+    SELECT doc_id, unnest(s) AS s FROM sets
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+    WHERE 100 * shared >= 80 * (len(x.s) + len(y.s) - shared)
+), edges AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached(id, r) AS (
+    SELECT a, a FROM edges UNION SELECT id, b FROM reached JOIN edges ON r = a
+), least AS (
+    SELECT id, min(r) AS label FROM reached GROUP BY id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(label, doc_id) AS component_id FROM sets LEFT JOIN least ON id = doc_id
+"""
+
+
+def _ranked_search() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    terms = rf"regexp_extract_all(translate({{}}, '{letters}', '{letters.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH docs AS (
+    SELECT doc_id, t, len(t)::BIGINT AS n FROM (SELECT doc_id, {terms.format("text")} AS t FROM documents) WHERE len(t) > 0
+), sizes AS (
+    SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS tokens FROM docs
+), wanted AS (
+    SELECT item_id, unnest(list_distinct({terms.format("text")})) AS term FROM benchmark
+), counts AS (
+    SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, sizes GROUP BY term, documents
+), scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // tokens))))::BIGINT AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term), sizes GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op4_jaccard_join": JACCARD,
         "op8_license_scan": _licenses(),
         "op9_mixing": _mixing(),
         "op10_warc": WARC,
+        "op12_ranked_search": _ranked_search(),
     }
