@@ -223,7 +223,6 @@ def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
     at = _told(at.filter("k > 2").withColumnRenamed("h_n", "hub_n"), answers, "h", 0)
     at = at.withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT))).cast("int"))
     lists = _opened(at.select("token", "id", "n", "pos", "h", "size_class", "lo_0", "hi_0"), labels)
-    links = answers.filter("link").select("a", "b")
     bounds = [("lo_0", "hi_0")]
     for k in range(1, ROUNDS + 1):
         # the next hub of each list is one of its outsiders; all sets of other components are compared with it
@@ -234,8 +233,7 @@ def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
         met = join_groups(lists, hubs, ["token"], "inner").select("*", *[F.col(f"o.{c}").alias(f"o_{c}") for c in fields]).drop("o")
         pairs = met.filter((F.col("id") != F.col("o_id")) & _unsettled(bounds)).select(F.col("o_id").alias("a"), F.col("id").alias("b")).distinct()
         more = _compare(pairs, docs, sets)
-        links = links.unionByName(more.filter("link").select("a", "b"))
-        labels = written(components(links), "jaccard-labels")
+        labels = _relabelled(labels, more.filter("link"))
         told = met.select("token", "id", "n", "pos", "h", "size_class", *[c for pair in bounds for c in pair], F.col("o_id").alias("o"), F.col("o_n").alias("hub_n"))
         lists = _opened(_told(told, more, "o", k).drop("o", "hub_n"), labels)
         bounds.append((f"lo_{k}", f"hi_{k}"))
@@ -251,7 +249,22 @@ def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
     )
     second = met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
     more = _compare(second, docs, sets)
-    return components(links.unionByName(more.filter("link").select("a", "b")))
+    return _relabelled(labels, more.filter("link"))
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links: those join components, of which a few edges are left to follow."""
+    edges = links.select("a", "b")
+    for side in ("a", "b"):
+        edges = join_groups(edges, labels.select(F.col("id").alias(side), F.col("label").alias(f"l_{side}")), [side])
+        edges = edges.withColumn(f"l_{side}", F.coalesce(f"l_{side}", side))
+    edges = written(edges.filter("l_a <> l_b").select("l_a", "l_b").distinct(), "jaccard-joined")
+    if edges.isEmpty():
+        return labels
+    tops = written(components(edges, "l_a", "l_b"), "jaccard-tops")
+    moved = join_groups(labels, tops.select(F.col("id").alias("label"), F.col("label").alias("top")), ["label"])
+    found = tops.join(labels.select("id"), "id", "left_anti")
+    return written(moved.select("id", F.coalesce("top", "label").alias("label")).unionByName(found), "jaccard-labels")
 
 
 def _told(rows: DataFrame, answers: DataFrame, hub: str, k: int) -> DataFrame:
