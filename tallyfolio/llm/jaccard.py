@@ -5,7 +5,8 @@ the smallest id that has it. Sets are ordered by how frequent a shingle is in th
 first, by a counting sketch of fixed size over all documents; any order gives right results, this one
 keeps shared passages out of the index. Two sets that overlap enough share a shingle in a short prefix.
 
-*Index.* Each prefix shingle has a list of (set, size, position). Lists with one entry are dropped. The
+*Index.* Each prefix shingle has a list of (set, size, position). Lists with one entry are dropped, and of lists of
+the same sets, told by their number and two 64-bit hashes, all but that of the first shingle. The
 rest is cut into blocks by size class: sets more than one class apart can't be similar, and blocks that
 can't match are never joined. Within matching blocks the positions bound the overlap that is left.
 
@@ -208,8 +209,13 @@ def _index(postings: DataFrame) -> DataFrame:
     shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1")
     bits = written(bounded_filter(shared, F.col("token")), "jaccard-shared")
     maybe = written(passing(postings, F.col("token"), bits), "jaccard-maybe")
-    hubs = maybe.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub")).filter("k > 1")
-    hubs = hubs.select("token", "k", F.col("hub.id").alias("h"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
+    marks = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
+    hubs = maybe.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub"), *marks).filter("k > 1")
+    # Like sets share most of their shingles, so many lists hold the same sets. Of those the one of the first shingle
+    # stays: a pair's first shared shingle is the first of all lists with its sets, and is where the positions bound it.
+    same = hubs.groupBy("k", F.col("hub.id").alias("h"), "mark_1", "mark_2")
+    hubs = same.agg(F.min(F.struct(F.col("hub.pos").alias("h_pos"), "token", F.col("hub.n").alias("h_n"))).alias("first"))
+    hubs = hubs.select("first.token", "k", "h", "first.h_n", "first.h_pos")
     return written(join_groups(maybe, hubs, ["token"], "inner"), "jaccard-index")
 
 
