@@ -5,8 +5,9 @@ the smallest id that has it. Sets are ordered by how frequent a shingle is in th
 first, by a counting sketch of fixed size over all documents; any order gives right results, this one
 keeps shared passages out of the index. Two sets that overlap enough share a shingle in a short prefix.
 
-*Index.* Each prefix shingle has a list of (set, size, position). Lists with one entry are dropped, and of lists of
-the same sets, told by their number and two 64-bit hashes, all but that of the first shingle. The
+*Index.* Each prefix shingle has a list of (set, size, position). Lists with one entry are dropped: entries meet once by
+shingle, where a shingle that a task has seen twice has one entry of that task. Of lists of
+the same sets, told by their number and two 64-bit hashes, all but that of the first shingle are dropped too. The
 rest is cut into blocks by size class: sets more than one class apart can't be similar, and blocks that
 can't match are never joined. Within matching blocks the positions bound the overlap that is left.
 
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfolio.llm.common import batches, bounded_filter, join_groups, map_texts, only, passing, without, written
@@ -46,6 +47,8 @@ PERCENT = 80
 SKETCH_BITS = 21
 BLOCK_BITS = 15
 PARITY_BITS = 1024
+SEEN_TWICE = 1 << 16
+"""Shingles a task remembers to have seen twice; of others it sends an entry for every half megabyte of text."""
 ROUNDS = 2
 """Hubs of a list after its first one. Their answers join components, so that fewer pairs are left for the last step."""
 
@@ -130,11 +133,13 @@ def prefix_length(n: int) -> int:
 
 
 def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, id, n, pos) for the prefix of each set."""
+    """(token, id, n, pos, known) for the prefix of each set; ``known`` is 0 where the task has no other set with the
+    shingle so far, 1 for an entry that speaks for others of the task, 2 for those others."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def post(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, mask = shared.value, np.uint64((1 << SKETCH_BITS) - 1)
+        twice = np.zeros(0, np.uint64)
         for frame in batches(frames, "text"):
             ids = frame.column("id").to_numpy(zero_copy_only=False)
             tokens, sizes, taken = [], [], []
@@ -147,15 +152,21 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 taken.append(p)
             taken = np.array(taken, np.int64)
             pos = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+            flat = np.concatenate([*tokens, np.zeros(0, np.uint64)])
+            distinct, first, count = np.unique(flat, return_index=True, return_counts=True)
+            told, many = np.isin(distinct, twice), count > 1
+            known = np.full(len(flat), 2, np.int8)
+            known[first] = np.where(told, 2, many)
+            twice = np.concatenate([twice, distinct[many & ~told]])[:SEEN_TWICE]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([*tokens, np.zeros(0, np.uint64)]).view(np.int64)), pa.array(np.repeat(ids, taken).astype(np.int64)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), taken)), pa.array(pos.astype(np.int32)),
+                    pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, taken).astype(np.int64)),
+                    pa.array(np.repeat(np.array(sizes, np.int32), taken)), pa.array(pos.astype(np.int32)), pa.array(known),
                 ],
-                ["token", "id", "n", "pos"],
+                ["token", "id", "n", "pos", "known"],
             )
 
-    return map_texts(docs, post, "token long, id long, n int, pos int")
+    return map_texts(docs, post, "token long, id long, n int, pos int, known byte")
 
 
 def _need(n: Column, m: Column) -> Column:
@@ -206,17 +217,20 @@ def _compare(pairs: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def _index(postings: DataFrame) -> DataFrame:
     """The lists with two entries or more: each entry with its list's hub and length ``k``."""
-    shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1")
-    bits = written(bounded_filter(shared, F.col("token")), "jaccard-shared")
-    maybe = written(passing(postings, F.col("token"), bits), "jaccard-maybe")
+    # nearly all entries are alone: they are moved once, and no filter of fixed size, which fills up, stands for them
+    token = Window.partitionBy("token")
+    met = postings.filter("known < 2").withColumns({"k": F.count("*").over(token), "many": F.max("known").over(token)})
+    fields = ["token", "id", "n", "pos"]
+    shared = met.filter("k > 1 or many = 1").select(fields).unionByName(postings.filter("known = 2").select(fields))
+    shared = written(shared, "jaccard-shared")
     marks = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
-    hubs = maybe.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub"), *marks).filter("k > 1")
+    hubs = shared.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub"), *marks).filter("k > 1")
     # Like sets share most of their shingles, so many lists hold the same sets. Of those the one of the first shingle
     # stays: a pair's first shared shingle is the first of all lists with its sets, and is where the positions bound it.
     same = hubs.groupBy("k", F.col("hub.id").alias("h"), "mark_1", "mark_2")
     hubs = same.agg(F.min(F.struct(F.col("hub.pos").alias("h_pos"), "token", F.col("hub.n").alias("h_n"))).alias("first"))
     hubs = hubs.select("first.token", "k", "h", "first.h_n", "first.h_pos")
-    return written(join_groups(maybe, hubs, ["token"], "inner"), "jaccard-index")
+    return written(join_groups(shared, hubs, ["token"], "inner"), "jaccard-index")
 
 
 def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyfolio.catalog.fixtures import TABLES
-from tallyfolio.llm import queries
+from tallyfolio.llm import jaccard, queries
+from tallyfolio.llm.common import bounded_filter, passing
 from tallyfolio.llm.components import components
 from tallyfolio.llm.exact_dedup import exact_dedup, exact_groups
 from tallyfolio.llm.jaccard import jaccard_components
@@ -311,6 +312,27 @@ def test_jaccard_of_odd_rows(spark, odd, empty):
     assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == [(1, 1), (2, 2), (2, 2), (3, 3), (None, None)]
 
 
+def test_only_shared_shingles_are_indexed_whatever_the_filter_holds(spark, monkeypatch):
+    rows = [(k, " ".join(f"own{k}-{j}" for j in range(50))) for k in range(60)]
+    rows += [(100 + k, " ".join([*(f"t{j}" for j in range(50)), f"end{k}"])) for k in range(30)]
+    moved, write = [], jaccard.written
+
+    def written(df, name):
+        moved.append((df.columns, write(df, name)))
+        return moved[-1][1]
+
+    # a filter of 64 bits, as full as the usual one is with many shingles
+    monkeypatch.setattr(jaccard, "bounded_filter", lambda keys, key: bounded_filter(keys, key, 64))
+    monkeypatch.setattr(jaccard, "passing", lambda rows, key, bits: passing(rows, key, bits, 64))
+    monkeypatch.setattr(jaccard, "written", written)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    assert got == brute_components(rows)
+    entries = [table for columns, table in moved if columns == ["token", "id", "n", "pos"]]
+    sizes = [r["count"] for r in entries[-1].groupBy("token").count().collect()]
+    assert sizes and min(sizes) > 1
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)]
     got = {r["id"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
