@@ -9,7 +9,9 @@ library's own settings.
 The pieces of a batch are made distinct by Arrow, so a piece is looked up once per batch. Ids are kept in
 a cache of two generations and bounded size per Python worker, which outlives its tasks. A new piece of
 plain Latin letters goes to the library's BPE model directly, as no rule of its pre-tokenizer can cut it;
-all others take the library's full way.
+ASCII marks after it, other than apostrophes, are a token run of their own. All others take the library's full way.
+Where letters are lower-cased and breaks dropped anyway, A-Z are lower-cased and breaks made spaces before pieces
+are told apart, except in texts with combining marks: few of these have a composed form in one case only.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ from tokenizers import Tokenizer
 
 CACHE_PIECES = 200_000
 LONGEST_KEPT = 64
+ENDS_KEPT = 4096
 BATCH_BYTES = 3 << 20
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = rf"^{_SPACE}|{_SPACE}$|{_SPACE}{_SPACE}"
-_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_COMBINING = r"[\x{300}-\x{36f}]"
+_PLAIN = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -41,10 +45,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = CACHE_PIECES):
+        self.kept = kept
         self.tokenizer = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.odd = "|".join([_ODD, *(f"(?i:{a})" for a in added)])  # case is folded where the tokenizer folds it
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.space = _byte_letters()[32]
@@ -53,7 +57,9 @@ class PieceEncoder:
         self.line = self._whole(["a\nb"])[0][4:-4]  # what a line break becomes
         spaced = self._whole(["a b"])[0][4:]
         self.folds = spaced == self._whole(["b"])[0]  # white space is dropped and letters are lower-cased
-        self.ends = {"": b"", ".": self._whole(["a."])[0][4:], ",": self._whole(["a,"])[0][4:]}
+        odd = [_ODD, *(f"(?i:{a})" for a in added)]  # case is folded where the tokenizer folds it
+        self.odd = "|".join([*odd, _COMBINING] if self.folds else odd)
+        self.ends = {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -67,17 +73,27 @@ class PieceEncoder:
             mapped = word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def _end(self, marks: str) -> bytes | None:
+        """The ids of marks after a letter; None if there is no room for more of them."""
+        ids = self.ends.get(marks)
+        if ids is None and len(marks) <= LONGEST_KEPT and len(self.ends) < ENDS_KEPT:
+            ids = self.ends[marks] = self._whole(["a" + marks])[0][4:]
+        return ids
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         found, hard = {}, []
         for piece in pieces:
             m = _PLAIN.fullmatch(piece)
-            stem = self.young.get(m[1] + m[2]) if m and m[3] else None
-            if stem is not None:
-                found[piece] = stem + self.ends[m[3]]
-            elif m:
-                found[piece] = (self.line if m[1] else b"") + self._word(m[2], not m[1]) + self.ends[m[3]]
-            else:
+            end = self._end(m[2]) if m else None
+            if end is None:
                 hard.append(piece)
+                continue
+            stem = m[1]
+            ids = (found.get(stem) or self.young.get(stem) or self.old.get(stem)) if m[2] else None
+            if ids is None:
+                ids = found[stem] = self.line + self._word(stem[1:], False) if stem[0] == "\n" else self._word(stem, True)
+            if m[2]:
+                found[piece] = ids + end
         # a piece that begins with a line break stands after one, any other after a space
         texts = [p if p[:1] == "\n" else " " + p for p in hard]
         for at in range(0, len(hard), 4096):
@@ -89,19 +105,18 @@ class PieceEncoder:
         young, old = self.young, self.old
         known = list(map(young.get, pieces))
         missing = []
-        for i, ids in enumerate(known):
+        for i in [i for i, ids in enumerate(known) if ids is None]:
+            ids = old.get(pieces[i])
             if ids is None:
-                ids = old.get(pieces[i])
-                if ids is None:
-                    missing.append(i)
-                else:
-                    known[i] = young[pieces[i]] = ids
+                missing.append(i)
+            else:
+                known[i] = young[pieces[i]] = ids
         if missing:
             new = self._learn([pieces[i] for i in missing])
             for i in missing:
                 known[i] = new[pieces[i]]
             young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT)
-        if len(young) > CACHE_PIECES:
+        if len(young) > self.kept:
             self.old, self.young = young, {}
         return known
 
@@ -112,11 +127,14 @@ class PieceEncoder:
         special = self._whole(column.take(pa.array(at)).to_pylist()) if len(at) else []
         if len(at):
             column = pc.if_else(pa.array(odd), "", column)
-        # every piece follows a line break or a space; the break put before each text is taken off again
-        lined = pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n")
-        split = pc.split_pattern(pc.utf8_slice_codeunits(lined, 1), " ")
+        if self.folds:
+            spaced = pc.replace_substring(pc.ascii_lower(column), "\n", " ")
+        else:  # every piece follows a line break or a space; the break put before each text is taken off again
+            lined = pc.replace_substring(pc.binary_join_element_wise("\n", column, ""), "\n", " \n")
+            spaced = pc.utf8_slice_codeunits(lined, 1)
+        split = pc.split_pattern(spaced, " ")
         coded = split.flatten().dictionary_encode()
-        lists = self._ids(coded.dictionary.to_pylist())
+        lists = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(lists), "<u4")
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -126,7 +144,7 @@ class PieceEncoder:
         ids = flat[np.repeat(starts[index] - place, n) + np.arange(n.sum())]
         offsets = split.offsets.to_numpy()
         counts = np.add.reduceat(n, offsets[:-1] - offsets[0]) if len(column) else np.zeros(0, np.int64)
-        extra = len(self.line) // 4
+        extra = 0 if self.folds else len(self.line) // 4
         if extra:
             first = np.cumsum(counts) - counts
             keep = np.ones(len(ids), bool)
@@ -152,7 +170,7 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    """One per worker process and vocabulary."""
+def encoder(path: str, kept: int = CACHE_PIECES) -> PieceEncoder:
+    """One per worker process and vocabulary; ``kept`` pieces are a generation of its cache."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return PieceEncoder(path)
+    return PieceEncoder(path, kept)

@@ -201,6 +201,31 @@ def test_added_tokens_are_those_of_a_fresh_tokenizer(path):
     assert counts.tolist() == list(map(len, whole)) and ids.tolist() == [i for w in whole for i in w]
 
 
+MARKED = [
+    "end$$$ end&&& End!! END.%%% end,*** a(b) c[d] e- f_ g' h.' i'. don't. it's! x<y", "Ünder$$ ünder?\nÜnder; naïve:", "a.b, 9. 9! |a |",
+    "J\u030cx j\u030cx", "H\u0331 T\u0308 h\u0331", "I\u0307 E\u0301!", "end" + "!" * 200,
+]
+
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_marks_after_words_and_capitals_need_no_full_pass(path, monkeypatch):
+    coder = PieceEncoder(path)
+    ids, counts = coder.encode(pa.array(MARKED))
+    whole = [x.ids for x in coder.tokenizer.encode_batch(MARKED, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, whole)) and ids.tolist() == [i for w in whole for i in w]
+    taken, full = [], coder._whole
+    monkeypatch.setattr(coder, "_whole", lambda texts: taken.extend(texts) or full(texts))
+    words = ["".join(chr(97 + int(d)) for d in str(k)) + "xyz" for k in range(500)]
+    text = " ".join(w + mark for w in words for mark in ("$$$", "!!", ".", "%%%;"))
+    ids, _ = coder.encode(pa.array([text]))
+    assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(taken) < 10
+    if coder.folds:
+        before = len(coder.young)
+        coder.encode(pa.array([" ".join(words).title(), "\n".join(words)]))
+        assert len(coder.young) == before
+
+
 def _whole(path, text):
     coder = PieceEncoder(path)
     return np.array([*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
