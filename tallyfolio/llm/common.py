@@ -19,6 +19,9 @@ FILTER_BITS = 1 << 23
 ARROW_BYTES = 3 << 20
 """Bytes of an Arrow batch of whole texts: an executor holds a few of them per task, whatever the texts' lengths."""
 
+SMALL_ARROW_BYTES = 1 << 20
+"""The same where operators follow one another in an application: Python workers outlive them and keep what they once took."""
+
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder. What is written there goes when the application ends;
@@ -84,11 +87,11 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str =
 
 
 def map_texts(
-    rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+    rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, most_bytes: int = ARROW_BYTES
 ) -> DataFrame:
-    """``mapInArrow`` whose batches end at ``ARROW_BYTES`` (a longer row is one by itself). Spark takes this
+    """``mapInArrow`` whose batches end at ``most_bytes`` (a longer row is one by itself). Spark takes this
     bound from the session when the frame runs, so it stays set there; no result depends on it."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
     return rows.mapInArrow(function, schema)
 
 

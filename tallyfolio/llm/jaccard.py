@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, bounded_filter, join_groups, map_texts, only, passing, without, written
+from tallyfolio.llm.common import SMALL_ARROW_BYTES, batches, bounded_filter, join_groups, map_texts, only, passing, without, written
 from tallyfolio.llm.components import components
 from tallyfolio.llm.textscan import _STEPS, mix, windows, words
 
@@ -99,7 +99,7 @@ def _profiles(docs: DataFrame) -> DataFrame:
                 row = {"block": block, "counts": pack.compress(part.tobytes(), asbytes=True)}
                 yield pa.RecordBatch.from_pylist([row], fields)
 
-    return map_texts(docs, profile, "id long, n long, sig binary, parity array<long>, block int, counts binary")
+    return map_texts(docs, profile, "id long, n long, sig binary, parity array<long>, block int, counts binary", SMALL_ARROW_BYTES)
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -166,7 +166,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 ["token", "id", "n", "pos", "known"],
             )
 
-    return map_texts(docs, post, "token long, id long, n int, pos int, known byte")
+    return map_texts(docs, post, "token long, id long, n int, pos int, known byte", SMALL_ARROW_BYTES)
 
 
 def _need(n: Column, m: Column) -> Column:

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, map_texts
+from tallyfolio.llm.common import SMALL_ARROW_BYTES, batches, map_texts
 from tallyfolio.llm.textscan import _LOWER, bytes_of
 
 WINDOW = 256
@@ -222,4 +222,4 @@ def with_language(docs: DataFrame, net: Network | None, text: str = "text", lang
                 [*frame.columns, pa.array(named, pa.string()), pa.array(scores, pa.float64())], [*frame.schema.names, lang_pred, score]
             )
 
-    return map_texts(docs, predict, schema)
+    return map_texts(docs, predict, schema, SMALL_ARROW_BYTES)

@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfolio.llm.common import batches, join_groups, map_texts, text_of, written
-from tallyfolio.llm.tokens import BATCH_BYTES, encoder
+from tallyfolio.llm.common import SMALL_ARROW_BYTES, batches, join_groups, map_texts, text_of, written
+from tallyfolio.llm.tokens import encoder
 
 LENGTH = 2048
 SALTS = 256
+CACHE_PIECES = 100_000
 
 
 def histogram_packs(counts: dict[int, int], room: int = LENGTH) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -76,8 +77,8 @@ def pieces(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
-        for frame in batches(frames, "text", BATCH_BYTES):
+        coder = encoder(tokenizer, CACHE_PIECES)
+        for frame in batches(frames, "text", SMALL_ARROW_BYTES):
             ids, offsets = coder.encode_ended(frame.column("text"), end_id)
             n = np.diff(offsets).astype(np.int64)
             parts = -(-n // length)
@@ -91,9 +92,10 @@ def pieces(
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids, pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, [*names, "ids"][: len(columns)])
+        pa.default_memory_pool().release_unused()  # the worker stays for what follows
 
     narrow = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return map_texts(narrow, cut, ", ".join(f"{c} long" for c in names) + ", ids array<int>" * with_ids)
+    return map_texts(narrow, cut, ", ".join(f"{c} long" for c in names) + ", ids array<int>" * with_ids, SMALL_ARROW_BYTES)
 
 
 def pack(cuts: DataFrame, room: int = LENGTH) -> DataFrame:

@@ -226,6 +226,16 @@ def test_marks_after_words_and_capitals_need_no_full_pass(path, monkeypatch):
         assert len(coder.young) == before
 
 
+def test_packing_takes_little_memory_of_workers_that_stay(spark):
+    coder = PieceEncoder(BYTE_BPE, 50)
+    for k in range(20):
+        coder.encode(pa.array([" ".join(f"w{k}x{j}" for j in range(40))]))
+    assert len(coder.young) <= 90 and len(coder.old) <= 90
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(3 << 20))
+    queries.packed(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 20)
+
+
 def _whole(path, text):
     coder = PieceEncoder(path)
     return np.array([*coder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
