@@ -67,8 +67,6 @@ class _AfterSpace:
         split = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
         coded = split.flatten().dictionary_encode()
         lists = self._ids(coded.dictionary.to_pylist())
-        if len(self.young) > KEPT_PIECES:
-            self.old, self.young = self.young, {}
         flat = np.frombuffer(b"".join(lists), "<u4")
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -90,7 +88,7 @@ class SpacedBpe(_AfterSpace, PieceEncoder):
     """Byte-level BPE. Special tokens' strings are plain text."""
 
     def __init__(self, path: str):
-        super().__init__(path)
+        super().__init__(path, KEPT_PIECES)
         self.tokenizer.encode_special_tokens = True
         self.odd = _ODD
         byte = {ord(letter): chr(b) for b, letter in _byte_letters().items()}
@@ -105,6 +103,7 @@ class SpacedPieces(_AfterSpace, PieceEncoder):
     """A sentencepiece model that puts a space before the text."""
 
     def __init__(self, path: str):
+        self.kept = KEPT_PIECES
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.odd = _ODD
         self.young: dict[str, bytes] = {}

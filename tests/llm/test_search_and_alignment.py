@@ -213,6 +213,16 @@ def test_alignment_of_odd_texts_equals_brute_force(spark, tokenizers):
     assert align(frame.limit(0), BYTE_BPE, PIECES).collect() == []
 
 
+def test_word_caches_of_both_tokenizers_are_bounded(tokenizers, monkeypatch):
+    monkeypatch.setattr(alignment, "KEPT_PIECES", 20)
+    texts = ["one two one", *(" ".join(f"word{k}x{j}, two" for j in range(9)) for k in range(12)), "one two one"]
+    for coder, library in ((alignment.SpacedBpe(BYTE_BPE), tokenizers[0]), (alignment.SpacedPieces(PIECES), tokenizers[1])):
+        for t in texts:
+            want = library.encode(" " + t, add_special_tokens=False).ids if library is tokenizers[0] else library.encode(t)
+            assert coder.encode_spaced(pa.array([t]))[0].tolist() == want
+            assert len(coder.young) <= 20
+
+
 def test_joining_fragments_is_associative(tokenizers):
     code, rng = coder(BYTE_BPE, PIECES), np.random.default_rng(7)
     texts = [t[:600] for (t,) in table("documents").project("text").limit(25).fetchall() if t] + [t for t in ODD_TEXTS if t]
