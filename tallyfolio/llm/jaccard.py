@@ -11,8 +11,9 @@ the same sets, told by their number and two 64-bit hashes, all but that of the f
 rest is cut into blocks by size class: sets more than one class apart can't be similar, and blocks that
 can't match are never joined. Within matching blocks the positions bound the overlap that is left.
 
-*Answers.* The first set of a list, its hub, is compared with the list's sets. Sets found similar share a
-component with the hub, and need no comparison with each other. The other sets of the list, outsiders,
+*Answers.* The set of a list whose prefix is the most frequent in the corpus is the list's hub: of near copies the one with
+the fewest words of its own, to which most of the others are similar, and the same one in most of their lists. It is
+compared with the list's sets. Sets found similar share a component with the hub, and need no comparison with each other. The other sets of the list, outsiders,
 are still to be compared with all sets of other components. In each of ``ROUNDS`` rounds one of them is the list's next
 hub; what it is similar to joins its component, and lists without outsiders are done. The overlap of an outsider o
 with any set x follows from each hub's answers within bounds: |o & x| <= |o & h| + |x - h|, and the same with o and
@@ -133,7 +134,7 @@ def prefix_length(n: int) -> int:
 
 
 def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, id, n, pos, known) for the prefix of each set; ``known`` is 0 where the task has no other set with the
+    """(token, id, n, pos, weight, known) for the prefix of each set; ``weight`` sums the sketch over it; ``known`` is 0 where the task has no other set with the
     shingle so far, 1 for an entry that speaks for others of the task, 2 for those others."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
@@ -142,12 +143,15 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
         twice = np.zeros(0, np.uint64)
         for frame in batches(frames, "text"):
             ids = frame.column("id").to_numpy(zero_copy_only=False)
-            tokens, sizes, taken = [], [], []
+            tokens, sizes, taken, weights = [], [], [], []
             for x in shingle_sets(frame.column("text")):
-                p = prefix_length(len(x)) if len(x) else 0
+                p, weight = prefix_length(len(x)) if len(x) else 0, 0
                 if p:
                     df = rank[(x & mask).astype(np.int64)].astype(np.int64)
-                    tokens.append(x[np.argsort(df, kind="stable")[:p]])
+                    rare = np.argsort(df, kind="stable")[:p]
+                    tokens.append(x[rare])
+                    weight = df[rare].sum()
+                weights.append(weight)
                 sizes.append(len(x))
                 taken.append(p)
             taken = np.array(taken, np.int64)
@@ -161,12 +165,13 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(flat.view(np.int64)), pa.array(np.repeat(ids, taken).astype(np.int64)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), taken)), pa.array(pos.astype(np.int32)), pa.array(known),
+                    pa.array(np.repeat(np.array(sizes, np.int32), taken)), pa.array(pos.astype(np.int32)),
+                    pa.array(np.repeat(np.array(weights, np.int64), taken)), pa.array(known),
                 ],
-                ["token", "id", "n", "pos", "known"],
+                ["token", "id", "n", "pos", "weight", "known"],
             )
 
-    return map_texts(docs, post, "token long, id long, n int, pos int, known byte", SMALL_ARROW_BYTES)
+    return map_texts(docs, post, "token long, id long, n int, pos int, weight long, known byte", SMALL_ARROW_BYTES)
 
 
 def _need(n: Column, m: Column) -> Column:
@@ -215,6 +220,11 @@ def _compare(pairs: DataFrame, docs: DataFrame, sizes: DataFrame) -> DataFrame:
     return written(shut.unionByName(exact.dropDuplicates(["a", "b"])), "jaccard-answers")
 
 
+def _central() -> list[Column]:
+    """The order in which sets of a list become its hubs."""
+    return [(-F.col("weight")).alias("rank"), F.col("id")]
+
+
 def _index(postings: DataFrame) -> DataFrame:
     """The lists with two entries or more: each entry with its list's hub and length ``k``."""
     # nearly all entries are alone: they are moved once, and no filter of fixed size, which fills up, stands for them
@@ -223,8 +233,11 @@ def _index(postings: DataFrame) -> DataFrame:
     fields = ["token", "id", "n", "pos"]
     shared = met.filter("k > 1 or many = 1").select(fields).unionByName(postings.filter("known = 2").select(fields))
     shared = written(shared, "jaccard-shared")
+    # weights follow the entries that are left: most entries move without them
+    weights = postings.filter("pos = 0").groupBy("id").agg(F.max("weight").alias("weight"))
+    shared = written(join_groups(shared, weights, ["id"], "inner"), "jaccard-weighed")
     marks = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
-    hubs = shared.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct("id", "n", "pos")).alias("hub"), *marks).filter("k > 1")
+    hubs = shared.groupBy("token").agg(F.count("*").alias("k"), F.min(F.struct(*_central(), "n", "pos")).alias("hub"), *marks).filter("k > 1")
     # Like sets share most of their shingles, so many lists hold the same sets. Of those the one of the first shingle
     # stays: a pair's first shared shingle is the first of all lists with its sets, and is where the positions bound it.
     same = hubs.groupBy("k", F.col("hub.id").alias("h"), "mark_1", "mark_2")
@@ -242,19 +255,19 @@ def _links(docs: DataFrame, sets: DataFrame, postings: DataFrame) -> DataFrame:
     # what the hub knows of each set in its list; a list of two is settled
     at = _told(at.filter("k > 2").withColumnRenamed("h_n", "hub_n"), answers, "h", 0)
     at = at.withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT))).cast("int"))
-    lists = _opened(at.select("token", "id", "n", "pos", "h", "size_class", "lo_0", "hi_0"), labels)
+    lists = _opened(at.select("token", "id", "n", "pos", "weight", "h", "size_class", "lo_0", "hi_0"), labels)
     bounds = [("lo_0", "hi_0")]
     for k in range(1, ROUNDS + 1):
-        # the next hub of each list is one of its outsiders; all sets of other components are compared with it
+        # the next hub of each list is the first of its outsiders; all sets of other components are compared with it
         fields = ["id", "n", "pos", "label", *[c for pair in bounds for c in pair]]
-        hubs = lists.filter("out").groupBy("token").agg(F.min(F.struct(*fields)).alias("o"))
+        hubs = lists.filter("out").groupBy("token").agg(F.min(F.struct(*_central(), *fields[1:])).alias("o"))
         if hubs.isEmpty():
             return labels
         met = join_groups(lists, hubs, ["token"], "inner").select("*", *[F.col(f"o.{c}").alias(f"o_{c}") for c in fields]).drop("o")
         pairs = met.filter((F.col("id") != F.col("o_id")) & _unsettled(bounds)).select(F.col("o_id").alias("a"), F.col("id").alias("b")).distinct()
         more = _compare(pairs, docs, sets)
         labels = _relabelled(labels, more.filter("link"))
-        told = met.select("token", "id", "n", "pos", "h", "size_class", *[c for pair in bounds for c in pair], F.col("o_id").alias("o"), F.col("o_n").alias("hub_n"))
+        told = met.select("token", "id", "n", "pos", "weight", "h", "size_class", *[c for pair in bounds for c in pair], F.col("o_id").alias("o"), F.col("o_n").alias("hub_n"))
         lists = _opened(_told(told, more, "o", k).drop("o", "hub_n"), labels)
         bounds.append((f"lo_{k}", f"hi_{k}"))
     fields = ["token", "id", "n", "pos", "label", *[c for pair in bounds for c in pair]]

@@ -368,6 +368,29 @@ def test_only_shared_shingles_are_indexed_whatever_the_filter_holds(spark, monke
     assert sizes and min(sizes) > 1
 
 
+def test_near_copies_are_compared_with_the_set_between_them(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(1000, " ".join(base := [f"w{j}" for j in range(150)]))]
+    for k in range(300):  # three words in the middle differ at most; most of these texts are not similar to each other
+        words = list(base)
+        for at in rng.choice(np.arange(5, 145), int(rng.integers(1, 4)), replace=False):
+            words[at] = f"own{k}-{at}"
+        rows.append((k, " ".join(words)))
+    answers, write = [], jaccard.written
+
+    def written(df, name):
+        found = write(df, name)
+        if name == "jaccard-answers":
+            answers.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "written", written)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    assert got == brute_components(rows)
+    assert len({c for _, c in got.values()}) == 1 and sum(answers) < 3 * len(rows)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)]
     got = {r["id"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
