@@ -21,7 +21,7 @@ from tallyfolio.functions import columns, exact
 from tallyfolio.operators import asof, cleaning, filters, merge, sessions, windows
 from tallyfolio.plans import funds, holdings, repair, series
 from tallyfolio.schemas import ACCOUNT, CORE_TABLES, POSITION_SCOPE, REPORT_COLUMNS, REPORTS
-from tallyfolio.session import kept, shared_dir
+from tallyfolio.session import kept, kept_in_shares, kept_while, shared_dir
 from tallyfolio.sources import reports
 from tallyfolio.sources import series as series_sources
 from tallyfolio.sources.tables import Warehouse, conform
@@ -34,6 +34,8 @@ RANGE = (dt.date(1998, 3, 2), dt.date(1998, 9, 30))
 LATE_RANGE = (dt.date(2000, 6, 5), dt.date(2001, 12, 31))
 SUNDAY = dt.date(1998, 3, 15)
 YIELD_SERIES = "1-URGENT"
+# Shares of a reload whose shuffles follow one another.
+SURVIVOR_SHARES = 4
 
 _QUERIES: dict[str, Query] = {}
 
@@ -680,14 +682,15 @@ def reload_survivors(v: Views) -> DataFrame:
     # Three zones that know different fields: a full history, newer prices alone, newer commissions alone.
     first, last = _span(v)
     landing = reports.Landing(_scratch(v))
-    raw = kept(_raw(v, "trades"), "raw")
     some = F.length("TradeID") % 3
-    prices = raw.filter(some == 0).withColumns({"TradePrice": F.lit("12.5"), "IBCommission": F.lit("")})
-    fees = raw.filter(some < 2).withColumns({"TradePrice": F.lit(""), "Quantity": F.lit(""), "IBCommission": F.lit("0.75")})
-    reports.land_report(raw, f"{landing.root}/history-files/all/trades.csv")
-    reports.land_report(prices, landing.backfill(first, last, "all", "trades"))
-    reports.land_report(fees, landing.daily(last, "all", "trades"))
-    return _trade_columns(reports.read_all_zones(v.spark, landing, "trades", by_field=True))
+    with kept_while(_raw(v, "trades"), "raw") as raw:
+        prices = raw.filter(some == 0).withColumns({"TradePrice": F.lit("12.5"), "IBCommission": F.lit("")})
+        fees = raw.filter(some < 2).withColumns({"TradePrice": F.lit(""), "Quantity": F.lit(""), "IBCommission": F.lit("0.75")})
+        reports.land_report(raw, f"{landing.root}/history-files/all/trades.csv", compressed=True)
+        reports.land_report(prices, landing.backfill(first, last, "all", "trades"), compressed=True)
+        reports.land_report(fees, landing.daily(last, "all", "trades"), compressed=True)
+    rows = _trade_columns(reports.read_all_zones(v.spark, landing, "trades", by_field=True))
+    return kept_in_shares(rows, "survivors", [ACCOUNT, "symbol", "trade_id"], SURVIVOR_SHARES)
 
 
 @_register

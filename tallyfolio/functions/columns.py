@@ -30,8 +30,8 @@ def strict(parsed: Column, raw: Column, what: str) -> Column:
 
     ANSI sessions raise on their own; this keeps the rule with ANSI switched off as well.
     """
-    failed = raw.isNotNull() & parsed.isNull()
-    return F.when(failed, F.raise_error(F.concat(F.lit(f"{what}: cannot read "), raw))).otherwise(parsed)
+    # coalesce parses once, a test of the parsed value beside the value itself would do it twice
+    return F.coalesce(parsed, F.when(raw.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: cannot read "), raw))))
 
 
 def compact_date(raw: Column, what: str = "date") -> Column:

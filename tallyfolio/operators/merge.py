@@ -109,13 +109,15 @@ def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[str], origin:
     """One row per key: of each other column the newest value, by ``order``, that is not NULL.
 
     One aggregation with partial maxima, whatever the number of columns and of rows a key has. ``origin`` (a column) is
-    told for each value as ``{column}_from``. Of values of one place in the order the largest counts."""
+    told for each value as ``{column}_from``. Of values of one place in the order the largest counts. A row moves with its
+    place beside each value, so ``order`` should be narrow."""
     values = [c for c in df.columns if c not in (*keys, *order) and c != origin]
     found = []
     for c in values:
-        place = F.struct(*order, F.col(c))
-        held = F.struct(F.col(c).alias("value"), *([F.col(origin).alias("origin")] if origin else []))
-        found.append(F.max_by(held, F.when(F.col(c).isNotNull(), place)).alias(c))
+        told = [F.col(origin).alias("origin")] if origin else []
+        place = F.struct(*order, F.col(c).alias("value"), *told)
+        found.append(F.max(F.when(F.col(c).isNotNull(), place)).alias(c))
     picked = [F.col(f"{c}.value").alias(c) for c in values]
     told = [F.col(f"{c}.origin").alias(f"{c}_from") for c in values] if origin else []
-    return df.groupBy(*keys).agg(*found).select(*keys, *picked, *told)
+    # rows are sorted by the grouping; keys go from the general to the special, whose values seldom tie
+    return df.groupBy(*reversed(keys)).agg(*found).select(*keys, *picked, *told)
